@@ -386,6 +386,14 @@ BODIES: dict[str, str] = {
     "job_list": "SELECT * FROM jobs",
     "job_schedule": "SELECT * FROM schedule",
     "delay_alerts": "SELECT * FROM alerts",
+    "catalog_roundtrip": "SELECT * FROM demand_domain",
+    "bronze_ingest": """SELECT 'customers' AS table_name, count(*) AS row_count FROM raw_customers
+        UNION ALL SELECT 'customer_orders', count(*) FROM raw_orders
+        UNION ALL SELECT 'finished_goods', count(*) FROM raw_goods
+        UNION ALL SELECT 'manufacturing_processes', count(*) FROM raw_processes
+        UNION ALL SELECT 'manufacturing_process_parts', count(*) FROM raw_parts
+        UNION ALL SELECT 'material_master', count(*) FROM raw_materials""",
+    "pipeline_delay_alerts": "SELECT * FROM alerts",
     "delay_summary": """SELECT DelayCategory, count(*) AS AlertCount, min(ExpectedDelay) AS MinExpectedDelay,
         max(ExpectedDelay) AS MaxExpectedDelay FROM alerts GROUP BY DelayCategory""",
 }

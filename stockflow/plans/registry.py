@@ -10,13 +10,18 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockflow.functions import cleaning
 from stockflow.operators import demand, inventory, production, silver
+from stockflow.plans.pipeline import Layout, Pipeline
+from stockflow.session import scratch_path
 from stockflow.sources import fixtures
+from stockflow.sources.bronze import bronze_ingest
+from stockflow.sources.catalog import ensure_database, read_table, write_table
 
 # Planning date for the schedule queries checked against the oracle: with
 # the test data's order dates, some jobs are late and some are not.
@@ -137,6 +142,40 @@ def _split_address(l: Layers) -> DataFrame:
     return cleaning.split_address_column(raw, "Address")
 
 
+def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write silver orders and customers as catalog tables in shared scratch
+    storage, read them back by name and join them into the demand domain."""
+    l = Layers(spark, sf_dir)
+    root = scratch_path(spark, "catalog_roundtrip")
+    db = ensure_database(spark, "stockflow_roundtrip", root)
+    write_table(l.orders(), f"{db}.customer_orders", f"{root}/customer_orders")
+    write_table(l.customers(), f"{db}.customers", f"{root}/customers")
+    return silver.demand_domain(read_table(spark, f"{db}.customer_orders"), read_table(spark, f"{db}.customers"))
+
+
+def bronze_ingest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest the six raw tables into bronze catalog tables; report the rows
+    of each table as read back (table_name, row_count)."""
+    root = scratch_path(spark, "bronze_ingest")
+    written = bronze_ingest(spark, lambda t: fixtures.RAW_TABLES[t](spark, sf_dir), "stockflow_ingest_bronze", root)
+    counts = [
+        read_table(spark, table).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), "row_count"
+        )
+        for name, table in written.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def pipeline_delay_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run the whole table graph (bronze, silver, gold tables in shared
+    scratch storage) and read the published delay alerts back."""
+    layout = Layout(root=scratch_path(spark, "pipeline"), prefix="stockflow_run_")
+    pipe = Pipeline(spark, layout)
+    pipe.run(lambda t: fixtures.RAW_TABLES[t](spark, sf_dir), as_of=ORACLE_AS_OF, max_hours_day=MAX_HOURS_DAY)
+    return pipe.table("gold", "manufacturing_delay_alerts")
+
+
 QUERIES: dict[str, Query] = {
     # cleaning functions on whole raw tables
     "replace_newlines": _q(lambda l: cleaning.replace_newlines(l.raw("customers"), "Address", "CompanyName")),
@@ -203,6 +242,10 @@ QUERIES: dict[str, Query] = {
     "job_schedule": _q(lambda l: l.schedule()),
     "delay_alerts": _q(lambda l: l.alerts()),
     "delay_summary": _q(lambda l: production.delay_summary(l.alerts())),
+    # storage round trips
+    "catalog_roundtrip": catalog_roundtrip,
+    "bronze_ingest": bronze_ingest_query,
+    "pipeline_delay_alerts": pipeline_delay_alerts,
 }
 
 
