@@ -36,60 +36,90 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Layers:
-    """Lazily built silver and gold frames for one source directory."""
+    """Silver and gold frames for one source directory, each built once.
+
+    A query that needs the demand domain twice (missing inventory and the
+    per-day counts) gets the same DataFrame both times: the plan is analysed
+    once and identical subtrees share their exchanges at run time.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._memo: dict[tuple, DataFrame] = {}
+
+    def _once(self, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+        if key not in self._memo:
+            self._memo[key] = build()
+        return self._memo[key]
 
     def raw(self, name: str) -> DataFrame:
-        return fixtures.RAW_TABLES[name](self.spark, self.sf_dir)
+        return self._once(("raw", name), lambda: fixtures.RAW_TABLES[name](self.spark, self.sf_dir))
 
     def customers(self) -> DataFrame:
-        return silver.silver_customers(self.raw("customers"))
+        return self._once(("customers",), lambda: silver.silver_customers(self.raw("customers")))
 
     def orders(self) -> DataFrame:
-        return silver.silver_customer_orders(self.raw("customer_orders"))
+        return self._once(("orders",), lambda: silver.silver_customer_orders(self.raw("customer_orders")))
 
     def goods(self) -> DataFrame:
-        return silver.silver_finished_goods(self.raw("finished_goods"))
+        return self._once(("goods",), lambda: silver.silver_finished_goods(self.raw("finished_goods")))
 
     def processes(self) -> DataFrame:
-        return silver.silver_manufacturing_processes(self.raw("manufacturing_processes"))
+        return self._once(
+            ("processes",), lambda: silver.silver_manufacturing_processes(self.raw("manufacturing_processes"))
+        )
 
     def parts(self) -> DataFrame:
-        return silver.silver_manufacturing_process_parts(self.raw("manufacturing_process_parts"))
+        return self._once(
+            ("parts",), lambda: silver.silver_manufacturing_process_parts(self.raw("manufacturing_process_parts"))
+        )
 
     def materials(self) -> DataFrame:
-        return silver.silver_material_master(self.raw("material_master"))
+        return self._once(("materials",), lambda: silver.silver_material_master(self.raw("material_master")))
 
     def demand_domain(self) -> DataFrame:
-        return silver.demand_domain(self.orders(), self.customers())
+        return self._once(("demand_domain",), lambda: silver.demand_domain(self.orders(), self.customers()))
 
     def manufacturing_domain(self) -> DataFrame:
-        return silver.manufacturing_domain(self.goods(), self.processes(), self.parts(), self.materials())
+        return self._once(
+            ("manufacturing_domain",),
+            lambda: silver.manufacturing_domain(self.goods(), self.processes(), self.parts(), self.materials()),
+        )
 
     def current_demand(self) -> DataFrame:
-        return demand.current_demand(self.demand_domain())
+        return self._once(("current_demand",), lambda: demand.current_demand(self.demand_domain()))
 
     def missing_inventory(self) -> DataFrame:
-        return inventory.missing_inventory(self.demand_domain(), self.manufacturing_domain())
+        return self._once(
+            ("missing_inventory",),
+            lambda: inventory.missing_inventory(self.demand_domain(), self.manufacturing_domain()),
+        )
 
     def rundown(self) -> DataFrame:
-        per_day = production.open_orders_by_product_day(self.current_demand())
-        return production.inventory_rundown(per_day, self.missing_inventory())
+        def build() -> DataFrame:
+            per_day = production.open_orders_by_product_day(self.current_demand())
+            return production.inventory_rundown(per_day, self.missing_inventory())
+
+        return self._once(("rundown",), build)
 
     def deltas(self) -> DataFrame:
-        return production.production_deltas(self.rundown())
+        return self._once(("deltas",), lambda: production.production_deltas(self.rundown()))
 
     def jobs(self) -> DataFrame:
-        return production.job_list(self.deltas(), inventory.inventory_table(self.manufacturing_domain()))
+        return self._once(
+            ("jobs",),
+            lambda: production.job_list(self.deltas(), inventory.inventory_table(self.manufacturing_domain())),
+        )
 
     def schedule(self, as_of: dt.date = ORACLE_AS_OF, method: str = "blocks") -> DataFrame:
-        return production.schedule_jobs(self.jobs(), MAX_HOURS_DAY, as_of=as_of, method=method)
+        return self._once(
+            ("schedule", as_of, method),
+            lambda: production.schedule_jobs(self.jobs(), MAX_HOURS_DAY, as_of=as_of, method=method),
+        )
 
     def alerts(self, as_of: dt.date = ORACLE_AS_OF) -> DataFrame:
-        return production.delay_alerts(self.schedule(as_of))
+        return self._once(("alerts", as_of), lambda: production.delay_alerts(self.schedule(as_of)))
 
 
 def _q(build: Callable[[Layers], DataFrame]) -> Query:

@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # checkpoint files of collected DataFrames are removed, not left behind
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -104,8 +104,9 @@ def raw_customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         _demand_category(F.col("p_size")).alias("demandCategory"),
         F.col("o_orderdate").alias("OrderDate"),
         F.when(F.col("l_linestatus") == "O", F.lit("open")).otherwise(F.lit("closed")).alias("status"),
-        F.date_format(F.date_add(order_day, DELIVERY_DAYS), "yyyy-MM-dd").alias("max_delivery_date"),
-        F.date_format(order_day, "yyyy-MM-dd").alias("Date"),
+        # a date cast to text is yyyy-MM-dd, without a per-row formatter
+        F.date_add(order_day, DELIVERY_DAYS).cast("string").alias("max_delivery_date"),
+        order_day.cast("string").alias("Date"),
     )
 
 
