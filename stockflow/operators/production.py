@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockflow.functions.derived import as_of_date, product_category
+from stockflow.operators.joins import left_join_skew_safe
 from stockflow.operators.ranking import BLOCK, join_on_blocks, range_blocks
 
 PEER_ORDER = ["OrderYearMonth", "ProductID"]
@@ -127,12 +128,34 @@ def production_deltas(rundown: DataFrame) -> DataFrame:
     )
 
 
+JOB_COLUMNS = [
+    "ProductID",
+    "OrderYearMonth",
+    "Delta_produced",
+    "MaterialID",
+    "ProcessPartID",
+    "Req_Prod_Quant",
+    "FacilityID",
+    "ProcessingTime",
+]
+
+
 def job_list(deltas: DataFrame, inventory: DataFrame) -> DataFrame:
-    """One job per production day and process part of the product."""
+    """One job per production day and process part of the product (a day
+    of a product without parts stays, with null part columns).
+
+    Written as a skew-safe left join: a product with a very large parts list
+    would otherwise keep all its jobs in one task.
+    """
     parts = inventory.select(
-        "MaterialID", "ProcessPartID", "Req_Prod_Quant", "productID", "FacilityID", "ProcessingTime"
+        "MaterialID",
+        "ProcessPartID",
+        "Req_Prod_Quant",
+        F.col("productID").alias("_part_product"),
+        "FacilityID",
+        "ProcessingTime",
     )
-    return deltas.join(parts, "productID", "left")
+    return left_join_skew_safe(deltas, parts, ["ProductID"], ["_part_product"], JOB_COLUMNS)
 
 
 def _switched(total: Column, previous: Column, current: Column, switch_cost: int) -> Column:
@@ -291,7 +314,8 @@ def delay_alerts(schedule: DataFrame) -> DataFrame:
         late.withColumn("DelayCategory", category)
         .select(*ALERT_COLUMNS)
         .dropDuplicates()
-        .orderBy("FacilityID", "OrderYearMonth")
+        # ProductID refines the order so a busy facility-day can be range-split
+        .orderBy("FacilityID", "OrderYearMonth", "ProductID")
     )
 
 

@@ -20,6 +20,7 @@ from stockflow.functions.cleaning import (
     replace_newlines,
     split_address_column,
 )
+from stockflow.operators.joins import left_join_skew_safe
 
 # Facility -> plant.
 PLANT_MAPPING = {
@@ -114,13 +115,20 @@ def manufacturing_domain(
     parts of unknown materials are kept; materials no part uses are absent.
     Part keys are text while process keys are int: the text is read as int
     with ``try_cast``, so a non-numeric key matches nothing instead of failing.
+    The material join splits a hot material on its (left) part side through
+    AQE; the parts join is written skew-safe (``operators.joins``).
     """
     product_process = goods.join(processes, "productID", "left")
     parts_keyed = parts.withColumnRenamed("ProcessID", "_part_process").withColumn(
         "_part_process_int", F.col("_part_process").try_cast("int")
     )
-    with_parts = product_process.join(
-        parts_keyed, product_process["ProcessID"] == parts_keyed["_part_process_int"], "left"
-    ).drop("_part_process", "_part_process_int")
+    # one process may own a large share of all parts: keep its rows splittable
+    with_parts = left_join_skew_safe(
+        product_process,
+        parts_keyed,
+        ["ProcessID"],
+        ["_part_process_int"],
+        product_process.columns + ["ProcessPartID", "MaterialID", "Req_Prod_Quant"],
+    )
     with_materials = with_parts.join(materials, "MaterialID", "left")
     return with_materials.select(*MANUFACTURING_DOMAIN_COLUMNS)
