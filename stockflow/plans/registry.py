@@ -122,6 +122,43 @@ class Layers:
         return self._once(("alerts", as_of), lambda: production.delay_alerts(self.schedule(as_of)))
 
 
+class StoredLayers(Layers):
+    """Layers whose silver tables are read from the catalog (as written by
+    ``Pipeline.silver``): gold queries then plan against stored Parquet, the
+    way each step runs in the layered pipeline."""
+
+    def __init__(self, spark: SparkSession, pipeline: Pipeline):
+        super().__init__(spark, sf_dir="")
+        self.pipeline = pipeline
+
+    def _silver(self, name: str) -> DataFrame:
+        return self._once(("stored", name), lambda: self.pipeline.table("silver", name))
+
+    def customers(self) -> DataFrame:
+        return self._silver("customers")
+
+    def orders(self) -> DataFrame:
+        return self._silver("customer_orders")
+
+    def goods(self) -> DataFrame:
+        return self._silver("finished_goods")
+
+    def processes(self) -> DataFrame:
+        return self._silver("manufacturing_processes")
+
+    def parts(self) -> DataFrame:
+        return self._silver("manufacturing_process_parts")
+
+    def materials(self) -> DataFrame:
+        return self._silver("material_master")
+
+    def demand_domain(self) -> DataFrame:
+        return self._silver("demand_domain")
+
+    def manufacturing_domain(self) -> DataFrame:
+        return self._silver("manufacturing_domain")
+
+
 def _q(build: Callable[[Layers], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(Layers(spark, sf_dir))
 
