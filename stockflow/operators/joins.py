@@ -48,3 +48,14 @@ def left_join_skew_safe(
         *[F.col(n) if n in left_names else F.lit(None).cast(matched.schema[n].dataType).alias(n) for n in output]
     )
     return matched.unionByName(filled)
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on same-named keys where null matches null (``<=>``); the right
+    side's copies of the keys are dropped."""
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(renamed[f"_r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])

@@ -7,9 +7,10 @@ Scale notes
   day however many orders it has.
 * The schedule is a running total per facility, and there are only a few
   facilities. A plain window would put each facility in one task. The block
-  method range-partitions the jobs on (facility, day, product), solves each
-  block locally with windows, then carries totals and the last product
-  category across block edges through a table with one row per block.
+  method cuts each facility's queue into day blocks (busy days into
+  product-id ranges), solves each block locally with windows, then carries
+  totals and the last product category across block edges through a table
+  with one row per block.
 * Delay categories need the global min and max delay; they enter the plan as
   one scalar subquery (a one-row aggregate), not as a driver round trip.
 """
@@ -22,8 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockflow.functions.derived import as_of_date, product_category
-from stockflow.operators.joins import left_join_skew_safe
-from stockflow.operators.ranking import BLOCK, join_on_blocks, range_blocks
+from stockflow.operators.joins import join_null_safe, left_join_skew_safe
 
 PEER_ORDER = ["OrderYearMonth", "ProductID"]
 # Parts of one product and day tie on PEER_ORDER; the previous-category lag
@@ -186,23 +186,39 @@ def _schedule_window(df: DataFrame, switch_cost: int) -> DataFrame:
     return df.withColumn("Running_Total", F.sum("TotalProcessingTime").over(w_peer))
 
 
-def _schedule_blocks(df: DataFrame, switch_cost: int, partitions: int | None) -> DataFrame:
-    """Same result as ``_schedule_window`` with work spread over range blocks.
+def _schedule_blocks(df: DataFrame, switch_cost: int, rows_per_block: int) -> DataFrame:
+    """Same result as ``_schedule_window`` with the work spread over blocks.
 
-    Blocks are cut on (facility, day, product), so the parts of one product
-    and day (a group of window peers) never straddle two blocks.
+    A block is a slice of one facility's queue: one day, cut into product-id
+    ranges when the day holds more than ``rows_per_block`` jobs (a busy day
+    gets proportionally more ranges). Block ids are a pure function of the
+    row and of a small per-(facility, day) table, so every branch below
+    recomputes them identically; nothing is materialized. The parts of one
+    product and day (a group of window peers) always share a block.
     """
-    seg = "FacilityID"
+    seg, day = "FacilityID", "OrderYearMonth"
     cat = F.col("ProductCategory")
     base = F.col("ProcessingTime") * F.col("Delta_produced")
-    w_row = Window.partitionBy(BLOCK, seg).orderBy(*ROW_ORDER)
-    w_peer = Window.partitionBy(BLOCK, seg).orderBy(*PEER_ORDER)
 
-    blocked = range_blocks(df, [seg, *PEER_ORDER], partitions)
+    # one row per facility and day: bounded by facilities x calendar days
+    day_stats = df.groupBy(seg, day).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min("ProductID").alias("_pmin"),
+        F.max("ProductID").alias("_pmax"),
+    )
+    ranges = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_block)))
+    span = F.col("_pmax").cast("long") - F.col("_pmin") + 1
+    sub = F.coalesce(F.floor((F.col("ProductID") - F.col("_pmin")) * ranges / span), F.lit(0))
+    keyed = join_null_safe(df, day_stats, [seg, day]).withColumn("_sub", sub).drop("_n", "_pmin", "_pmax")
+
+    block = [seg, day, "_sub"]
+    w_row = Window.partitionBy(*block).orderBy(*ROW_ORDER)
+    w_peer = Window.partitionBy(*block).orderBy(*PEER_ORDER)
+    w_all = w_row.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     local = (
-        blocked.withColumn("_first", F.row_number().over(w_row) == 1)
+        keyed.withColumn("_first", F.row_number().over(w_row) == 1)
         .withColumn("_lag", F.lag(cat).over(w_row))
-        # The first row's switch depends on the previous block: added later.
+        # the first row's switch depends on the previous block: added below
         .withColumn(
             "_base",
             F.when(F.col("_first"), base).otherwise(
@@ -210,19 +226,16 @@ def _schedule_blocks(df: DataFrame, switch_cost: int, partitions: int | None) ->
             ),
         )
         .withColumn("_run", F.sum("_base").over(w_peer))
-        # The block number is only stable within one execution of the range
-        # exchange, and two branches read it below: materialize it once.
-        .checkpoint(eager=True)
     )
 
-    row_key = F.struct(*ROW_ORDER)
-    per_block = local.groupBy(BLOCK, seg).agg(
-        F.sum("_base").alias("_bsum"),
-        F.min_by(cat, row_key).alias("_first_cat"),
-        F.min_by("_base", row_key).alias("_first_base"),
-        F.max_by(cat, row_key).alias("_last_cat"),
+    # one row per block, taken from its first row
+    summary = (
+        local.withColumn("_bsum", F.sum("_base").over(w_all))
+        .withColumn("_last_cat", F.last(cat).over(w_all))
+        .where(F.col("_first"))
+        .select(*block, "_bsum", "_last_cat", cat.alias("_first_cat"), F.col("_base").alias("_first_base"))
     )
-    w_blk = Window.partitionBy(seg).orderBy(BLOCK)
+    w_blk = Window.partitionBy(seg).orderBy(day, "_sub")
     prev_last = F.lag("_last_cat").over(w_blk)
     first_cat = F.col("_first_cat")
     first_cost = F.when(F.coalesce(prev_last, first_cat) == first_cat, F.lit(0)).otherwise(
@@ -230,21 +243,19 @@ def _schedule_blocks(df: DataFrame, switch_cost: int, partitions: int | None) ->
     )
     has_base = F.col("_first_base").isNotNull()
     carried = (
-        per_block.withColumn("_prev_last", prev_last)
+        summary.withColumn("_prev_last", prev_last)
         .withColumn("_first_cost", first_cost)
         .withColumn("_has_base", has_base)
         .withColumn(
             "_blk_total",
             F.col("_bsum") + F.when(has_base, F.col("_first_cost")).otherwise(F.lit(0)),
         )
-        .withColumn(
-            "_offset",
-            F.sum("_blk_total").over(w_blk.rowsBetween(Window.unboundedPreceding, -1)),
-        )
-        .select(BLOCK, seg, "_prev_last", "_first_cost", "_has_base", "_offset")
+        # hours of all earlier blocks of the facility (null while all null)
+        .withColumn("_offset", F.sum("_blk_total").over(w_blk.rowsBetween(Window.unboundedPreceding, -1)))
+        .select(*block, "_prev_last", "_first_cost", "_has_base", "_offset")
     )
 
-    rows = join_on_blocks(local, carried, [seg])
+    rows = join_null_safe(local, carried, block)
     first = F.col("_first")
     previous = F.when(first, F.coalesce(F.col("_prev_last"), cat)).otherwise(
         F.coalesce(F.col("_lag"), cat)
@@ -270,7 +281,7 @@ def schedule_jobs(
     switch_cost: int = 1,
     deadline_months: int = 3,
     method: str = "blocks",
-    partitions: int | None = None,
+    rows_per_block: int = 1_000_000,
 ) -> DataFrame:
     """Queue each facility's jobs in (day, product) order and total the hours.
 
@@ -279,12 +290,15 @@ def schedule_jobs(
     ProductCategory = last character of the part id; switching category from
     the previous job costs ``switch_cost`` hours; Running_Total = the
     facility's hours up to and including this (day, product).
+
+    ``method="blocks"`` (default) spreads each facility's queue over blocks of
+    about ``rows_per_block`` jobs; ``"window"`` is the single-window form.
     """
     df = _schedule_base(jobs, max_hours_day, as_of, deadline_months)
     if method == "window":
         out = _schedule_window(df, switch_cost)
     elif method == "blocks":
-        out = _schedule_blocks(df, switch_cost, partitions)
+        out = _schedule_blocks(df, switch_cost, rows_per_block)
     else:
         raise ValueError(f"unknown schedule method {method!r}")
     return out.select(*SCHEDULE_COLUMNS)

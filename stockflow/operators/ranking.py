@@ -20,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockflow.operators.joins import join_null_safe
+
 BLOCK = "_blk"
 
 
@@ -65,14 +67,7 @@ def range_blocks(df: DataFrame, keys: Sequence[str | Column], partitions: int |
 def join_on_blocks(rows: DataFrame, blocks: DataFrame, segment: Sequence[str]) -> DataFrame:
     """Attach per-block values to rows. Segment keys may be null, so the
     join is null-safe; ``blocks`` has one row per (block, segment)."""
-    renamed = blocks
-    for c in [BLOCK, *segment]:
-        renamed = renamed.withColumnRenamed(c, f"_b{c}")
-    cond = rows[BLOCK] == renamed[f"_b{BLOCK}"]
-    for c in segment:
-        cond = cond & rows[c].eqNullSafe(renamed[f"_b{c}"])
-    joined = rows.join(renamed, cond, "left")
-    return joined.drop(*[f"_b{c}" for c in [BLOCK, *segment]])
+    return join_null_safe(rows, blocks, [BLOCK, *segment])
 
 
 def sequence_number(

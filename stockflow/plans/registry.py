@@ -39,8 +39,11 @@ class Layers:
     """Silver and gold frames for one source directory, each built once.
 
     A query that needs the demand domain twice (missing inventory and the
-    per-day counts) gets the same DataFrame both times: the plan is analysed
-    once and identical subtrees share their exchanges at run time.
+    per-day counts) gets the same DataFrame both times. The frames the
+    pipeline stores as tables and later steps read more than once (the two
+    domains and the job list) are checkpointed into ``spark.checkpoint.dir``:
+    without that cut, every second reference would copy the whole upstream
+    plan, and the copies multiply along the chain.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -53,6 +56,10 @@ class Layers:
             self._memo[key] = build()
         return self._memo[key]
 
+    def _stored(self, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+        """Built once and materialized (the stand-in for a written table)."""
+        return self._once(key, lambda: build().checkpoint(eager=True))
+
     def raw(self, name: str) -> DataFrame:
         return self._once(("raw", name), lambda: fixtures.RAW_TABLES[name](self.spark, self.sf_dir))
 
@@ -79,10 +86,10 @@ class Layers:
         return self._once(("materials",), lambda: silver.silver_material_master(self.raw("material_master")))
 
     def demand_domain(self) -> DataFrame:
-        return self._once(("demand_domain",), lambda: silver.demand_domain(self.orders(), self.customers()))
+        return self._stored(("demand_domain",), lambda: silver.demand_domain(self.orders(), self.customers()))
 
     def manufacturing_domain(self) -> DataFrame:
-        return self._once(
+        return self._stored(
             ("manufacturing_domain",),
             lambda: silver.manufacturing_domain(self.goods(), self.processes(), self.parts(), self.materials()),
         )
@@ -107,7 +114,7 @@ class Layers:
         return self._once(("deltas",), lambda: production.production_deltas(self.rundown()))
 
     def jobs(self) -> DataFrame:
-        return self._once(
+        return self._stored(
             ("jobs",),
             lambda: production.job_list(self.deltas(), inventory.inventory_table(self.manufacturing_domain())),
         )

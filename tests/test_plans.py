@@ -21,10 +21,16 @@ def test_no_python_in_plans(spark):
 
 def test_schedule_is_not_single_partition(spark):
     l = Layers(spark, SF_SMALL)
-    assert "SinglePartition" not in _plan(l.schedule())
-    blocked = range_blocks(l.jobs(), ["FacilityID", "OrderYearMonth", "ProductID"], 8)
+    plan = _plan(l.schedule())
+    assert "SinglePartition" not in plan
+    # local windows are cut by facility, day and product range, not by facility alone
+    assert "hashpartitioning(FacilityID#" in plan and "_sub#" in plan
+
+
+def test_numbering_is_range_partitioned(spark):
+    blocked = range_blocks(Layers(spark, SF_SMALL).raw("finished_goods"), ["productID"], 8)
     plan = _plan(blocked)
-    assert "rangepartitioning(FacilityID" in plan and "SinglePartition" not in plan
+    assert "rangepartitioning(productID" in plan and "SinglePartition" not in plan
 
 
 def test_filter_and_columns_reach_parquet_scan(spark):

@@ -92,7 +92,7 @@ def test_delay_categories_equal_and_empty(spark):
     assert none_late.collect() == []
 
 
-def _random_jobs(seed, n_products=40, n_days=25):
+def _random_jobs(seed, n_products=60, n_days=12):
     rng = random.Random(seed)
     facilities = ["F1", "F2", "F3", None]
     rows = []
@@ -117,8 +117,8 @@ def test_blocks_equal_window(spark, seed):
     rng.shuffle(shuffled)
     jobs = _jobs(spark, rows)
     expected = sorted(production.schedule_jobs(jobs, 8, as_of=D(2024, 1, 15), method="window").collect())
-    for parts in (3, 7):
+    for rows_per_block in (1, 3, 1_000_000):
         got = production.schedule_jobs(
-            _jobs(spark, shuffled), 8, as_of=D(2024, 1, 15), method="blocks", partitions=parts
+            _jobs(spark, shuffled), 8, as_of=D(2024, 1, 15), method="blocks", rows_per_block=rows_per_block
         )
         assert sorted(got.collect()) == expected
