@@ -304,16 +304,28 @@ def schedule_jobs(
     return out.select(*SCHEDULE_COLUMNS)
 
 
-def delay_alerts(schedule: DataFrame) -> DataFrame:
+def delay_alerts(schedule: DataFrame, materialize: bool = True) -> DataFrame:
     """Jobs that finish after their deadline, graded in five categories.
 
     ExpectedDelay = Running_Total - DiffHours. Cut points split the range
     between the smallest and largest delay into fifths (upper bounds
     inclusive); equal delays are all Category_1; no late job gives no rows.
+
+    The late rows are projected and deduplicated first (duplicates change
+    neither the min and max nor any category), then read twice: once by the
+    one-row min/max aggregate (a scalar subquery) and once for the rows. With
+    ``materialize`` they are checkpointed in between, so the schedule behind
+    them runs once instead of once per branch.
     """
-    late = schedule.where(F.col("Running_Total") > F.col("DiffHours")).withColumn(
-        "ExpectedDelay", F.col("Running_Total") - F.col("DiffHours")
+    keep = [c for c in ALERT_COLUMNS if c != "DelayCategory"]
+    late = (
+        schedule.where(F.col("Running_Total") > F.col("DiffHours"))
+        .withColumn("ExpectedDelay", F.col("Running_Total") - F.col("DiffHours"))
+        .select(*keep)
+        .dropDuplicates()
     )
+    if materialize:
+        late = late.checkpoint(eager=True)
     bounds = late.agg(
         F.struct(F.min("ExpectedDelay").alias("lo"), F.max("ExpectedDelay").alias("hi")).alias("b")
     ).scalar()
@@ -327,7 +339,6 @@ def delay_alerts(schedule: DataFrame) -> DataFrame:
     return (
         late.withColumn("DelayCategory", category)
         .select(*ALERT_COLUMNS)
-        .dropDuplicates()
         # ProductID refines the order so a busy facility-day can be range-split
         .orderBy("FacilityID", "OrderYearMonth", "ProductID")
     )

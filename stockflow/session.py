@@ -25,6 +25,26 @@ DEFAULT_CONF = {
 }
 
 
+# Starting point for a large cluster (~100 TB input, ~1000 executors with a
+# few cores and 8-16 GB each). Scan splits of 512 MB keep the task count near
+# 200k; shuffles start wide and AQE merges them towards 256 MB partitions,
+# so a partition always fits an executor's memory and spills otherwise.
+# Broadcasts stay capped at 64 MB (runtime size, checked by AQE); above that
+# joins shuffle, and AQE splits skewed partitions.
+CLUSTER_CONF = {
+    **DEFAULT_CONF,
+    "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "100000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.shuffle.compress": "true",
+    "spark.checkpoint.compress": "true",
+}
+
+
 def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
