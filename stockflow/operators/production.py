@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from stockflow.functions.derived import as_of_date, product_category
 from stockflow.operators.joins import join_null_safe, left_join_skew_safe
+from stockflow.session import materialize as checkpoint_once
 
 PEER_ORDER = ["OrderYearMonth", "ProductID"]
 # Parts of one product and day tie on PEER_ORDER; the previous-category lag
@@ -186,6 +187,25 @@ def _schedule_window(df: DataFrame, switch_cost: int) -> DataFrame:
     return df.withColumn("Running_Total", F.sum("TotalProcessingTime").over(w_peer))
 
 
+def assign_schedule_blocks(df: DataFrame, rows_per_block: int) -> DataFrame:
+    """Adds ``_sub``: the product-id range of the row within its facility-day.
+
+    A facility-day with n jobs is cut into ceil(n / rows_per_block) equal
+    product-id ranges (at least one), read from a table with one row per
+    facility and day (bounded by facilities x calendar days).
+    """
+    seg, day = "FacilityID", "OrderYearMonth"
+    day_stats = df.groupBy(seg, day).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min("ProductID").alias("_pmin"),
+        F.max("ProductID").alias("_pmax"),
+    )
+    ranges = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_block)))
+    span = F.col("_pmax").cast("long") - F.col("_pmin") + 1
+    sub = F.coalesce(F.floor((F.col("ProductID") - F.col("_pmin")) * ranges / span), F.lit(0))
+    return join_null_safe(df, day_stats, [seg, day]).withColumn("_sub", sub).drop("_n", "_pmin", "_pmax")
+
+
 def _schedule_blocks(df: DataFrame, switch_cost: int, rows_per_block: int) -> DataFrame:
     """Same result as ``_schedule_window`` with the work spread over blocks.
 
@@ -200,17 +220,7 @@ def _schedule_blocks(df: DataFrame, switch_cost: int, rows_per_block: int) -> Da
     cat = F.col("ProductCategory")
     base = F.col("ProcessingTime") * F.col("Delta_produced")
 
-    # one row per facility and day: bounded by facilities x calendar days
-    day_stats = df.groupBy(seg, day).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min("ProductID").alias("_pmin"),
-        F.max("ProductID").alias("_pmax"),
-    )
-    ranges = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_block)))
-    span = F.col("_pmax").cast("long") - F.col("_pmin") + 1
-    sub = F.coalesce(F.floor((F.col("ProductID") - F.col("_pmin")) * ranges / span), F.lit(0))
-    keyed = join_null_safe(df, day_stats, [seg, day]).withColumn("_sub", sub).drop("_n", "_pmin", "_pmax")
-
+    keyed = assign_schedule_blocks(df, rows_per_block)
     block = [seg, day, "_sub"]
     w_row = Window.partitionBy(*block).orderBy(*ROW_ORDER)
     w_peer = Window.partitionBy(*block).orderBy(*PEER_ORDER)
@@ -325,7 +335,7 @@ def delay_alerts(schedule: DataFrame, materialize: bool = True) -> DataFrame:
         .dropDuplicates()
     )
     if materialize:
-        late = late.checkpoint(eager=True)
+        late = checkpoint_once(late)
     bounds = late.agg(
         F.struct(F.min("ExpectedDelay").alias("lo"), F.max("ExpectedDelay").alias("hi")).alias("b")
     ).scalar()

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockflow.operators.joins import join_null_safe
+from stockflow.session import materialize
 
 BLOCK = "_blk"
 
@@ -82,7 +83,7 @@ def sequence_number(
     order = _cols(order_cols)
     blocked = range_blocks(df, [*segment, *order], partitions)
     w_local = Window.partitionBy(BLOCK, *segment).orderBy(*order)
-    local = blocked.withColumn("_local", F.row_number().over(w_local)).checkpoint(eager=True)
+    local = materialize(blocked.withColumn("_local", F.row_number().over(w_local)))
     counts = local.groupBy(BLOCK, *segment).agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*segment).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from stockflow.functions import cleaning
 from stockflow.operators import demand, inventory, production, silver
 from stockflow.plans.pipeline import Layout, Pipeline
-from stockflow.session import scratch_path
+from stockflow.session import materialize, scratch_path
 from stockflow.sources import fixtures
 from stockflow.sources.bronze import bronze_ingest
 from stockflow.sources.catalog import ensure_database, read_table, write_table
@@ -58,7 +58,7 @@ class Layers:
 
     def _stored(self, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
         """Built once and materialized (the stand-in for a written table)."""
-        return self._once(key, lambda: build().checkpoint(eager=True))
+        return self._once(key, lambda: materialize(build()))
 
     def raw(self, name: str) -> DataFrame:
         return self._once(("raw", name), lambda: fixtures.RAW_TABLES[name](self.spark, self.sf_dir))

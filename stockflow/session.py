@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every entry point wants. AQE re-plans joins and coalesces
 # partitions from runtime statistics; skew-join splitting is on by default
@@ -89,3 +89,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for a scratch table beside the checkpoints (shared storage)."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "stockflow-scratch", name)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` into the session's shared checkpoint folder (eager):
+    the lineage is cut, later readers share one computed copy, and a lost
+    executor re-reads it instead of recomputing the upstream plan."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

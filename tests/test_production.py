@@ -122,3 +122,21 @@ def test_blocks_equal_window(spark, seed):
             _jobs(spark, shuffled), 8, as_of=D(2024, 1, 15), method="blocks", rows_per_block=rows_per_block
         )
         assert sorted(got.collect()) == expected
+
+
+def test_busy_day_is_split_into_ranges(spark):
+    rows = [(p, D(2024, 1, 1), 1, "1", f"{p + 1}_1", 1, "F1", 3) for p in range(100)]
+    rows += [(p, D(2024, 1, 2), 1, "1", f"{p + 1}_1", 1, "F1", 3) for p in range(5)]
+    keyed = production.assign_schedule_blocks(_jobs(spark, rows), rows_per_block=10)
+    subs = {r[0]: r[1] for r in keyed.groupBy("OrderYearMonth").agg(F.countDistinct("_sub")).collect()}
+    assert subs[D(2024, 1, 1)] == 10 and subs[D(2024, 1, 2)] == 1
+    sizes = [r[1] for r in keyed.groupBy("OrderYearMonth", "_sub").count().collect()]
+    assert max(sizes) <= 10
+
+
+def test_alerts_same_without_materialize(spark):
+    rows = _random_jobs(4)
+    sched = production.schedule_jobs(_jobs(spark, rows), 8, as_of=D(2024, 1, 3))
+    a = sorted(production.delay_alerts(sched).collect())
+    b = sorted(production.delay_alerts(sched, materialize=False).collect())
+    assert a == b and len(a) > 0
