@@ -95,7 +95,6 @@ def inventory_rundown(per_day: DataFrame, missing: DataFrame) -> DataFrame:
     df = df.withColumn("running_total", F.sum("count").over(w))
     df = df.withColumns(
         {
-            "_remaining": remaining,
             "end_inventory": F.when(remaining < 0, F.lit(0)).otherwise(remaining),
             "Total_produced": F.when(remaining < 0, -remaining).otherwise(F.lit(0)),
         }
