@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from stockflow import schemas
 from stockflow.operators import demand, inventory, production, silver
 from stockflow.sources.bronze import BRONZE_TABLES, bronze_ingest
 from stockflow.sources.catalog import ensure_database, read_table, write_table
@@ -53,13 +54,16 @@ class Pipeline:
         return read_table(self.spark, f"{self.layout.db(layer)}.{name}")
 
     def save(self, df: DataFrame, layer: str, name: str) -> str:
+        declared = {"silver": schemas.SILVER, "gold": schemas.GOLD}.get(layer, {})
+        if name in declared:
+            schemas.check_schema(df, declared[name], f"{layer}.{name}")
         ensure_database(self.spark, self.layout.db(layer), f"{self.layout.root}/{layer}")
         return write_table(df, f"{self.layout.db(layer)}.{name}", self.layout.path(layer, name), self.layout.fmt)
 
-    def bronze(self, read_source: Callable[[str], DataFrame]) -> dict[str, str]:
+    def bronze(self, read_source: Callable[[str], DataFrame], check: bool = True) -> dict[str, str]:
         return bronze_ingest(
             self.spark, read_source, self.layout.db("bronze"), f"{self.layout.root}/bronze", BRONZE_TABLES,
-            self.layout.fmt,
+            self.layout.fmt, schemas=schemas.INPUTS if check else None,
         )
 
     def silver(self) -> dict[str, str]:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stockflow.schemas import check_schema
 from stockflow.sources.catalog import ensure_database, write_table
 
 BRONZE_TABLES = [
@@ -25,11 +26,19 @@ def bronze_ingest(
     location: str,
     tables: Sequence[str] = BRONZE_TABLES,
     fmt: str = "parquet",
+    schemas: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
     """For each table name: ``read(name)`` (e.g. a JDBC read) and save it as
-    ``database.name`` under ``location/name``. Returns name -> table."""
+    ``database.name`` under ``location/name``. Returns name -> table.
+
+    With ``schemas`` (name -> DDL, e.g. ``stockflow.schemas.INPUTS``) each
+    source is checked against its declared schema before anything is written.
+    """
     ensure_database(spark, database, location)
     written = {}
     for name in tables:
-        written[name] = write_table(read(name), f"{database}.{name}", f"{location}/{name}", fmt)
+        df = read(name)
+        if schemas and name in schemas:
+            check_schema(df, schemas[name], f"source table {name}")
+        written[name] = write_table(df, f"{database}.{name}", f"{location}/{name}", fmt)
     return written
