@@ -1,15 +1,22 @@
-"""A left outer join whose hot keys can be split on either side.
+"""A left outer join whose hot keys are split, whichever side they are on.
 
-AQE's skew handling splits an oversized join partition only on a side whose
-rows may be duplicated freely: for ``left`` outer joins that is the left
-side. A key that is hot on the right (one process with a third of all parts)
-would stay in one task. Written as
+AQE's skew handling splits an oversized join partition only when both join
+inputs are fresh shuffles and only on a side whose rows may be duplicated
+(for a left outer join: the left side). A key that is hot on the right (one
+process with a third of all parts), or a left input that arrives already
+partitioned (the output of a window), stays in one task. So the split is
+made explicit:
 
-    matched   = left INNER JOIN right            (AQE may split either side)
+    hot       = right keys with more than ``hot_rows`` rows, and into how many
+                pieces each is cut (one row per hot key, at most
+                |right| / hot_rows rows: broadcast with a proven bound)
+    matched   = left x pieces  INNER JOIN  right with a piece number
+                (a hot key's right rows are spread over its pieces by a row
+                hash; its left rows are repeated once per piece)
     unmatched = left LEFT ANTI JOIN distinct(right keys)
 
-the result is the same rows, and the anti join only sees each right key
-once (duplicates collapse map-side before the shuffle).
+The union is exactly the left outer join. Non-hot keys get one piece and
+are joined as usual.
 """
 
 from __future__ import annotations
@@ -19,6 +26,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+PIECE = "_piece"
+PIECES = "_pieces"
+
 
 def left_join_skew_safe(
     left: DataFrame,
@@ -26,23 +36,54 @@ def left_join_skew_safe(
     left_keys: Sequence[str],
     right_keys: Sequence[str],
     output: Sequence[str],
+    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """``left`` LEFT OUTER JOIN ``right`` on left_keys[i] = right_keys[i];
     returns the ``output`` columns (unmatched rows get nulls for right columns).
 
     Column names must not collide between the sides (rename right keys first).
+    A right key with more than ``hot_rows`` rows is cut into
+    ceil(rows / hot_rows) pieces.
     """
-    cond = None
+    key_counts = right.groupBy(*right_keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = key_counts.where(F.col("_rows") > hot_rows).select(
+        *right_keys, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias(PIECES)
+    )
+    hot_b = F.broadcast(hot)
+
+    right_hot = right.join(hot_b, list(right_keys), "left")
+    right_pieces = right_hot.withColumn(
+        PIECE,
+        F.when(F.col(PIECES).isNull(), F.lit(0)).otherwise(
+            F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.col(PIECES)).cast("int")
+        ),
+    ).drop(PIECES)
+
+    hot_l = hot_b
     for lk, rk in zip(left_keys, right_keys):
-        c = left[lk] == right[rk]
+        hot_l = hot_l.withColumnRenamed(rk, f"_h_{lk}")
+    cond = None
+    for lk in left_keys:
+        c = left[lk] == hot_l[f"_h_{lk}"]
         cond = c if cond is None else cond & c
-    matched = left.join(right, cond, "inner").select(*output)
-    keys = right.select(*right_keys).dropDuplicates()
-    anti_cond = None
+    left_hot = left.join(hot_l, cond, "left").drop(*[f"_h_{lk}" for lk in left_keys])
+    left_pieces = left_hot.withColumn(
+        PIECE, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(PIECES), F.lit(1)) - 1))
+    ).drop(PIECES)
+
+    match = None
+    for lk, rk in zip(left_keys, right_keys):
+        c = left_pieces[lk] == right_pieces[rk]
+        match = c if match is None else match & c
+    match = match & (left_pieces[PIECE] == right_pieces[PIECE])
+    matched = left_pieces.join(right_pieces, match, "inner").select(*output)
+
+    keys = key_counts.select(*right_keys)
+    anti = None
     for lk, rk in zip(left_keys, right_keys):
         c = left[lk] == keys[rk]
-        anti_cond = c if anti_cond is None else anti_cond & c
-    unmatched = left.join(keys, anti_cond, "left_anti")
+        anti = c if anti is None else anti & c
+    unmatched = left.join(keys, anti, "left_anti")
     left_names = set(left.columns)
     filled = unmatched.select(
         *[F.col(n) if n in left_names else F.lit(None).cast(matched.schema[n].dataType).alias(n) for n in output]

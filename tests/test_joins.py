@@ -10,7 +10,9 @@ def test_left_join_skew_safe_equals_left_join(spark):
     right_rows = [(0 if rng.random() < 0.5 else rng.choice([None, 1, 2, 3, 9]), f"r{j}") for j in range(200)]
     left = spark.createDataFrame(left_rows, "k int, a int")
     right = spark.createDataFrame(right_rows, "rk int, b string")
-    got = left_join_skew_safe(left, right, ["k"], ["rk"], ["k", "a", "b"])
     want = left.join(right, left.k == right.rk, "left").select("k", "a", "b")
-    assert got.dtypes == want.dtypes
-    assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
+    expected = sorted(want.collect(), key=repr)
+    for hot_rows in (1_000_000, 30, 7):  # no hot key; key 0 hot; several hot keys
+        got = left_join_skew_safe(left, right, ["k"], ["rk"], ["k", "a", "b"], hot_rows=hot_rows)
+        assert got.dtypes == want.dtypes
+        assert sorted(got.collect(), key=repr) == expected
