@@ -9,8 +9,10 @@ task. The two operators here keep the work spread out:
   ``salt_buckets * k`` rows per group are ranked again. The result is exact.
 * ``sequence_number``: numbering in a global (or per-segment) order. Rows are
   range-partitioned on (segment, order) so that every block holds a contiguous
-  slice of the order, numbered locally; the block counts (one row per block)
-  are prefix-summed and added back.
+  slice of the order, numbered locally; the counts of earlier blocks are
+  prefix-summed and added back. Only a block's first segment can continue
+  from earlier blocks, so the added offsets form a table of at most one row
+  per block, broadcast with that bound.
 """
 
 from __future__ import annotations
@@ -86,10 +88,14 @@ def sequence_number(
     local = materialize(blocked.withColumn("_local", F.row_number().over(w_local)))
     counts = local.groupBy(BLOCK, *segment).agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*segment).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        BLOCK, *segment, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off")
-    )
-    out = join_on_blocks(local, offsets, segment)
-    return out.withColumn(name, (F.col("_local") + F.col("_off")).cast("int")).drop(
-        BLOCK, "_local", "_off"
+    # Rows are range-partitioned on (segment, order), so only the first
+    # segment of a block can have rows in earlier blocks: at most one row per
+    # block has a positive offset. That table (<= number of blocks rows) is
+    # broadcast; every other row's offset is 0.
+    offsets = (
+        counts.select(BLOCK, *segment, F.sum("_cnt").over(before).alias("_off"))
+        .where(F.col("_off") > 0)
     )
+    out = join_on_blocks(local, F.broadcast(offsets), segment)
+    number = F.col("_local") + F.coalesce(F.col("_off"), F.lit(0))
+    return out.withColumn(name, number.cast("int")).drop(BLOCK, "_local", "_off")
