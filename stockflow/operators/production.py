@@ -338,7 +338,10 @@ def delay_alerts(schedule: DataFrame, materialize: bool = True) -> DataFrame:
     bounds = late.agg(
         F.struct(F.min("ExpectedDelay").alias("lo"), F.max("ExpectedDelay").alias("hi")).alias("b")
     ).scalar()
-    lo, hi = bounds.getField("lo"), bounds.getField("hi")
+    # attach the one-row aggregate once; every cut point reads this column,
+    # so the subquery runs once rather than once per reference
+    late = late.withColumn("_b", bounds)
+    lo, hi = F.col("_b.lo"), F.col("_b.hi")
     cuts = [lo + F.lit(frac) * (hi - lo) for frac in DELAY_CUTS]
     delay = F.col("ExpectedDelay")
     category = F.when(delay <= cuts[0], F.lit(DELAY_CATEGORIES[0]))

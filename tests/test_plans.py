@@ -41,3 +41,9 @@ def test_filter_and_columns_reach_parquet_scan(spark):
     plan = _plan(q)
     assert "PushedFilters: [IsNotNull(status), EqualTo(status,open)]" in plan
     assert "ReadSchema: struct<productID:int,status:string>" in plan
+
+
+def test_delay_bounds_subquery_runs_once(spark):
+    df = Layers(spark, SF_SMALL).alerts()
+    df.collect()
+    assert _plan(df).count("scalar-subquery") == 1
