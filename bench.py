@@ -3,7 +3,7 @@
 Two parts, both at BENCH_SF_DIR (default /root/testdata/sf0.1) on
 local[BENCH_CPUS] (default 8):
 
-* ``pipeline_*``: the layered pipeline as it runs in production: bronze
+* ``layers_*``: the layered table graph as it runs in production: bronze
   ingest of the six raw tables, the silver layer (6 cleaned tables + 2
   domains), and the gold layer (7 tables, job list, delay alerts), each step
   reading the tables of the previous one.
@@ -27,7 +27,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from stockflow.operators import demand, inventory, production  # noqa: E402
-from stockflow.plans.pipeline import Layout, Pipeline  # noqa: E402
+from stockflow.plans.layered import Layout, LayeredRun  # noqa: E402
 from stockflow.plans.registry import ENTRY_AS_OF, MAX_HOURS_DAY, StoredLayers  # noqa: E402
 from stockflow.session import build_session, scratch_path  # noqa: E402
 from stockflow.sources import fixtures  # noqa: E402
@@ -65,13 +65,13 @@ def main() -> None:
         app_name="stockflow-bench",
         extra_conf={"spark.driver.memory": "16g", "spark.local.dir": tempfile.mkdtemp(prefix="bench-")},
     )
-    pipe = Pipeline(spark, Layout(root=scratch_path(spark, "bench"), prefix="stockflow_bench_"))
+    pipe = LayeredRun(spark, Layout(root=scratch_path(spark, "bench"), prefix="stockflow_bench_"))
     source = lambda t: fixtures.RAW_TABLES[t](spark, sf_dir)
     cold, warm = {}, {}
     steps = {
-        "pipeline_bronze": lambda: pipe.bronze(source),
-        "pipeline_silver": pipe.silver,
-        "pipeline_gold": lambda: pipe.gold(AS_OF, MAX_HOURS_DAY),
+        "layers_bronze": lambda: pipe.bronze(source),
+        "layers_silver": pipe.silver,
+        "layers_gold": lambda: pipe.gold(AS_OF, MAX_HOURS_DAY),
     }
     for name, step in steps.items():
         cold[name] = timed(step)
@@ -86,7 +86,7 @@ def main() -> None:
     print(
         json.dumps(
             {
-                "metric": "pipeline_and_headline_queries_total_warm",
+                "metric": "layers_and_headline_queries_total_warm",
                 "value": round(sum(warm.values()), 3),
                 "unit": "sec",
                 "queries": warm,

@@ -45,7 +45,7 @@ SILVER_CLEANERS = {
 }
 
 
-class Pipeline:
+class LayeredRun:
     def __init__(self, spark: SparkSession, layout: Layout):
         self.spark = spark
         self.layout = layout

@@ -393,7 +393,7 @@ BODIES: dict[str, str] = {
         UNION ALL SELECT 'manufacturing_processes', count(*) FROM raw_processes
         UNION ALL SELECT 'manufacturing_process_parts', count(*) FROM raw_parts
         UNION ALL SELECT 'material_master', count(*) FROM raw_materials""",
-    "pipeline_delay_alerts": "SELECT * FROM alerts",
+    "layered_delay_alerts": "SELECT * FROM alerts",
     "delay_summary": """SELECT DelayCategory, count(*) AS AlertCount, min(ExpectedDelay) AS MinExpectedDelay,
         max(ExpectedDelay) AS MaxExpectedDelay FROM alerts GROUP BY DelayCategory""",
 }

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from stockflow.functions import cleaning
 from stockflow.operators import demand, inventory, production, silver
-from stockflow.plans.pipeline import Layout, Pipeline
+from stockflow.plans.layered import Layout, LayeredRun
 from stockflow.session import materialize, scratch_path
 from stockflow.sources import fixtures
 from stockflow.sources.bronze import bronze_ingest
@@ -131,10 +131,10 @@ class Layers:
 
 class StoredLayers(Layers):
     """Layers whose silver tables are read from the catalog (as written by
-    ``Pipeline.silver``): gold queries then plan against stored Parquet, the
+    ``LayeredRun.silver``): gold queries then plan against stored Parquet, the
     way each step runs in the layered pipeline."""
 
-    def __init__(self, spark: SparkSession, pipeline: Pipeline):
+    def __init__(self, spark: SparkSession, pipeline: LayeredRun):
         super().__init__(spark, sf_dir="")
         self.pipeline = pipeline
 
@@ -241,11 +241,11 @@ def bronze_ingest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def pipeline_delay_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def layered_delay_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run the whole table graph (bronze, silver, gold tables in shared
     scratch storage) and read the published delay alerts back."""
-    layout = Layout(root=scratch_path(spark, "pipeline"), prefix="stockflow_run_")
-    pipe = Pipeline(spark, layout)
+    layout = Layout(root=scratch_path(spark, "layered"), prefix="stockflow_run_")
+    pipe = LayeredRun(spark, layout)
     pipe.run(lambda t: fixtures.RAW_TABLES[t](spark, sf_dir), as_of=ORACLE_AS_OF, max_hours_day=MAX_HOURS_DAY)
     return pipe.table("gold", "manufacturing_delay_alerts")
 
@@ -319,7 +319,7 @@ QUERIES: dict[str, Query] = {
     # storage round trips
     "catalog_roundtrip": catalog_roundtrip,
     "bronze_ingest": bronze_ingest_query,
-    "pipeline_delay_alerts": pipeline_delay_alerts,
+    "layered_delay_alerts": layered_delay_alerts,
 }
 
 
