@@ -94,6 +94,16 @@ def main() -> None:
                 "sf": float(match.group(1)) if match else sf_dir,
                 "cpus": cpus,
                 "spark": spark.version,
+                "settings": {
+                    k: spark.conf.get(k)
+                    for k in (
+                        "spark.driver.memory",
+                        "spark.sql.shuffle.partitions",
+                        "spark.sql.adaptive.enabled",
+                        "spark.sql.ansi.enabled",
+                        "spark.sql.files.maxPartitionBytes",
+                    )
+                },
             }
         )
     )
