@@ -81,8 +81,13 @@ def sequence_number(
     partitions: int | None = None,
 ) -> DataFrame:
     """``row_number()`` over (PARTITION BY segment ORDER BY order_cols), as int,
-    without funnelling a segment (or the whole table) through one task."""
-    order = _cols(order_cols)
+    without funnelling a segment (or the whole table) through one task.
+
+    Rows that tie on ``order_cols`` have no defined order under row_number; a
+    hash of the whole row orders them, so a very common order value is also
+    spread over several blocks (only identical rows stay together).
+    """
+    order = [*_cols(order_cols), F.xxhash64(*[F.col(c) for c in df.columns])]
     blocked = range_blocks(df, [*segment, *order], partitions)
     w_local = Window.partitionBy(BLOCK, *segment).orderBy(*order)
     local = materialize(blocked.withColumn("_local", F.row_number().over(w_local)))

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stockflow.operators.ranking import sequence_number, top_k_per_group
+from stockflow.operators.ranking import range_blocks, sequence_number, top_k_per_group
 
 
 def _skewed(spark):
@@ -31,3 +31,14 @@ def test_top_k_per_group_exact_under_skew(spark):
     want = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("v"))).where("r <= 3")
     cols = ["g", "v", "r"]
     assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
+
+
+def test_sequence_number_splits_a_common_value(spark):
+    df = spark.range(4000).selectExpr("IF(id < 3000, 0, id) AS v", "id")
+    got = sequence_number(df, ["v"], name="rn", partitions=8)
+    rows = got.collect()
+    assert sorted(r.rn for r in rows) == list(range(1, 4001))
+    # numbering follows v: every row with v = 0 comes before the others
+    assert max(r.rn for r in rows if r.v == 0) == 3000
+    tagged = range_blocks(df, [F.col("v"), F.xxhash64("v", "id")], 8)
+    assert tagged.where("v = 0").select("_blk").distinct().count() > 1
