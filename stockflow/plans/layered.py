@@ -45,20 +45,43 @@ SILVER_CLEANERS = {
 }
 
 
+# Tables stored partitioned: later steps read only the open orders of the
+# demand tables, so the status filter prunes whole directories.
+PARTITIONED = {
+    ("silver", "demand_domain"): ["status"],
+    ("gold", "current_demand"): ["status"],
+}
+
+
+def _declared(layer: str) -> dict[str, str]:
+    return {"silver": schemas.SILVER, "gold": schemas.GOLD}.get(layer, {})
+
+
 class LayeredRun:
     def __init__(self, spark: SparkSession, layout: Layout):
         self.spark = spark
         self.layout = layout
 
     def table(self, layer: str, name: str) -> DataFrame:
-        return read_table(self.spark, f"{self.layout.db(layer)}.{name}")
+        df = read_table(self.spark, f"{self.layout.db(layer)}.{name}")
+        declared = _declared(layer)
+        if name in declared:
+            # partition columns come back last; restore the declared order
+            df = df.select(*[f.name for f in schemas.struct(declared[name]).fields])
+        return df
 
     def save(self, df: DataFrame, layer: str, name: str) -> str:
-        declared = {"silver": schemas.SILVER, "gold": schemas.GOLD}.get(layer, {})
+        declared = _declared(layer)
         if name in declared:
             schemas.check_schema(df, declared[name], f"{layer}.{name}")
         ensure_database(self.spark, self.layout.db(layer), f"{self.layout.root}/{layer}")
-        return write_table(df, f"{self.layout.db(layer)}.{name}", self.layout.path(layer, name), self.layout.fmt)
+        return write_table(
+            df,
+            f"{self.layout.db(layer)}.{name}",
+            self.layout.path(layer, name),
+            self.layout.fmt,
+            partition_by=PARTITIONED.get((layer, name)),
+        )
 
     def bronze(self, read_source: Callable[[str], DataFrame], check: bool = True) -> dict[str, str]:
         return bronze_ingest(

@@ -47,3 +47,20 @@ def test_delay_bounds_subquery_runs_once(spark):
     df = Layers(spark, SF_SMALL).alerts()
     df.collect()
     assert _plan(df).count("scalar-subquery") == 1
+
+
+def test_open_orders_prune_status_partitions(spark):
+    from stockflow.operators import production
+    from stockflow.plans.layered import Layout, LayeredRun
+    from stockflow.sources import fixtures
+
+    run = LayeredRun(spark, Layout(root=scratch_path(spark, "test_prune"), prefix="stockflow_test_prune_"))
+    run.bronze(lambda t: fixtures.RAW_TABLES[t](spark, SF_SMALL))
+    run.silver()
+    run.gold("1998-01-01")
+    current = run.table("gold", "current_demand")
+    assert current.columns[-1] == "OrderYearMonth"
+    plan = production.open_orders_by_product_day(current)._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    assert "PartitionFilters: [isnotnull(status" in plan and "(status" in plan
