@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 # Weight per demand category; a category's share of sales is
 # its weight over the sum of all weights (15).
 DEMAND_WEIGHTS = {"Very High": 5, "High": 4, "Medium": 3, "Low": 2, "Very Low": 1}
+# Closure probability in percent = base + per-month step times
+# calendar months since the order, capped at the maximum.
+CLOSURE_BASE_PCT, CLOSURE_STEP_PCT, CLOSURE_MAX_PCT = 10, 30, 100
 
 
 def as_of_date(as_of: dt.date | str | Column | None) -> Column:
@@ -46,7 +49,7 @@ def closure_probability(order_date: Column, as_of: dt.date | str | Column | None
     """Percent chance an order is closed: 10 + 30 per calendar month of age,
     at most 100."""
     months = calendar_months_between(order_date, as_of_date(as_of))
-    return F.least(F.lit(10) + F.lit(30) * months, F.lit(100))
+    return F.least(F.lit(CLOSURE_BASE_PCT) + F.lit(CLOSURE_STEP_PCT) * months, F.lit(CLOSURE_MAX_PCT))
 
 
 def safety_stock(inventory: Column, reserve: int = 50) -> Column:

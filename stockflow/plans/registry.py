@@ -29,7 +29,7 @@ ORACLE_AS_OF = dt.date(1995, 1, 1)
 # Planning date for the smoke-check flagship query.
 ENTRY_AS_OF = dt.date(1998, 1, 1)
 MAX_HOURS_DAY = 8
-# The typed-map example: processing time levels.
+# The typed-map example, processing time levels.
 PROCESSING_TIME_LEVELS = {3: "low", 4: "medium", 5: "high"}
 
 Query = Callable[[SparkSession, str], DataFrame]
