@@ -36,8 +36,9 @@ def orders_by_month(demand: DataFrame) -> DataFrame:
 
 
 def current_demand(demand: DataFrame) -> DataFrame:
-    """The demand domain plus OrderYearMonth, the order date as 'yyyy-MM' text."""
-    return demand.withColumn("OrderYearMonth", F.date_format("OrderDate", "yyyy-MM"))
+    """The demand domain plus OrderYearMonth, the order date as 'yyyy-MM' text
+    (the first seven characters of the date's text; no per-row formatter)."""
+    return demand.withColumn("OrderYearMonth", F.substring(F.col("OrderDate").cast("string"), 1, 7))
 
 
 def orders_by_demand_category(orders: DataFrame) -> DataFrame:
