@@ -91,6 +91,59 @@ def left_join_skew_safe(
     return matched.unionByName(filled)
 
 
+def left_join_hot_left(
+    left: DataFrame,
+    right: DataFrame,
+    left_keys: Sequence[str],
+    right_keys: Sequence[str],
+    output: Sequence[str],
+    hot_rows: int = 1_000_000,
+) -> DataFrame:
+    """``left`` LEFT OUTER JOIN ``right`` when a key may be hot on the left
+    (one customer with a large share of all orders) and each key has few
+    right rows (a master table).
+
+    Left keys with more than ``hot_rows`` rows (a table of at most
+    |left| / hot_rows rows, broadcast with that bound) are cut into pieces:
+    their left rows are spread over the pieces by a row hash, and the right
+    rows of those keys are repeated once per piece. Every left row then meets
+    all of its right rows exactly once, so a plain left join on (key, piece)
+    is the left outer join.
+    """
+    key_counts = left.groupBy(*left_keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = F.broadcast(
+        key_counts.where(F.col("_rows") > hot_rows).select(
+            *left_keys, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias(PIECES)
+        )
+    )
+    left_pieces = left.join(hot, list(left_keys), "left")
+    left_pieces = left_pieces.withColumn(
+        PIECE,
+        F.when(F.col(PIECES).isNull(), F.lit(0)).otherwise(
+            F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.col(PIECES)).cast("int")
+        ),
+    ).drop(PIECES)
+    hot_r = hot
+    for lk, rk in zip(left_keys, right_keys):
+        hot_r = hot_r.withColumnRenamed(lk, f"_h_{rk}")
+    cond = None
+    for rk in right_keys:
+        c = right[rk] == hot_r[f"_h_{rk}"]
+        cond = c if cond is None else cond & c
+    right_pieces = (
+        right.join(hot_r, cond, "left")
+        .drop(*[f"_h_{rk}" for rk in right_keys])
+        .withColumn(PIECE, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(PIECES), F.lit(1)) - 1)))
+        .drop(PIECES)
+    )
+    match = None
+    for lk, rk in zip(left_keys, right_keys):
+        c = left_pieces[lk] == right_pieces[rk]
+        match = c if match is None else match & c
+    match = match & (left_pieces[PIECE] == right_pieces[PIECE])
+    return left_pieces.join(right_pieces, match, "left").select(*output)
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join on same-named keys where null matches null (``<=>``); the right
     side's copies of the keys are dropped."""

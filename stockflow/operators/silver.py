@@ -20,7 +20,7 @@ from stockflow.functions.cleaning import (
     replace_newlines,
     split_address_column,
 )
-from stockflow.operators.joins import left_join_skew_safe
+from stockflow.operators.joins import left_join_hot_left, left_join_skew_safe
 
 # Facility -> plant.
 PLANT_MAPPING = {
@@ -79,15 +79,21 @@ def silver_material_master(raw: DataFrame, on_error: str = "fail") -> DataFrame:
     )
 
 
-def demand_domain(orders: DataFrame, customers: DataFrame) -> DataFrame:
+def demand_domain(orders: DataFrame, customers: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
     """Orders with their customer's columns; orders of unknown customers stay
     (customer columns null). The demand category is dropped.
 
-    The join shuffles on CustomerID; AQE turns it into a broadcast join when
-    the customer side is small at run time and splits a hot customer's order
-    partition (skew join) otherwise.
+    One customer may place a large share of all orders: the join cuts such a
+    customer's orders into pieces explicitly (``left_join_hot_left``) rather
+    than relying on AQE's skew handling to notice it.
     """
-    return orders.join(customers, "CustomerID", "left").drop("demandCategory")
+    right = customers.withColumnRenamed("CustomerID", "_customer")
+    output = (
+        ["CustomerID"]
+        + [c for c in orders.columns if c not in ("CustomerID", "demandCategory")]
+        + [c for c in customers.columns if c != "CustomerID"]
+    )
+    return left_join_hot_left(orders, right, ["CustomerID"], ["_customer"], output, hot_rows)
 
 
 MANUFACTURING_DOMAIN_COLUMNS = [

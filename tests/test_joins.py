@@ -1,6 +1,6 @@
 import random
 
-from stockflow.operators.joins import left_join_skew_safe
+from stockflow.operators.joins import left_join_hot_left, left_join_skew_safe
 
 
 def test_left_join_skew_safe_equals_left_join(spark):
@@ -16,3 +16,18 @@ def test_left_join_skew_safe_equals_left_join(spark):
         got = left_join_skew_safe(left, right, ["k"], ["rk"], ["k", "a", "b"], hot_rows=hot_rows)
         assert got.dtypes == want.dtypes
         assert sorted(got.collect(), key=repr) == expected
+
+
+def test_left_join_hot_left_equals_left_join(spark):
+    rng = random.Random(12)
+    # key 0 is hot on the left; the right side is a master table with a duplicate key 2
+    left_rows = [(0 if rng.random() < 0.4 else rng.choice([None, 1, 2, 3, 4]), i) for i in range(400)]
+    right_rows = [(0, "zero"), (1, "one"), (2, "two"), (2, "two-b"), (None, "null"), (9, "nine")]
+    left = spark.createDataFrame(left_rows, "k int, a int")
+    right = spark.createDataFrame(right_rows, "rk int, b string")
+    want = left.join(right, left.k == right.rk, "left").select("k", "a", "b")
+    expected = sorted(want.collect(), key=repr)
+    for hot_rows in (1_000_000, 50, 9):
+        got = left_join_hot_left(left, right, ["k"], ["rk"], ["k", "a", "b"], hot_rows=hot_rows)
+        assert got.dtypes == want.dtypes
+        assert sorted(got.collect(), key=repr) == expected
