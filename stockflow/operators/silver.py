@@ -121,8 +121,8 @@ def manufacturing_domain(
     parts of unknown materials are kept; materials no part uses are absent.
     Part keys are text while process keys are int: the text is read as int
     with ``try_cast``, so a non-numeric key matches nothing instead of failing.
-    The material join splits a hot material on its (left) part side through
-    AQE; the parts join is written skew-safe (``operators.joins``).
+    Both the parts join (hot process on the right) and the material join (hot
+    material on the left) split hot keys explicitly (``operators.joins``).
     """
     product_process = goods.join(processes, "productID", "left")
     parts_keyed = parts.withColumnRenamed("ProcessID", "_part_process").withColumn(
@@ -136,5 +136,13 @@ def manufacturing_domain(
         ["_part_process_int"],
         product_process.columns + ["ProcessPartID", "MaterialID", "Req_Prod_Quant"],
     )
-    with_materials = with_parts.join(materials, "MaterialID", "left")
+    # one material may be used by a large share of all parts: split it explicitly
+    materials_keyed = materials.withColumnRenamed("MaterialID", "_material")
+    with_materials = left_join_hot_left(
+        with_parts,
+        materials_keyed,
+        ["MaterialID"],
+        ["_material"],
+        with_parts.columns + [c for c in materials.columns if c != "MaterialID"],
+    )
     return with_materials.select(*MANUFACTURING_DOMAIN_COLUMNS)
