@@ -64,3 +64,14 @@ def test_open_orders_prune_status_partitions(spark):
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
     assert "PartitionFilters: [isnotnull(status" in plan and "(status" in plan
+
+
+def test_demand_join_splits_hot_customers_by_piece(spark):
+    from stockflow.operators import silver
+
+    l = Layers(spark, SF_SMALL)
+    joined = silver.demand_domain(l.orders(), l.customers())
+    joined.collect()
+    plan = _plan(joined)
+    assert "BroadcastExchange" in plan  # the bounded hot-key table
+    assert "_piece" in plan  # the join runs on (customer, piece)
