@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stockflow.llm import packing, sharding
+from stockflow.llm import packing, sharding, simhash
 from stockflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,13 +20,16 @@ def byte_bpe_path() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, max_bits=4)
+    return found.select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(table(spark, sf_dir, "documents"), byte_bpe_path())
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     plan = sharding.assign_shards(sharding.shard_records(table(spark, sf_dir, "documents")), shards=16)
     return plan.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -34,6 +38,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_sharding": op8_sharding,
 }
