@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.llm import packing, sharding, simhash, toxicity
+from stockflow.llm import packing, secrets, sharding, simhash, toxicity
 from stockflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,11 +43,23 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secrets.KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(secrets.span_text(F.col("base")), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_toxicity": op4_toxicity,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_sharding": op8_sharding,
+    "op9_secret_scan": op9_secret_scan,
 }
 
 # DuckDB SQL per query, where SQL can express it.
