@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.llm import packing, secrets, sharding, simhash, toxicity
+from stockflow.llm import packing, pii, secrets, sharding, simhash, toxicity
 from stockflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,11 @@ def byte_bpe_path() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def count_kind(kind: str | int) -> Column:
+    """How many base spans are of the kind."""
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, max_bits=4)
     return found.select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
@@ -45,7 +50,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secrets.KINDS]
+    counts = [count_kind(k).alias(f"n_{k}") for k in secrets.KINDS]
     return found.select(
         "doc_id",
         *counts,
@@ -54,12 +59,25 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    counts = [count_kind(n).alias(f"n_{k}") for n, k in enumerate(pii.KINDS)]
+    no_terms = F.slice("terms", 1, 0)
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.span_text(pii.all_spans(F.col("base"), no_terms)), 256).alias("base_sha256"),
+        pii.span_text(pii.all_spans(F.col("base"), F.col("terms"))).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_toxicity": op4_toxicity,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_sharding": op8_sharding,
     "op9_secret_scan": op9_secret_scan,
+    "op10_personal_data": op10_personal_data,
 }
 
 # DuckDB SQL per query, where SQL can express it.
