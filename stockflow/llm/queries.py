@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.llm import packing, pii, secrets, sharding, simhash, toxicity
+from stockflow.llm import packing, pii, secrets, sharding, simhash, spotsigs, toxicity
 from stockflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,11 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return spotsigs.fingerprint_edits(docs, spotsigs.common_words(docs))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -73,6 +78,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_document_fingerprints": op3_document_fingerprints,
     "op4_toxicity": op4_toxicity,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_sharding": op8_sharding,
