@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.llm import packing, pii, secrets, sharding, simhash, spotsigs, toxicity
+from stockflow.llm import neighbours, packing, pii, secrets, sharding, simhash, spotsigs, toxicity
 from stockflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def count_kind(kind: str | int) -> Column:
     return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest_neighbours(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, max_bits=4)
     return found.select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
@@ -77,6 +82,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_document_fingerprints": op3_document_fingerprints,
     "op4_toxicity": op4_toxicity,
