@@ -7,17 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.llm import neighbours, packing, pii, secrets, sharding, simhash, spotsigs, toxicity
+from stockflow.llm import (
+    licences,
+    neighbours,
+    packing,
+    pieces,
+    pii,
+    secrets,
+    sharding,
+    simhash,
+    spotsigs,
+    toxicity,
+)
 from stockflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def byte_bpe_path() -> str:
-    """The public byte-level vocabulary as installed beside the libraries."""
+def tokenizer_path(name: str) -> str:
+    """A public tokenizer's file as installed beside the libraries."""
     import public_tokenizers
 
-    return str(public_tokenizers.path("byte_bpe_50k.json"))
+    return str(public_tokenizers.path(name))
 
 
 def count_kind(kind: str | int) -> Column:
@@ -46,8 +57,20 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of their source: source/language/hundred/id."""
+    docs = table(spark, sf_dir, "documents")
+    part = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("unknown"))
+    path = F.concat_ws("/", part("source"), part("lang"), F.floor(F.col("doc_id") / 100), part("doc_id"))
+    return licences.licence_scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(pieces.encode(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model")))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.best_fit_pack(table(spark, sf_dir, "documents"), byte_bpe_path())
+    return packing.best_fit_pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +109,8 @@ QUERIES: dict[str, Query] = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_document_fingerprints": op3_document_fingerprints,
     "op4_toxicity": op4_toxicity,
+    "op5_licence_scan": op5_licence_scan,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_sharding": op8_sharding,
     "op9_secret_scan": op9_secret_scan,
