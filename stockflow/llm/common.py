@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stockflow.session import materialize
 
-__all__ = ["materialize", "table", "id_text"]
+__all__ = ["materialize", "table", "id_text", "unused"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,3 +20,11 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name

@@ -30,7 +30,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockflow.llm.common import materialize
+from stockflow.llm.common import materialize, unused
 
 MIN_LONG = -(2**63)
 KEY = ("_h", "_id", "_row")
@@ -151,8 +151,10 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """Write the documents themselves, one folder per shard, in slot order;
     returns the plan. Ids must be unique for the join back to the texts."""
     plan = assign_shards(shard_records(docs, id_col, text_col), **options)
-    place = plan.select(F.col("doc_id").alias("_plan_id"), "shard", "slot")
-    rows = docs.drop("shard", "slot").join(place, F.col(id_col) == F.col("_plan_id")).drop("_plan_id")
+    docs = docs.drop("shard", "slot")
+    name = unused(docs, "plan_id")
+    place = plan.select(F.col("doc_id").alias(name), "shard", "slot")
+    rows = docs.join(place, F.col(id_col) == F.col(name)).drop(name)
     rows.repartition("shard", F.floor(F.col("slot") / 100_000)).sortWithinPartitions("shard", "slot").write.mode(
         "overwrite"
     ).partitionBy("shard").parquet(path)

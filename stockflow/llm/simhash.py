@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.llm.common import id_text, materialize
+from stockflow.llm.common import id_text, materialize, unused
 
 BITS = 64
 SHINGLE_WORDS = 4
@@ -277,6 +277,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     all its columns. Rows repeated with their id and text become one. Rows
     without an id cannot be named as a copy of another and stay."""
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    named = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    kept = docs.join(named, F.col(id_col).cast("long") == F.col("_kept_id"), "left_semi")
+    name = unused(docs, "kept_id")
+    named = found.where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
+    kept = docs.join(named, F.col(id_col).cast("long") == F.col(name), "left_semi")
     return kept.dropDuplicates([id_col, text_col]).unionByName(docs.where(F.col(id_col).isNull()))
