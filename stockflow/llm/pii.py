@@ -171,9 +171,8 @@ def disclosing_terms(docs: DataFrame, mentions: DataFrame, support: int, least:
     entities = mentions.groupBy("entity").agg(F.countDistinct("row").alias("n_entity"))
     wanted = pairs.select("term").distinct()
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(rf"\p{{L}}{{{TERM_LEAST},}}+"), F.lit(0)))
-    seen = (
-        docs.select(F.explode(words).alias("term")).join(wanted, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    )
+    # counted before the join, so that a common word is combined map-side
+    seen = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(wanted, "term")
     n = F.lit(float(max(total, 1)))
     pmi = F.log2(n * F.col("n_near") / (F.col("n_term") * F.col("n_entity")))
     ic = F.log2(n / F.col("n_entity"))
