@@ -5,29 +5,60 @@ inputs are fresh shuffles and only on a side whose rows may be duplicated
 (for a left outer join: the left side). A key that is hot on the right (one
 process with a third of all parts), or a left input that arrives already
 partitioned (the output of a window), stays in one task. So the split is
-made explicit:
-
-    hot       = right keys with more than ``hot_rows`` rows, and into how many
-                pieces each is cut (one row per hot key, at most
-                |right| / hot_rows rows: broadcast with a proven bound)
-    matched   = left x pieces  INNER JOIN  right with a piece number
-                (a hot key's right rows are spread over its pieces by a row
-                hash; its left rows are repeated once per piece)
-    unmatched = left LEFT ANTI JOIN distinct(right keys)
-
-The union is exactly the left outer join. Non-hot keys get one piece and
-are joined as usual.
+made explicit: hot keys are cut into pieces, one side's rows are spread over
+the pieces by a row hash, the other side's rows are repeated once per piece,
+and one left outer join runs on (key, piece).
+
+The table of hot keys is broadcast and has at most ``HOT_KEYS`` rows however
+large the input is: the most common keys with more than ``hot_rows`` rows. A
+key that is not in it holds at most max(hot_rows, all rows / HOT_KEYS) rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PIECE = "_piece"
 PIECES = "_pieces"
+#: Most rows of a broadcast hot-key table.
+HOT_KEYS = 10_000
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """(keys, pieces): the ``HOT_KEYS`` most common of the non-null keys with
+    more than ``hot_rows`` rows, and into how many pieces each is cut."""
+    counts = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    common = counts.where(F.col("_rows") > hot_rows).orderBy(F.desc("_rows"), *keys).limit(HOT_KEYS)
+    return F.broadcast(common.select(*keys, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias(PIECES)))
+
+
+def _equal(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [left[a] == right[b] for a, b in zip(left_keys, right_keys, strict=True)])
+
+
+def _any_null(columns: Sequence[str]) -> Column:
+    return reduce(Column.__or__, [F.col(c).isNull() for c in columns])
+
+
+def _with_pieces(df: DataFrame, keys: Sequence[str], hot: DataFrame, hot_names: Sequence[str]) -> DataFrame:
+    """``df`` with the number of its key's pieces, null for a key that isn't hot."""
+    renamed = reduce(lambda h, c: h.withColumnRenamed(c, f"_h_{c}"), hot_names, hot)
+    held = [f"_h_{c}" for c in hot_names]
+    return df.join(renamed, _equal(df, renamed, keys, held), "left").drop(*held)
+
+
+def _row_hash(columns: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(c) for c in columns])
+
+
+def _spread(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Each row in one piece of its key, by a hash of the row."""
+    pieces = F.coalesce(F.col(PIECES), F.lit(1))
+    return df.withColumn(PIECE, F.pmod(_row_hash(columns), pieces).cast("int")).drop(PIECES)
 
 
 def left_join_skew_safe(
@@ -42,53 +73,26 @@ def left_join_skew_safe(
     returns the ``output`` columns (unmatched rows get nulls for right columns).
 
     Column names must not collide between the sides (rename right keys first).
-    A right key with more than ``hot_rows`` rows is cut into
-    ceil(rows / hot_rows) pieces.
+    A right key with more than ``hot_rows`` rows is cut into pieces, and its
+    left rows are repeated once per piece. Such a left row always has matches;
+    where one of its pieces holds none, the null row of that piece is dropped.
+    Each side is read once, besides the count of the right keys. Left rows
+    with a null key get a negative piece by row hash: they match nothing and
+    lie spread over all partitions.
     """
-    key_counts = right.groupBy(*right_keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = key_counts.where(F.col("_rows") > hot_rows).select(
-        *right_keys, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias(PIECES)
+    hot = hot_keys(right, right_keys, hot_rows)
+    right_pieces = _spread(
+        _with_pieces(right.dropna(subset=list(right_keys)), right_keys, hot, right_keys), right.columns
+    ).withColumn("_matched", F.lit(True))
+
+    left_hot = _with_pieces(left, left_keys, hot, right_keys)
+    here = F.when(_any_null(left_keys), F.array(-1 - F.pmod(_row_hash(left.columns), F.lit(1 << 20)).cast("int"))).otherwise(
+        F.sequence(F.lit(0), F.coalesce(F.col(PIECES), F.lit(1)) - 1)
     )
-    hot_b = F.broadcast(hot)
-
-    right_hot = right.join(hot_b, list(right_keys), "left")
-    right_pieces = right_hot.withColumn(
-        PIECE,
-        F.when(F.col(PIECES).isNull(), F.lit(0)).otherwise(
-            F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.col(PIECES)).cast("int")
-        ),
-    ).drop(PIECES)
-
-    hot_l = hot_b
-    for lk, rk in zip(left_keys, right_keys):
-        hot_l = hot_l.withColumnRenamed(rk, f"_h_{lk}")
-    cond = None
-    for lk in left_keys:
-        c = left[lk] == hot_l[f"_h_{lk}"]
-        cond = c if cond is None else cond & c
-    left_hot = left.join(hot_l, cond, "left").drop(*[f"_h_{lk}" for lk in left_keys])
-    left_pieces = left_hot.withColumn(
-        PIECE, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(PIECES), F.lit(1)) - 1))
-    ).drop(PIECES)
-
-    match = None
-    for lk, rk in zip(left_keys, right_keys):
-        c = left_pieces[lk] == right_pieces[rk]
-        match = c if match is None else match & c
-    match = match & (left_pieces[PIECE] == right_pieces[PIECE])
-    matched = left_pieces.join(right_pieces, match, "inner").select(*output)
-
-    keys = key_counts.select(*right_keys)
-    anti = None
-    for lk, rk in zip(left_keys, right_keys):
-        c = left[lk] == keys[rk]
-        anti = c if anti is None else anti & c
-    unmatched = left.join(keys, anti, "left_anti")
-    left_names = set(left.columns)
-    filled = unmatched.select(
-        *[F.col(n) if n in left_names else F.lit(None).cast(matched.schema[n].dataType).alias(n) for n in output]
-    )
-    return matched.unionByName(filled)
+    left_pieces = left_hot.withColumn("_left_piece", F.explode(here))
+    on = _equal(left_pieces, right_pieces, left_keys, right_keys) & (F.col("_left_piece") == F.col(PIECE))
+    joined = left_pieces.join(right_pieces, on, "left")
+    return joined.where(F.col(PIECES).isNull() | F.col("_matched")).select(*output)
 
 
 def left_join_hot_left(
@@ -103,45 +107,27 @@ def left_join_hot_left(
     (one customer with a large share of all orders) and each key has few
     right rows (a master table).
 
-    Left keys with more than ``hot_rows`` rows (a table of at most
-    |left| / hot_rows rows, broadcast with that bound) are cut into pieces:
-    their left rows are spread over the pieces by a row hash, and the right
-    rows of those keys are repeated once per piece. Every left row then meets
-    all of its right rows exactly once, so a plain left join on (key, piece)
-    is the left outer join.
+    Left keys with more than ``hot_rows`` rows are cut into pieces: their left
+    rows are spread over the pieces by a row hash, and the right rows of those
+    keys are repeated once per piece. Every left row then meets all of its
+    right rows exactly once, so a plain left join on (key, piece) is the left
+    outer join. Left rows with a null key get a negative piece by row hash:
+    they match nothing and lie spread over all partitions.
     """
-    key_counts = left.groupBy(*left_keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = F.broadcast(
-        key_counts.where(F.col("_rows") > hot_rows).select(
-            *left_keys, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias(PIECES)
-        )
+    hot = hot_keys(left, left_keys, hot_rows)
+    left_hot = _with_pieces(left, left_keys, hot, left_keys)
+    row = _row_hash(left.columns)
+    mine = F.when(_any_null(left_keys), -1 - F.pmod(row, F.lit(1 << 20))).otherwise(
+        F.pmod(row, F.coalesce(F.col(PIECES), F.lit(1)))
     )
-    left_pieces = left.join(hot, list(left_keys), "left")
-    left_pieces = left_pieces.withColumn(
-        PIECE,
-        F.when(F.col(PIECES).isNull(), F.lit(0)).otherwise(
-            F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.col(PIECES)).cast("int")
-        ),
-    ).drop(PIECES)
-    hot_r = hot
-    for lk, rk in zip(left_keys, right_keys):
-        hot_r = hot_r.withColumnRenamed(lk, f"_h_{rk}")
-    cond = None
-    for rk in right_keys:
-        c = right[rk] == hot_r[f"_h_{rk}"]
-        cond = c if cond is None else cond & c
+    left_pieces = left_hot.withColumn("_left_piece", mine.cast("int")).drop(PIECES)
     right_pieces = (
-        right.join(hot_r, cond, "left")
-        .drop(*[f"_h_{rk}" for rk in right_keys])
+        _with_pieces(right, right_keys, hot, left_keys)
         .withColumn(PIECE, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(PIECES), F.lit(1)) - 1)))
         .drop(PIECES)
     )
-    match = None
-    for lk, rk in zip(left_keys, right_keys):
-        c = left_pieces[lk] == right_pieces[rk]
-        match = c if match is None else match & c
-    match = match & (left_pieces[PIECE] == right_pieces[PIECE])
-    return left_pieces.join(right_pieces, match, "left").select(*output)
+    on = _equal(left_pieces, right_pieces, left_keys, right_keys) & (F.col("_left_piece") == F.col(PIECE))
+    return left_pieces.join(right_pieces, on, "left").select(*output)
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:

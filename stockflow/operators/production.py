@@ -140,7 +140,7 @@ JOB_COLUMNS = [
 ]
 
 
-def job_list(deltas: DataFrame, inventory: DataFrame) -> DataFrame:
+def job_list(deltas: DataFrame, inventory: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
     """One job per production day and process part of the product (a day
     of a product without parts stays, with null part columns).
 
@@ -155,7 +155,7 @@ def job_list(deltas: DataFrame, inventory: DataFrame) -> DataFrame:
         "FacilityID",
         "ProcessingTime",
     )
-    return left_join_skew_safe(deltas, parts, ["ProductID"], ["_part_product"], JOB_COLUMNS)
+    return left_join_skew_safe(deltas, parts, ["ProductID"], ["_part_product"], JOB_COLUMNS, hot_rows)
 
 
 def _switched(total: Column, previous: Column, current: Column, switch_cost: int) -> Column:

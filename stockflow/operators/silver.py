@@ -113,7 +113,7 @@ MANUFACTURING_DOMAIN_COLUMNS = [
 
 
 def manufacturing_domain(
-    goods: DataFrame, processes: DataFrame, parts: DataFrame, materials: DataFrame
+    goods: DataFrame, processes: DataFrame, parts: DataFrame, materials: DataFrame, hot_rows: int = 1_000_000
 ) -> DataFrame:
     """One row per product and process part, with process and material columns.
 
@@ -124,7 +124,15 @@ def manufacturing_domain(
     Both the parts join (hot process on the right) and the material join (hot
     material on the left) split hot keys explicitly (``operators.joins``).
     """
-    product_process = goods.join(processes, "productID", "left")
+    # a product may have very many processes: split it as well
+    product_process = left_join_skew_safe(
+        goods,
+        processes.withColumnRenamed("productID", "_process_product"),
+        ["productID"],
+        ["_process_product"],
+        goods.columns + [c for c in processes.columns if c != "productID"],
+        hot_rows,
+    )
     parts_keyed = parts.withColumnRenamed("ProcessID", "_part_process").withColumn(
         "_part_process_int", F.col("_part_process").try_cast("int")
     )
@@ -135,6 +143,7 @@ def manufacturing_domain(
         ["ProcessID"],
         ["_part_process_int"],
         product_process.columns + ["ProcessPartID", "MaterialID", "Req_Prod_Quant"],
+        hot_rows,
     )
     # one material may be used by a large share of all parts: split it explicitly
     materials_keyed = materials.withColumnRenamed("MaterialID", "_material")
@@ -144,5 +153,6 @@ def manufacturing_domain(
         ["MaterialID"],
         ["_material"],
         with_parts.columns + [c for c in materials.columns if c != "MaterialID"],
+        hot_rows,
     )
     return with_materials.select(*MANUFACTURING_DOMAIN_COLUMNS)

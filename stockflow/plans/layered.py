@@ -45,9 +45,11 @@ SILVER_CLEANERS = {
 }
 
 
-# Tables stored partitioned: later steps read only the open orders of the
-# demand tables, so the status filter prunes whole directories.
-PARTITIONED = {
+# Tables whose files are sorted by a column: later steps read only the open
+# orders of the demand tables, so the pushed status filter skips row groups by
+# their statistics. (Not a partition column: Spark stores an empty partition
+# value as null, and an empty status is a value of its own here.)
+SORTED = {
     ("silver", "demand_domain"): ["status"],
     ("gold", "current_demand"): ["status"],
 }
@@ -63,25 +65,16 @@ class LayeredRun:
         self.layout = layout
 
     def table(self, layer: str, name: str) -> DataFrame:
-        df = read_table(self.spark, f"{self.layout.db(layer)}.{name}")
-        declared = _declared(layer)
-        if name in declared:
-            # partition columns come back last; restore the declared order
-            df = df.select(*[f.name for f in schemas.struct(declared[name]).fields])
-        return df
+        return read_table(self.spark, f"{self.layout.db(layer)}.{name}")
 
     def save(self, df: DataFrame, layer: str, name: str) -> str:
         declared = _declared(layer)
         if name in declared:
             schemas.check_schema(df, declared[name], f"{layer}.{name}")
         ensure_database(self.spark, self.layout.db(layer), f"{self.layout.root}/{layer}")
-        return write_table(
-            df,
-            f"{self.layout.db(layer)}.{name}",
-            self.layout.path(layer, name),
-            self.layout.fmt,
-            partition_by=PARTITIONED.get((layer, name)),
-        )
+        if (layer, name) in SORTED:
+            df = df.sortWithinPartitions(*SORTED[layer, name])
+        return write_table(df, f"{self.layout.db(layer)}.{name}", self.layout.path(layer, name), self.layout.fmt)
 
     def bronze(self, read_source: Callable[[str], DataFrame], check: bool = True) -> dict[str, str]:
         return bronze_ingest(

@@ -54,18 +54,24 @@ def struct(ddl: str) -> StructType:
     return StructType.fromDDL(ddl)
 
 
+def _kind(dtype: str) -> str:
+    """Timestamps with and without time zone are one kind: Parquet files hold
+    the latter, a database read gives the former, and both become dates."""
+    return "timestamp" if dtype == "timestamp_ntz" else dtype
+
+
 def schema_differences(df: DataFrame, ddl: str) -> list[str]:
     """Human-readable differences between ``df``'s schema and ``ddl``."""
     want = [(f.name, f.dataType.simpleString()) for f in struct(ddl).fields]
     have = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
-    if want == have:
+    if [(n, _kind(t)) for n, t in want] == [(n, _kind(t)) for n, t in have]:
         return []
     out = []
     want_d, have_d = dict(want), dict(have)
     for name, t in want:
         if name not in have_d:
             out.append(f"missing {name} {t}")
-        elif have_d[name] != t:
+        elif _kind(have_d[name]) != _kind(t):
             out.append(f"{name}: {have_d[name]} instead of {t}")
     out += [f"unexpected {n} {t}" for n, t in have if n not in want_d]
     if not out:

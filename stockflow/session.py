@@ -69,8 +69,9 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
-    Uses ``spark.checkpoint.dir`` as the cluster names it. Only when the
-    session has none (local tests) is a private folder created and set.
+    Uses ``spark.checkpoint.dir`` as the cluster names it. Only when a local
+    session has none (tests) is a private folder created and set; a cluster
+    session without the setting is refused.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -80,6 +81,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError(
+                f"spark.checkpoint.dir is not set: on {sc.master} it must name a folder that the driver and all executors share"
+            )
         configured = tempfile.mkdtemp(prefix="stockflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.operators.ranking import top_k_per_group
+from stockflow.operators.ranking import sequence_number
 
 # Fixed values of the derivation rule (FIXTURES.md section 2).
 # demandCategory by p_size % 5; the newline in "Very\nHigh" is deliberate, it
@@ -138,14 +138,13 @@ def raw_material_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_manufacturing_process_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ProcessID bigint, ProcessPartID, MaterialID bigint, Quantity bigint.
 
-    Each part's suppliers become its materials: the 2 + partkey % 3 smallest
-    supplier keys per part, numbered from 1 in key order.
+    Each part's suppliers become its materials: every distinct supplier key,
+    numbered from 1 in key order.
     """
     pairs = _table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey").distinct()
-    ranked = top_k_per_group(pairs, ["l_partkey"], [F.col("l_suppkey")], k=4, rank_col="n")
-    kept = ranked.where(F.col("n") <= F.pmod("l_partkey", F.lit(3)) + 2)
+    numbered = sequence_number(pairs, ["l_suppkey"], segment=["l_partkey"], name="n")
     process = F.col("l_partkey") + 1
-    return kept.select(
+    return numbered.select(
         process.cast("bigint").alias("ProcessID"),
         F.concat_ws("_", process.cast("string"), F.col("n").cast("string")).alias("ProcessPartID"),
         F.col("l_suppkey").cast("bigint").alias("MaterialID"),
@@ -163,7 +162,3 @@ RAW_TABLES = {
     "manufacturing_process_parts": raw_manufacturing_process_parts,
     "material_master": raw_material_master,
 }
-
-
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: build(spark, sf_dir) for name, build in RAW_TABLES.items()}

@@ -10,6 +10,8 @@ Credentials are passed by the caller, never read from files here.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -49,9 +51,29 @@ def jdbc_options(
     return opts
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, **kwargs) -> DataFrame:
-    """Read a whole database table (see ``jdbc_options`` for parallel reads)."""
-    return spark.read.format("jdbc").options(**jdbc_options(url, table, **kwargs)).load()
+def check_predicates(predicates: Sequence[str] | None, options: dict[str, str]) -> list[str] | None:
+    """The predicates as a list; they exclude a split by column."""
+    if predicates is None:
+        return None
+    if "partitionColumn" in options:
+        raise ValueError("give either predicates or partition_column, not both")
+    if isinstance(predicates, str) or not predicates:
+        raise ValueError("predicates must be a non-empty list of conditions, one per task")
+    return list(predicates)
+
+
+def read_jdbc(
+    spark: SparkSession, url: str, table: str, predicates: Sequence[str] | None = None, **kwargs
+) -> DataFrame:
+    """Read a whole database table (see ``jdbc_options`` for parallel reads).
+    ``predicates`` splits a table by any key, text too: one task per SQL
+    condition. The conditions must cover every row once (mind null keys)."""
+    options = jdbc_options(url, table, **kwargs)
+    conditions = check_predicates(predicates, options)
+    if conditions:
+        rest = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
+        return spark.read.jdbc(url, table, predicates=conditions, properties=rest)
+    return spark.read.format("jdbc").options(**options).load()
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite", **kwargs) -> None:

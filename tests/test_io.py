@@ -41,6 +41,57 @@ def test_bronze_ingest_copies_tables(spark):
     assert catalog.read_table(spark, written["a"]).dtypes == [("k", "bigint")]
 
 
+def test_bronze_accepts_a_database_timestamp(spark):
+    from stockflow import schemas
+
+    ddl = schemas.INPUTS["customer_orders"].replace("timestamp_ntz", "timestamp")
+    source = spark.createDataFrame([], ddl)
+    schemas.check_schema(source, schemas.INPUTS["customer_orders"])
+    with pytest.raises(ValueError, match="OrderDate"):
+        schemas.check_schema(source.withColumn("OrderDate", source["Date"]), schemas.INPUTS["customer_orders"])
+
+
+def test_jdbc_predicates():
+    assert jdbc.check_predicates(None, {}) is None
+    assert jdbc.check_predicates(("k < 'm'", "k >= 'm' OR k IS NULL"), {}) == ["k < 'm'", "k >= 'm' OR k IS NULL"]
+    for wrong in ("k = 1", []):
+        with pytest.raises(ValueError):
+            jdbc.check_predicates(wrong, {})
+    with pytest.raises(ValueError):
+        jdbc.check_predicates(["k = 1"], {"partitionColumn": "k"})
+
+
+def test_cluster_without_checkpoint_dir_is_refused():
+    from types import SimpleNamespace
+
+    from stockflow.session import checkpoint_dir
+
+    context = SimpleNamespace(
+        getCheckpointDir=lambda: None, master="spark://host:7077", getConf=lambda: SimpleNamespace(get=lambda k, d: d)
+    )
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d: d))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(session)
+
+
+def test_empty_status_is_the_same_lazily_and_stored(spark):
+    from stockflow.operators import demand, silver
+    from stockflow.plans.layered import Layout, LayeredRun
+
+    raw = spark.createDataFrame(
+        [(1, "C", 1, "High", None, None, "2024-01-01", "2024-01-01"), (2, "C", 1, "High", None, "open", "2024-01-01", "2024-01-01"),
+         (3, "C", 1, "High", None, "closed", "2024-01-01", "2024-01-01")],
+        "OrderID bigint, CustomerID string, productID bigint, demandCategory string, OrderDate timestamp_ntz,"
+        " status string, max_delivery_date string, Date string",
+    )
+    customers = spark.createDataFrame([("C", "Co", "S 1", "1", "X")], "CustomerID string, CompanyName string, Street string, ZipCode string, City string")
+    domain = silver.demand_domain(silver.silver_customer_orders(raw), customers)
+    run = LayeredRun(spark, Layout(root=scratch_path(spark, "test_status"), prefix="stockflow_test_status_"))
+    run.save(domain, "silver", "demand_domain")
+    stored = demand.orders_by_status(run.table("silver", "demand_domain")).collect()
+    assert sorted(stored) == sorted(demand.orders_by_status(domain).collect()) == [("", 1), ("closed", 1), ("open", 1)]
+
+
 def test_jdbc_options_plain_and_partitioned():
     plain = jdbc.jdbc_options("jdbc:x://h/db", "orders", user="u", password="p")
     assert plain == {"url": "jdbc:x://h/db", "dbtable": "orders", "user": "u", "password": "p"}

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from stockflow.operators.joins import left_join_hot_left, left_join_skew_safe
 
 
@@ -18,6 +20,29 @@ def test_left_join_skew_safe_equals_left_join(spark):
         assert sorted(got.collect(), key=repr) == expected
 
 
+def test_null_keys_are_spread(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        left = spark.range(4000).selectExpr("CAST(NULL AS int) AS k", "id AS a")
+        right = spark.createDataFrame([(1, "x"), (None, "n")], "rk int, b string")
+        for join in (left_join_skew_safe, left_join_hot_left):
+            got = join(left, right, ["k"], ["rk"], ["k", "a", "b"])
+            sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == 4000 and len(sizes) > 2 and max(sizes) < 2000
+            assert got.where("b IS NOT NULL").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_skew_safe_join_reads_the_left_side_once(spark):
+    left = spark.range(50).selectExpr("CAST(id AS int) AS k", "id AS a")
+    right = spark.range(70).selectExpr("CAST(id % 9 AS int) AS rk", "id AS b")
+    plan = left_join_skew_safe(left, right, ["k"], ["rk"], ["k", "a", "b"], hot_rows=3)._jdf.queryExecution()
+    assert plan.optimizedPlan().toString().count("Range (0, 50") == 1
+
+
 def test_left_join_hot_left_equals_left_join(spark):
     rng = random.Random(12)
     # key 0 is hot on the left; the right side is a master table with a duplicate key 2
