@@ -19,9 +19,11 @@ import regex
 
 #: Distinct cuts, and units, a worker remembers before it starts anew.
 REMEMBERED = 500_000
-_INSIDE_RUN = re.compile(r"\s \s")
+# a space between two other white-space characters; it starts with the space, which is quick to look for
+_INSIDE_RUN = re.compile(r" \s(?<=\s \s)")
 # The byte-level pre-tokenizer's units.
 _UNITS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_MARKS = frozenset(".,;:!?")
 # The bytes that byte-level vocabularies write as themselves.
 _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
@@ -33,6 +35,21 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in _PLAIN} | {b: chr(256 + i) for i, b in enumerate(other)}
 
 
+class Remembered(dict):
+    """Looks up what it knows and works out the rest, forgetting everything
+    once ``REMEMBERED`` keys are held."""
+
+    def __init__(self, work):
+        super().__init__()
+        self.work = work
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[key] = self.work(key)
+        return found
+
+
 class CachedEncoder:
     """``ids(text)`` gives the ids as little-endian unsigned 32-bit bytes."""
 
@@ -42,42 +59,35 @@ class CachedEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = byte_letters()
+        self.written = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cuts: dict[str, bytes] = {}
-        self.units: dict[str, bytes] = {}
+        self.units = Remembered(self.unit)
+        self.cuts = Remembered(self.cut)
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return b"".join(i.to_bytes(4, "little") for i in ids)
 
     def unit(self, unit: str) -> bytes:
-        known = self.units.get(unit)
-        if known is None:
-            if len(self.units) >= REMEMBERED:
-                self.units.clear()
-            letters = unit.encode().decode("latin-1").translate(self.letters)
-            known = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(letters)])
-            self.units[unit] = known
-        return known
+        letters = unit.encode().decode("latin-1").translate(self.letters)
+        return b"".join([self.written[t.id] for t in self.model.tokenize(letters)])
 
     def cut(self, cut: str) -> bytes:
-        known = self.cuts.get(cut)
-        if known is None:
-            if len(self.cuts) >= REMEMBERED:
-                self.cuts.clear()
-            known = self.cuts[cut] = b"".join([self.unit(u) for u in _UNITS.findall(cut)])
-        return known
+        # most new cuts are one plain word, maybe with a mark behind it
+        word = cut[1:] if cut[:1] == " " else cut
+        if word.isascii():
+            if word.isalpha():
+                return self.units[cut]
+            if word[-1:] in _MARKS and word[:-1].isalpha():
+                return self.units[cut[:-1]] + self.units[cut[-1]]
+        return b"".join(map(self.units.__getitem__, _UNITS.findall(cut)))
 
     def ids(self, text: str) -> bytes:
         if _INSIDE_RUN.search(text) or any(s in text for s in self.special):
             return self.whole(text)
         # every cut but the first starts with its space
         cuts = text.replace(" ", "\0 ").split("\0") if "\0" not in text else re.split("(?= )", text)
-        known = self.cuts
-        try:
-            return b"".join([known[c] for c in cuts])
-        except KeyError:
-            return b"".join([self.cut(c) for c in cuts])
+        return b"".join(map(self.cuts.__getitem__, cuts))
 
 
 @lru_cache(maxsize=1)
