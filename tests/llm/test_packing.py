@@ -1,0 +1,89 @@
+import random
+import struct
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from stockflow.llm import packing
+
+
+def fewest_bins(lengths, capacity):
+    """Brute force: the fewest bins for a handful of lengths."""
+    best = len(lengths)
+
+    def place(rest, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if not rest:
+            best = len(rooms)
+            return
+        for i, room in enumerate(rooms):
+            if room >= rest[0] and room not in rooms[:i]:
+                place(rest[1:], [*rooms[:i], room - rest[0], *rooms[i + 1 :]])
+        place(rest[1:], [*rooms, capacity - rest[0]])
+
+    place(sorted(lengths, reverse=True), [])
+    return best
+
+
+def test_search_finds_the_fewest_bins():
+    rng = random.Random(3)
+    for _ in range(60):
+        lengths = [rng.randint(1, 30) for _ in range(rng.randint(1, 9))]
+        packed = packing.pack_histogram(Counter(lengths), 30)
+        used = Counter()
+        for filling, times in packed:
+            assert sum(s * k for s, k in filling) <= 30
+            for s, k in filling:
+                used[s] += k * times
+        assert used == Counter(lengths)
+        assert sum(n for _, n in packed) == fewest_bins(lengths, 30)
+        assert packing.lower_bound(Counter(lengths), 30) <= fewest_bins(lengths, 30)
+
+
+def check_pieces(rows, texts, path, capacity=packing.CAPACITY):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    want = Counter()
+    for doc_id, text in texts:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, packing.END_ID]
+        first = len(ids) % capacity or capacity
+        starts = [0, *range(first, len(ids), capacity)]
+        for k, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)], strict=True)):
+            want[doc_id, k, a, b - a, zlib.crc32(struct.pack(f"<{b - a}I", *ids[a:b]))] += 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+    bins = defaultdict(list)
+    for r in rows:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for places in bins.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    assert len(bins) <= sum(n for _, n in packing.best_fit_decreasing(Counter(r.length for r in rows), capacity))
+
+
+def test_edge_rows(edge_docs, bpe_path):
+    texts = [(r.doc_id, r.text) for r in edge_docs.select("doc_id", "text").collect()]
+    check_pieces(packing.best_fit_pack(edge_docs, bpe_path).collect(), texts, bpe_path)
+
+
+def test_empty_table(no_docs, bpe_path):
+    assert packing.best_fit_pack(no_docs, bpe_path).count() == 0
+
+
+def test_whole_small_table(spark, sf_small, bpe_path):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    texts = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    check_pieces(packing.best_fit_pack(docs, bpe_path).collect(), texts, bpe_path)
+
+
+@pytest.mark.parametrize("text", ["a  b", " \n \t x", "\n \n", " ", "", "x\0 y z", "it's.", " don't!", " é.", " a1.", "x,,", "ab\x1cc. d"])
+def test_encoder_equals_the_library(bpe_path, text):
+    from stockflow.llm.tokens import encoder
+
+    assert encoder(bpe_path).ids(text) == encoder(bpe_path).whole(text)
