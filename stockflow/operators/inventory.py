@@ -97,7 +97,7 @@ def top_missing_inventory(missing: DataFrame, n: int = TOP_N) -> DataFrame:
 def process_numbering(goods: DataFrame, partitions: int | None = None) -> DataFrame:
     """ProcessID = 1.. in productID order, productID. One process per product."""
     numbered = sequence_number(goods.select("productID"), ["productID"], name="ProcessID", partitions=partitions)
-    return numbered.select("ProcessID", "productID")
+    return numbered.select(F.col("ProcessID").cast("int").alias("ProcessID"), "productID")
 
 
 def bom_part_ids(parts: DataFrame, partitions: int | None = None) -> DataFrame:

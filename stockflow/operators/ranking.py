@@ -80,7 +80,7 @@ def sequence_number(
     name: str = "row_number",
     partitions: int | None = None,
 ) -> DataFrame:
-    """``row_number()`` over (PARTITION BY segment ORDER BY order_cols), as int,
+    """``row_number()`` over (PARTITION BY segment ORDER BY order_cols), as long,
     without funnelling a segment (or the whole table) through one task.
 
     Rows that tie on ``order_cols`` have no defined order under row_number; a
@@ -103,4 +103,4 @@ def sequence_number(
     )
     out = join_on_blocks(local, F.broadcast(offsets), segment)
     number = F.col("_local") + F.coalesce(F.col("_off"), F.lit(0))
-    return out.withColumn(name, number.cast("int")).drop(BLOCK, "_local", "_off")
+    return out.withColumn(name, number.cast("long")).drop(BLOCK, "_local", "_off")
