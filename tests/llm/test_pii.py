@@ -43,7 +43,7 @@ def test_query_equals_brute_force(spark, sf_small):
 
 
 def test_edge_rows(edge_docs, no_docs):
-    # without the very long text: its 80,000 numbers take minutes (README, open points)
+    # without the very long text: its 80,000 numbers seem to take long (README, open points)
     some = edge_docs.where("doc_id is null or doc_id <> 5")
     assert pii.find_personal_data(some).count() == some.count()
     assert pii.find_personal_data(no_docs).count() == 0
