@@ -1,8 +1,10 @@
 """Secret scan with a recursive decoding worklist.
 
 Every text is scanned for three kinds of secrets. Then a worklist unwraps what
-is encoded in it: percent escapes, \\u and \\x escapes, base64, and compressed
-data (gzip, zlib, bzip2, xz) inside base64. Each decoded layer is scanned
+is encoded in it: percent escapes, \\u and \\x escapes (each decoded over the
+whole text, so that a key and its value are found together when only one of
+them is escaped), base64, and compressed data (gzip, zlib, bzip2, xz) inside
+base64. Each decoded layer is scanned
 again and searched for further encodings, until nothing new turns up. A layer
 whose content was seen before in the document is not entered again, so chains
 that decode into themselves end. Findings in a layer are mapped back to the
@@ -26,7 +28,8 @@ import bz2
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -50,7 +53,6 @@ WINDOW = 1 << 20
 OVERLAP = 1 << 12
 
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % BASE64_LEAST)
-_PERCENT = re.compile(r"%[0-9A-Fa-f]{2}")
 _PERCENT_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
 _URLSAFE = str.maketrans("-_", "+/")
@@ -58,11 +60,21 @@ _URLSAFE = str.maketrans("-_", "+/")
 Span = tuple[str, int, int]
 
 
-def scan_layer(text: str) -> list[Span]:
-    """The kinds' spans in one text, leftmost and non-overlapping per kind."""
+def scan_layer(text: str, every: bool = False) -> list[Span]:
+    """The kinds' spans in one text, leftmost and non-overlapping per kind. With
+    ``every``, a key whose value is too short doesn't hide one inside it, as in
+    ``token: password: ...``."""
     found: list[Span] = []
     low = text.lower()
-    if any(w in low for w in _ASSIGN_WORDS):
+    if not any(w in low for w in _ASSIGN_WORDS):
+        pass
+    elif every:
+        m = _ASSIGN.search(text)
+        while m:
+            enough = len(m[2]) >= LEAST["assign"]
+            found += [("assign", *m.span())] * enough
+            m = _ASSIGN.search(text, m.end() if enough else m.start() + 1)
+    else:
         found += [("assign", *m.span()) for m in _ASSIGN.finditer(text) if len(m[2]) >= LEAST["assign"]]
     if "AKIA" in text:
         found += [("access", *m.span()) for m in _ACCESS.finditer(text) if len(m[0]) >= LEAST["access"]]
@@ -70,40 +82,66 @@ def scan_layer(text: str) -> list[Span]:
     return found
 
 
-# A layer is its text and, for each letter, where it came from in the original
-# (starts, ends); None stands for the original itself.
-Layer = tuple[str, list[int] | None, list[int] | None]
+class Layer:
+    """A text and where its letters came from. ``root(start, end)`` maps a
+    stretch of the text that the layer's escapes were decoded from to the
+    original; the decoded letters are listed in order by their place here
+    (``at``) and their escape's there (``starts``, ``ends``). All the others
+    follow letter by letter."""
+
+    def __init__(self, text: str, root: Callable[[int, int], tuple[int, int]], at=(), starts=(), ends=()):
+        self.text, self.root, self.at, self.starts, self.ends = text, root, at, starts, ends
 
+    def inner(self, start: int, end: int) -> tuple[int, int]:
+        """The stretch of the root's text that a stretch here came from."""
+        i, j = bisect_right(self.at, start) - 1, bisect_right(self.at, end - 1) - 1
+        first, last = start, end
+        if i >= 0:
+            first = self.starts[i] if self.at[i] == start else self.ends[i] + start - self.at[i] - 1
+        if j >= 0:
+            last = self.ends[j] + end - self.at[j] - 1
+        return first, last
 
-def _place(layer: Layer, start: int, end: int) -> tuple[int, int]:
-    _, starts, ends = layer
-    return (start, end) if starts is None else (starts[start], ends[end - 1])
+    def place(self, start: int, end: int) -> tuple[int, int]:
+        return self.root(*self.inner(start, end))
 
 
-def _substitute(layer: Layer, pattern: re.Pattern, decode) -> Layer:
-    """The layer with each match replaced by ``decode(match)``, a list of
-    (letters, from, to): what the letters were decoded from in the layer."""
-    text = layer[0]
+def _substitute(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
+    """The whole layer with each match replaced by ``decode(match)``, a list of
+    (letter, from, to): what the letter was decoded from in the layer. None if
+    nothing matches."""
+    text = layer.text
     letters: list[str] = []
+    at: list[int] = []
     starts: list[int] = []
     ends: list[int] = []
+    known = size = done = 0  # decoded letters of the layer passed, letters put, letters of the layer read
+
+    def keep(upto: int) -> None:
+        nonlocal known, size
+        while known < len(layer.at) and layer.at[known] < upto:
+            if layer.at[known] >= done:
+                at.append(size + layer.at[known] - done)
+                starts.append(layer.starts[known])
+                ends.append(layer.ends[known])
+            known += 1
+        letters.append(text[done:upto])
+        size += upto - done
 
-    def put(piece: str, start: int, end: int) -> None:
-        s, e = _place(layer, start, end)
-        letters.append(piece)
-        starts.extend([s] * len(piece))
-        ends.extend([e] * len(piece))
-
-    at = 0
     for m in pattern.finditer(text):
-        for i in range(at, m.start()):
-            put(text[i], i, i + 1)
-        for piece, s, e in decode(m):
-            put(piece, s, e)
-        at = m.end()
-    for i in range(at, len(text)):
-        put(text[i], i, i + 1)
-    return "".join(letters), starts, ends
+        keep(m.start())
+        for letter, start, end in decode(m):
+            s, e = layer.inner(start, end)
+            letters.append(letter)
+            at.append(size)
+            starts.append(s)
+            ends.append(e)
+            size += 1
+        done = m.end()
+    if not at:
+        return None
+    keep(len(text))
+    return Layer("".join(letters), layer.root, at, starts, ends)
 
 
 def _percent_letters(m: re.Match) -> list[tuple[str, int, int]]:
@@ -123,29 +161,6 @@ def _escape_letter(m: re.Match) -> list[tuple[str, int, int]]:
     return [(letter, m.start(), m.end())]
 
 
-def _sub_layer(layer: Layer, start: int, end: int) -> Layer:
-    text, starts, ends = layer
-    if starts is None:
-        return text[start:end], list(range(start, end)), list(range(start + 1, end + 1))
-    return text[start:end], starts[start:end], ends[start:end]
-
-
-def _words_with(layer: Layer, pattern: re.Pattern) -> Iterator[Layer]:
-    """The white-space separated stretches that hold a match."""
-    text, done = layer[0], 0
-    for m in pattern.finditer(text):
-        if m.start() < done:
-            continue
-        start = m.start()
-        while start > done and not text[start - 1].isspace():
-            start -= 1
-        end = m.end()
-        while end < len(text) and not text[end].isspace():
-            end += 1
-        done = end
-        yield _sub_layer(layer, start, end)
-
-
 def _readable(raw: bytes) -> str | None:
     try:
         text = raw.decode("utf-8")
@@ -188,13 +203,11 @@ def _expanded(raw: bytes) -> Iterator[str] | None:
 
 def _decoded(layer: Layer) -> Iterator[Layer]:
     """The layers directly inside a layer."""
-    text = layer[0]
-    if "%" in text:
-        for word in _words_with(layer, _PERCENT):
-            yield _substitute(word, _PERCENT_RUN, _percent_letters)
-    if "\\" in text:
-        for word in _words_with(layer, _ESCAPE):
-            yield _substitute(word, _ESCAPE, _escape_letter)
+    text = layer.text
+    if "%" in text and (plain := _substitute(layer, _PERCENT_RUN, _percent_letters)):
+        yield plain
+    if "\\" in text and (plain := _substitute(layer, _ESCAPE, _escape_letter)):
+        yield plain
     for m in _BASE64.finditer(text):
         run = m[0].rstrip("=").translate(_URLSAFE)
         if len(run) % 4 == 1:
@@ -203,20 +216,18 @@ def _decoded(layer: Layer) -> Iterator[Layer]:
         start = m.start()
         inner = _readable(raw)
         if inner is not None:
-            starts, ends, at = [], [], 0
-            for letter in inner:
-                n = len(letter.encode())
-                s, e = _place(layer, start + at // 3 * 4, min(m.end(), start + (at + n + 2) // 3 * 4))
-                starts.append(s)
-                ends.append(e)
-                at += n
-            yield inner, starts, ends
+
+            def root(s: int, e: int, inner=inner, start=start, end=m.end()) -> tuple[int, int]:
+                a, b = len(inner[:s].encode()), len(inner[:e].encode())
+                return layer.place(start + a // 3 * 4, min(end, start + (b + 2) // 3 * 4))
+
+            yield Layer(inner, root)
             continue
         windows = _expanded(raw)
         if windows is not None:
-            s, e = _place(layer, start, m.end())
+            whole = layer.place(start, m.end())
             for window in windows:
-                yield window, [s] * len(window), [e] * len(window)
+                yield Layer(window, lambda s, e, whole=whole: whole)
 
 
 def scan_text(text: str) -> tuple[list[Span], list[Span]]:
@@ -226,16 +237,16 @@ def scan_text(text: str) -> tuple[list[Span], list[Span]]:
     base = sorted(scan_layer(text), key=order)
     found = set(base)
     seen = {hash(text)}
-    work = [_decoded((text, None, None))]
+    work = [_decoded(Layer(text, lambda s, e: (s, e)))]
     while work:
         layer = next(work[-1], None)
         if layer is None:
             work.pop()
             continue
-        if not layer[0] or (mark := hash((layer[0], layer[1][0]))) in seen:
+        if not layer.text or (mark := hash((layer.text, layer.place(0, 1)[0]))) in seen:
             continue
         seen.add(mark)
-        found.update((kind, *_place(layer, s, e)) for kind, s, e in scan_layer(layer[0]))
+        found.update((kind, *layer.place(s, e)) for kind, s, e in scan_layer(layer.text, every=True))
         work.append(_decoded(layer))
     return base, sorted(found, key=order)
 

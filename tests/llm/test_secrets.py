@@ -57,6 +57,34 @@ def test_escapes_map_letter_by_letter():
     assert secrets.scan_text(text)[1] == [("assign", 2, 22)]
 
 
+VALUE = "hunter2hunter2x"
+
+
+@pytest.mark.parametrize(
+    ("before", "secret"),
+    [
+        ("see ", 'token = "{p}"'),
+        ("é x ", '"password": "{u}"'),
+        ("a 50%20off b ", 'tok\\u0065n = "{v}"'),
+        ("a ", "api%5Fkey : '{v}'"),
+        ("a token: ", "password%3A {v}"),
+        ("%41 \\x41 ", "secret%20%3D%20{x}"),
+    ],
+)
+def test_escapes_beside_spaces(before, secret):
+    put = {
+        "v": VALUE,
+        "p": "".join(f"%{b:02x}" for b in VALUE.encode()),
+        "u": "".join(f"\\u{ord(c):04x}" for c in VALUE),
+        "x": "".join(f"\\x{ord(c):02x}" for c in VALUE),
+    }
+    hidden = secret.format(**put)
+    base, spans = secrets.scan_text(f"{before}{hidden} and more")
+    start = len(before) + hidden.startswith('"')
+    want = ("assign", start, len(before) + len(hidden.rstrip("\"'")))
+    assert want in spans and want not in base
+
+
 def test_edge_rows_and_masking(spark, edge_docs, no_docs):
     assert secrets.find_secrets(edge_docs).count() == edge_docs.count()
     assert secrets.find_secrets(no_docs).count() == 0
