@@ -11,10 +11,16 @@ that decode into themselves end. Findings in a layer are mapped back to the
 place in the original text that they were decoded from: escapes letter by
 letter, base64 by its groups of four letters, compressed data as a whole.
 
+Base64 is decoded over line breaks and from each of its first four letters on,
+since it may begin anywhere in a run of its letters. The bytes may be of any
+kind: compressed data is found by its magic numbers wherever it begins, also
+inside other compressed data, and one behind the other.
+
 Compressed data is expanded in windows of ``WINDOW`` letters that overlap by
 ``OVERLAP``, so a small input that expands without bound never sits in memory
 whole, and no part of it is left out; only a secret longer than the overlap
-can be cut at a window's edge (it is still found as one of its halves).
+can be cut at a window's edge (it is still found as one of its halves), and
+encoded text that crosses an edge is decoded as its parts.
 
 Defined cases: null text is empty text and has no spans; positions are code
 points, ends exclusive; overlapping finds of different kinds are all kept;
@@ -52,7 +58,17 @@ BASE64_LEAST = 16
 WINDOW = 1 << 20
 OVERLAP = 1 << 12
 
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % BASE64_LEAST)
+#: Bytes of compressed data read at a time.
+PIECE = 1 << 16
+
+_LINE = r"[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t]*"  # also written as an escape
+_LINE_BREAK = re.compile(_LINE)
+_BASE64 = re.compile(
+    r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{%d,}(?:%s[A-Za-z0-9+/_-]+)*|[A-Za-z0-9+/_-]+(?:%s[A-Za-z0-9+/_-]+)+)={0,2}"
+    % (BASE64_LEAST, _LINE, _LINE)
+)
+_MAGIC = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
+_MAGIC_MOST = 5  # letters of a magic number that the end of a piece can hold
 _PERCENT_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
 _URLSAFE = str.maketrans("-_", "+/")
@@ -161,44 +177,148 @@ def _escape_letter(m: re.Match) -> list[tuple[str, int, int]]:
     return [(letter, m.start(), m.end())]
 
 
-def _readable(raw: bytes) -> str | None:
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if all(c.isprintable() or c in "\t\r\n" for c in text) else None
-
-
-def _expanded(raw: bytes) -> Iterator[str] | None:
-    """Windows of decompressed text, or None if nothing known is compressed."""
-    if raw[:2] == b"\x1f\x8b" or (raw[:1] == b"\x78" and len(raw) > 6 and (raw[0] * 256 + raw[1]) % 31 == 0):
-        box = zlib.decompressobj(47)
-        step = lambda data: box.decompress(data, WINDOW)
-        rest = lambda: box.unconsumed_tail
-    elif raw[:3] == b"BZh" or raw[:6] == b"\xfd7zXZ\x00":
-        box = bz2.BZ2Decompressor() if raw[:1] == b"B" else lzma.LZMADecompressor()
-        step = lambda data: box.decompress(data, WINDOW)
-        rest = lambda: b""
-    else:
-        return None
+class _Member:
+    """Finds compressed data in bytes that come piece by piece, and expands it.
+    Between compressed data the bytes are searched for its magic numbers. What
+    only looked like compressed data, or is cut short, is searched again from
+    its second byte on, as long as it is no more than ``WINDOW`` bytes."""
+
+    def __init__(self):
+        self.box = None
+        self.tail = self.held = b""
+        self.kept = ""
+        self.ended = False  # compressed data has just ended; what follows at once goes on with its text
+        self.left = 0  # how many bytes followed from where the data began
+
+    def step(self, data: memoryview) -> tuple[bytes, memoryview | None, bool]:
+        """(expanded bytes, what is left to read or None, whether new
+        compressed data begins there)."""
+        if self.box is None:
+            if self.tail:
+                data, self.tail = memoryview(self.tail + bytes(data)), b""
+            m = _MAGIC.search(data)
+            if m is None:
+                self.tail, self.ended = bytes(data[-_MAGIC_MOST:]), False
+                return b"", None, False
+            if m[0][:1] == b"B":
+                self.box = bz2.BZ2Decompressor()
+            else:
+                self.box = lzma.LZMADecompressor() if m[0][:1] == b"\xfd" else zlib.decompressobj(47)
+            self.held = b""
+            data = data[m.start() :]
+            if m.start() or not self.ended:
+                self.kept, self.left = "", len(data)
+                return b"", data, True
+        more = getattr(self.box, "needs_input", True)
+        piece = data[:PIECE] if more else data[:0]
+        try:
+            out = self.box.decompress(piece, WINDOW)
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, MemoryError):
+            self.box, self.ended = None, False
+            if self.held is None:
+                return b"", data, False
+            again = memoryview(self.held + bytes(data)) if self.held else data
+            return b"", again[1:], False
+        over = self.box.eof
+        unread = self.box.unused_data if over else getattr(self.box, "unconsumed_tail", b"")
+        if len(unread) > len(piece):  # the box had bytes of earlier pieces
+            rest = memoryview(unread + bytes(data[len(piece) :]))
+        else:
+            rest = data[len(piece) - len(unread) :]
+        if over:
+            self.box, self.ended = None, True
+            return out, rest if len(rest) else None, False
+        if self.held is not None:
+            self.held += piece[: len(piece) - len(unread)]
+            if len(self.held) > WINDOW:
+                self.held = None
+        waits = not len(rest) and getattr(self.box, "needs_input", len(out) < WINDOW)
+        return out, None if waits else rest, False
+
+    def again(self) -> memoryview | None:
+        """At the end of the bytes: what to search again of data cut short."""
+        cut = self.box is not None and bool(self.held)
+        self.box, self.ended, self.tail = None, False, b""
+        return memoryview(self.held)[1:] if cut else None
+
+
+def _extents(raw: bytes) -> dict[int, int]:
+    """Where each stretch of compressed data in ``raw`` begins and ends."""
+    member, data, ends = _Member(), memoryview(raw), {}
+    while data is not None:
+        _, data, _ = member.step(data)
+        if member.ended:
+            ends[len(raw) - member.left] = len(raw) - (0 if data is None else len(data))
+        if data is None:
+            data = member.again()
+    return ends
+
+
+def _expanded(raw: bytes) -> Iterator[tuple[int, str]]:
+    """Windows of the text of all compressed data in ``raw``, also of that
+    inside other compressed data, each with the place in ``raw`` where its data
+    begins. The inner data is read while the outer one is expanded, one window
+    of each at a time."""
+    inside = [_Member()]
+    work = [(0, memoryview(raw))]
+
+    def cut_short(depth: int) -> list[tuple[int, memoryview]]:
+        return [(d, data) for d in range(depth, len(inside)) if (data := inside[d].again()) is not None]
+
+    while work or (work := cut_short(0)):
+        depth, data = work.pop()
+        member = inside[depth]
+        out, rest, begins = member.step(data)
+        if rest is not None:
+            work.append((depth, rest))
+        if begins:
+            work += cut_short(depth + 1)
+        if out:
+            text = member.kept + out.decode("latin-1")
+            yield len(raw) - inside[0].left, text
+            member.kept = text[-OVERLAP:]
+            if len(inside) == depth + 1:
+                inside.append(_Member())
+            work.append((depth + 1, memoryview(out)))
+
+
+def _base64_layers(layer: Layer, run: re.Match) -> Iterator[Layer]:
+    """The run's lines joined and decoded from each of its first four letters
+    on, as encoded data can begin anywhere behind a path or a name. Bytes are
+    letters here (Latin-1): secrets and encodings are ASCII, so they are found
+    among any other bytes."""
+    begin, end = run.span()
+    lines, at, starts, size = [], [], [], 0
+    for gap in [*_LINE_BREAK.finditer(layer.text, begin, end), None]:
+        lines.append(layer.text[begin : gap.start() if gap else end])
+        at.append(size)
+        starts.append(begin)
+        size += len(lines[-1])
+        begin = gap.end() if gap else end
+    joined = "".join(lines).translate(_URLSAFE)
+    size = len(joined.rstrip("="))
+
+    def where(i: int) -> int:
+        j = bisect_right(at, i) - 1
+        return starts[j] + i - at[j]
+
+    for skip in range(4):
+        n = size - skip
+        n -= n % 4 == 1
+        if n < 2:
+            continue
+        raw = base64.b64decode(joined[skip : skip + n] + "=" * (-n % 4))
 
-    def windows() -> Iterator[str]:
-        kept, data = "", raw
-        while True:
-            try:
-                out = step(data)
-            except (zlib.error, OSError, EOFError, lzma.LZMAError):
-                return
-            if not out:
-                return
-            text = kept + out.decode("utf-8", "replace")
-            yield text
-            kept = text[-OVERLAP:]
-            data = rest()
-            if box.eof:
-                return
-
-    return windows()
+        def root(s: int, e: int, skip=skip) -> tuple[int, int]:
+            last = min(len(joined), skip + (e + 2) // 3 * 4) - 1
+            return layer.place(where(skip + s // 3 * 4), where(last) + 1)
+
+        yield Layer(raw.decode("latin-1"), root)
+        if _MAGIC.search(raw):
+            ends = _extents(raw)
+            for start, window in _expanded(raw):
+                whole = root(start, ends.get(start, len(raw)))
+                yield Layer(window, lambda s, e, whole=whole: whole)
 
 
 def _decoded(layer: Layer) -> Iterator[Layer]:
@@ -209,25 +329,8 @@ def _decoded(layer: Layer) -> Iterator[Layer]:
     if "\\" in text and (plain := _substitute(layer, _ESCAPE, _escape_letter)):
         yield plain
     for m in _BASE64.finditer(text):
-        run = m[0].rstrip("=").translate(_URLSAFE)
-        if len(run) % 4 == 1:
-            continue
-        raw = base64.b64decode(run + "=" * (-len(run) % 4))
-        start = m.start()
-        inner = _readable(raw)
-        if inner is not None:
-
-            def root(s: int, e: int, inner=inner, start=start, end=m.end()) -> tuple[int, int]:
-                a, b = len(inner[:s].encode()), len(inner[:e].encode())
-                return layer.place(start + a // 3 * 4, min(end, start + (b + 2) // 3 * 4))
-
-            yield Layer(inner, root)
-            continue
-        windows = _expanded(raw)
-        if windows is not None:
-            whole = layer.place(start, m.end())
-            for window in windows:
-                yield Layer(window, lambda s, e, whole=whole: whole)
+        if m.end() - m.start() >= BASE64_LEAST:
+            yield from _base64_layers(layer, m)
 
 
 def scan_text(text: str) -> tuple[list[Span], list[Span]]:

@@ -1,7 +1,11 @@
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
+import random
 import re
+import zlib
 from urllib.parse import quote
 
 import pytest
@@ -85,6 +89,56 @@ def test_escapes_beside_spaces(before, secret):
     assert want in spans and want not in base
 
 
+def b64(raw):
+    return base64.b64encode(raw).decode()
+
+
+NOISE = bytes(range(128, 256)) * 2
+LINES = "\n".join(f"{i} {hashlib.sha256(str(i).encode()).hexdigest()[:9]}" for i in range(60)).encode()
+ENCODED = {
+    "behind_path": f"/some/path/{b64(HIDDEN.encode())}",
+    **{f"behind_{n}": "id_" + "x" * n + b64(HIDDEN.encode()) for n in range(4)},
+    "mixed_bytes": b64(b"\0\x07" + HIDDEN.encode() + b"\0" + NOISE),
+    "mime_lines": base64.encodebytes(b"a" * 50 + b" " + HIDDEN.encode()).decode().strip(),
+    "crlf": b64(b"a" * 50 + b" " + HIDDEN.encode() + b" " + b"b" * 90).replace("YWFh", "YWFh\r\n  "),
+    "written_breaks": b64(b"a " + HIDDEN.encode() + b" b").replace("c3N3", "c3\\nN3"),
+    "gzip_lines": base64.encodebytes(gzip.compress(LINES + HIDDEN.encode(), mtime=0)).decode().strip(),
+    "xz_lines": base64.encodebytes(lzma.compress(LINES + HIDDEN.encode())).decode().strip(),
+    "behind_other_bytes": "/a/" + b64(b"x^\x1f\x8b\x08" + gzip.compress(HIDDEN.encode(), mtime=0) + NOISE),
+    "gzip_members": b64(gzip.compress(b"one", mtime=0) + gzip.compress(HIDDEN.encode(), mtime=0)),
+    "over_members": b64(gzip.compress(HIDDEN[:12].encode(), mtime=0) + gzip.compress(HIDDEN[12:].encode(), mtime=0)),
+    "bzip2_streams": b64(bz2.compress(b"one") + bz2.compress(HIDDEN.encode())),
+    "xz_streams": b64(lzma.compress(b"one") + lzma.compress(HIDDEN.encode())),
+    "gzip_in_gzip": b64(gzip.compress(gzip.compress(HIDDEN.encode(), mtime=0), mtime=0)),
+    "xz_in_mixed_in_bzip2": b64(bz2.compress(NOISE + lzma.compress(HIDDEN.encode()) + NOISE)),
+    "cut_short": b64(gzip.compress(zlib.compress(HIDDEN.encode()) + LINES, mtime=0)[:-20]),
+}
+
+
+@pytest.mark.parametrize("name", ENCODED)
+def test_any_place_and_any_bytes(name):
+    inside = ENCODED[name]
+    base, spans = secrets.scan_text(f"see é: {inside} here\nand more")
+    found = [s for s in spans if s[0] == "assign"]
+    assert not base and found and all(7 <= s < e <= 7 + len(inside) for _, s, e in found)
+
+
+def test_compressed_data_spans_only_itself():
+    inside = b64(gzip.compress(HIDDEN.encode(), mtime=0) + b"tail of other bytes")
+    start, end = next(s[1:] for s in secrets.scan_text(inside)[1])
+    assert (start, end) == (0, len(inside) - 4 * (len(b"tail of other bytes") // 3))
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+def test_data_longer_than_windows(monkeypatch, pack):
+    monkeypatch.setattr(secrets, "WINDOW", 4096)
+    monkeypatch.setattr(secrets, "OVERLAP", 64)
+    monkeypatch.setattr(secrets, "PIECE", 512)
+    deep = pack(LINES * 9 + HIDDEN.encode() + b"\n" + LINES * 9)
+    inside = b64(pack(NOISE * 40 + random.Random(4).randbytes(9000) + deep + LINES * 30))
+    assert [s for s in secrets.scan_text(inside)[1] if s[0] == "assign"]
+
+
 def test_edge_rows_and_masking(spark, edge_docs, no_docs):
     assert secrets.find_secrets(edge_docs).count() == edge_docs.count()
     assert secrets.find_secrets(no_docs).count() == 0
