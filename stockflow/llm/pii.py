@@ -2,18 +2,23 @@
 (DataFrame functions only).
 
 The pattern kinds (e-mail, IP, card, phone) are the protected entities. The
-information-theoretic part looks at the words around them: from the whole
-corpus it estimates how much of an entity's information a term reveals,
+information-theoretic part looks at the words of the documents they stand in:
+from the whole corpus it estimates how much of an entity's information a term
+reveals,
 
-    PMI(term; entity) = log2( N * n(term near entity) / (n(term) * n(entity)) )
+    PMI(term; entity) = log2( N * n(term with entity) / (n(term) * n(entity)) )
     disclosure        = PMI / IC(entity),   IC(entity) = log2( N / n(entity) )
 
 with n counted in documents. Disclosure is 1 when the term occurs nowhere but
-near the entity, and about 0 for common words. A term whose disclosure is at
-least ``remove_from`` is removed, one from ``generalise_from`` on generalised
-(a placeholder for its class), wherever it stands near that entity. An
-estimate counts only with ``support`` different contexts, so copies of one
-text, however many, are no evidence.
+with the entity, and about 0 for common words. The same is estimated for the
+entity's kind (any e-mail, any phone number, ...) in the entity's place, so
+that an entity seen only once has estimates too; the larger one counts. A term
+whose disclosure is at least ``remove_from`` is removed, one from
+``generalise_from`` on generalised (a placeholder for its class), wherever it
+stands in a document with the entity. An estimate counts only with ``support``
+different contexts, so copies of one text, however many, are no evidence: the
+documents whose ``SKETCH`` smallest hashes of two adjoining words are the same
+are one context.
 
 Defined cases: null text is empty text and has no spans; positions are code
 points, ends exclusive; repeated rows are scanned each; null ids are kept; an
@@ -22,7 +27,7 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockflow.llm.common import materialize
@@ -41,13 +46,17 @@ PATTERNS = {
 _NEEDED = {"email": "@", "phone": "+"}
 _OCTET = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
-#: Letters read on each side of an entity, and least letters of a term.
-CONTEXT = 64
+#: Least letters of a term, and how many hashes of word pairs tell documents apart.
 TERM_LEAST = 3
+SKETCH = 8
 SUPPORT = 3
 GENERALISE_FROM = 0.5
 REMOVE_FROM = 0.8
 
+# Stands for a letter of an e-mail, which no term may hold or touch.
+_COVER = "\uffff"
+_TERM = rf"(?<![\p{{L}}{_COVER}])\p{{L}}{{{TERM_LEAST},}}+(?!{_COVER})"
+
 SPAN = "struct<start:bigint,kind:int,end:bigint,value:string>"
 
 
@@ -118,61 +127,80 @@ def entity_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*[kind_spans(text, n) for n in range(len(KINDS))]))
 
 
-def _terms(text: Column, span: Column, others: Column) -> Column:
-    """Words beside a span as (start, end, term); a word cut by the context's
-    outer edge or lying in another span doesn't count."""
-    first = F.greatest(F.lit(0), span["start"] - CONTEXT)
-    before = F.substring(text, first.cast("int") + 1, (span["start"] - first).cast("int"))
-    after = F.substring(text, span["end"].cast("int") + 1, F.lit(CONTEXT))
+def _covered(text: Column) -> Column:
+    """The text with the letters of its e-mails covered; the other kinds have
+    none. Positions stay the same."""
+    pattern = PATTERNS["email"]
+    pieces = F.zip_with(
+        F.split(text, pattern, -1),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+        lambda gap, mail: F.concat(gap, F.coalesce(F.regexp_replace(mail, r"\p{L}", _COVER), F.lit(""))),
+    )
+    return F.when(text.contains(_NEEDED["email"]), F.array_join(pieces, "")).otherwise(text)
 
-    def placed(words: Column, offset: Column) -> Column:
-        return F.transform(
-            words,
-            lambda w: F.struct(
-                (w["start"] + offset).alias("start"), (w["end"] + offset).alias("end"), F.lower(w["value"]).alias("term")
-            ),
-        )
 
-    word = rf"\p{{L}}{{{TERM_LEAST},}}+"
-    both = F.concat(
-        placed(matches(before, rf"(?<=\P{{L}}){word}"), first),
-        placed(matches(after, rf"(?<!\p{{L}}){word}(?=\P{{L}})"), span["end"]),
-    )
-    return F.filter(both, lambda t: ~F.exists(others, lambda o: (o["start"] < t["end"]) & (o["end"] > t["start"])))
+def _words(text: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+
+def _distinct_terms(text: Column, pattern: str) -> Column:
+    return F.array_distinct(F.transform(_words(text, pattern), F.lower))
 
 
 def find_entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, doc_id, base, near): the entity spans and, for each of them, the
-    entity's name, its terms and a hash of its context."""
+    """(row, doc_id, base, around): the entity spans and, where there are any,
+    the text with its e-mails covered."""
     clean = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
     text = F.col("text")
-    near = F.transform(
-        "base",
-        lambda s: F.struct(
-            F.concat_ws(":", s["kind"], s["value"]).alias("entity"), _terms(text, s, F.col("base")).alias("terms")
-        ),
+    around = F.when(F.size("base") > 0, _covered(text)).alias("around")
+    return clean.withColumn("base", entity_spans(text)).select("row", "doc_id", "base", around)
+
+
+def find_mentions(found: DataFrame, support: int) -> DataFrame:
+    """(row, entity, term, context): the terms of each document with an entity,
+    for its kinds and for those entities that occur in ``support`` documents
+    (the others can't have as many contexts)."""
+    held = found.where(F.size("base") > 0)
+    kinds = F.transform(F.array_distinct(F.col("base.kind")), lambda k: k.cast("string"))
+    values = F.array_distinct(F.transform("base", lambda s: F.concat_ws(":", s["kind"], s["value"])))
+    each = held.select("row", F.explode(values).alias("entity"))
+    often = each.groupBy("entity").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= support).select("entity")
+    per_row = each.join(often, "entity").groupBy("row").agg(F.collect_list("entity").alias("often"))
+    words = held.select("row", kinds.alias("kinds"), F.transform(_words(F.col("around"), _TERM), F.lower).alias("words"))
+    follow = F.transform("words", lambda w, i: F.xxhash64(w, F.get(F.col("words"), i + 1)))
+    context = F.xxhash64(F.slice(F.array_sort(F.array_distinct(follow)), 1, SKETCH))
+    terms = words.select("row", "kinds", F.array_distinct("words").alias("terms"), context.alias("context"))
+    entities = F.concat("kinds", F.coalesce("often", F.array().cast("array<string>")))
+    return (
+        terms.join(per_row, "row", "left")
+        .select("row", "context", "terms", F.explode(entities).alias("entity"))
+        .select("row", "entity", F.explode("terms").alias("term"), "context")
     )
-    return clean.withColumn("base", entity_spans(text)).select("row", "doc_id", "base", near.alias("near"))
 
 
-def disclosing_terms(docs: DataFrame, mentions: DataFrame, support: int, least: float, text_col: str) -> DataFrame:
+def disclosing_terms(
+    docs: DataFrame, mentions: DataFrame, support: int, least: float, text_col: str
+) -> DataFrame:
     """(entity, term, disclosure) for all pairs at or above ``least``.
-    ``mentions`` has a row (row, entity, term, context) per word near an entity."""
+    ``mentions`` has a row (row, entity, term, context) per entity or kind and
+    term of a document."""
     total = docs.count()
     pairs = (
-        mentions.groupBy("entity", "term")
-        .agg(F.countDistinct("context").alias("contexts"), F.countDistinct("row").alias("n_near"))
+        mentions.groupBy("entity", "term", "context")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy("entity", "term")
+        .agg(F.count(F.lit(1)).alias("contexts"), F.sum("rows").alias("n_near"))
         .where(F.col("contexts") >= support)
     )
-    entities = mentions.groupBy("entity").agg(F.countDistinct("row").alias("n_entity"))
     wanted = pairs.select("term").distinct()
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(rf"\p{{L}}{{{TERM_LEAST},}}+"), F.lit(0)))
+    words = _distinct_terms(F.col(text_col), rf"\p{{L}}{{{TERM_LEAST},}}+")
     # counted before the join, so that a common word is combined map-side
     seen = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(wanted, "term")
+    entities = mentions.select("entity", "row").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     n = F.lit(float(max(total, 1)))
     pmi = F.log2(n * F.col("n_near") / (F.col("n_term") * F.col("n_entity")))
     ic = F.log2(n / F.col("n_entity"))
@@ -185,6 +213,22 @@ def disclosing_terms(docs: DataFrame, mentions: DataFrame, support: int, least:
     )
 
 
+def term_places(texts: DataFrame, telling: DataFrame) -> DataFrame:
+    """(row, start, end, term, disclosure) of each place of the ``telling``
+    (row, term, disclosure) terms in ``texts`` (row, around)."""
+    words = _words(F.col("around"), _TERM)
+    gaps = F.slice(F.split("around", _TERM, -1), F.lit(1), F.size(words))
+    pairs = F.zip_with(gaps, words, lambda g, w: F.struct(F.char_length(g).alias("gap"), w.alias("word")))
+    size = F.char_length("w.word")
+    end = F.sum(F.col("w.gap") + size).over(Window.partitionBy("row").orderBy("at"))
+    return (
+        texts.join(telling.select("row").distinct(), "row", "left_semi")
+        .select("row", F.posexplode(pairs).alias("at", "w"))
+        .select("row", (end - size).alias("start"), end.alias("end"), F.lower("w.word").alias("term"))
+        .join(telling, ["row", "term"])
+    )
+
+
 def find_personal_data(
     docs: DataFrame,
     support: int = SUPPORT,
@@ -195,14 +239,11 @@ def find_personal_data(
     """(doc_id, base, terms): entity spans, and the spans of the terms to be
     generalised or removed as (start, end, term, disclosure)."""
     found = materialize(find_entities(docs, id_col, text_col))
-    mentions = found.where(F.size("base") > 0).select("row", F.explode("near").alias("n")).select(
-        "row", "n.entity", F.xxhash64("n.terms.term").alias("context"), F.explode("n.terms").alias("t")
-    ).select("row", "entity", "context", "t.start", "t.end", "t.term")
-    telling = disclosing_terms(docs, mentions, support, generalise_from, text_col)
+    mentions = find_mentions(found, support)
+    pairs = disclosing_terms(docs, mentions, support, generalise_from, text_col)
+    telling = mentions.join(pairs, ["entity", "term"]).groupBy("row", "term").agg(F.max("disclosure").alias("disclosure"))
     per_row = (
-        mentions.join(telling, ["entity", "term"])
-        .groupBy("row", "start", "end", "term")
-        .agg(F.max("disclosure").alias("disclosure"))
+        term_places(found.where(F.size("base") > 0).select("row", "around"), materialize(telling))
         .groupBy("row")
         .agg(F.array_sort(F.collect_list(F.struct("start", "end", "term", "disclosure"))).alias("terms"))
     )

@@ -47,3 +47,41 @@ def test_edge_rows(edge_docs, no_docs):
     some = edge_docs.where("doc_id is null or doc_id <> 5")
     assert pii.find_personal_data(some).count() == some.count()
     assert pii.find_personal_data(no_docs).count() == 0
+
+
+def planted_names():
+    """Documents of which some hold planted names with personal data."""
+    filler = [f"the {w}word and th{w} of it" for w in "abcdefghijklmnopqrstuvwxyz"]
+    rest = [" ".join([filler[i % 26], filler[(i * 7 + 1) % 26], f"paper {i}"]) for i in range(200)]
+    far = " the and of it" * 30
+    texts = {
+        # always the same address, beside it, far from it, and at the text's edges
+        1: f"Marlowe can be asked.{far} Write to one@mail.example",
+        2: f"One may write to one@mail.example{far} if it is for MARLOWE",
+        3: "the mail one@mail.example of Marlowe, and Marlowe again",
+        # each number is seen once; the name stands with numbers only
+        4: f"Okonkwo{far} +1 (017) 555-7713",
+        5: "it is okonkwo's: +1 (974) 555-3436",
+        6: f"+1 (487) 555-7209{far} Okonkwo",
+        # copies of one text are no evidence
+        **{n: "dear Vesper, your card is 4111 1111 1111 1111" for n in (7, 8, 9, 10)},
+        # the name inside an address is no term
+        11: "the address éone@mail.example and marlowe@mail.example",
+    }
+    texts.update({100 + i: t for i, t in enumerate(rest)})
+    return texts
+
+
+def test_planted_names(spark):
+    texts = planted_names()
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.find_personal_data(docs).collect()}
+    assert sorted(got) == sorted(texts)
+    for name, where in (("marlowe", (1, 2, 3)), ("okonkwo", (4, 5, 6)), ("vesper", ())):
+        for doc_id, text in texts.items():
+            places = [m.span() for m in re.finditer(name, text, re.I)] if doc_id in where else []
+            assert [(t.start, t.end) for t in got[doc_id].terms if t.term == name] == places, (name, doc_id)
+            assert all(t.disclosure >= pii.GENERALISE_FROM for t in got[doc_id].terms)
+    flagged = {t.term for r in got.values() for t in r.terms}
+    assert not flagged & {"the", "and", "paper"}
+    assert all(not got[d].terms for d in got if d >= 100)
