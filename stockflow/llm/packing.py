@@ -8,15 +8,18 @@ document goes where. Spark then numbers the pieces of each length and places
 them by number.
 
 The search (``pack_histogram``) is bin completion: take the largest remaining
-length, enumerate the undominated fillings of the room beside it (a filling is
-dominated when merging some of its members into one available length gives a
-filling at least as full), least waste first, and branch over them. A filling
-is used as often as the counts allow in one step. A branch is cut when its
-bins so far plus a waste-aware lower bound on the rest reach the best known
-packing. Best-fit decreasing gives the first best packing, and the first dive
-of the search another; the search ends when a packing meets the lower bound
-of the whole histogram or after ``max_steps`` steps. Every packing it holds
-is complete, so the step limit bounds optimality, never the result.
+length, enumerate the fillings of the room beside it, of any number of members,
+least waste first, and branch over them and over how often each is used (most
+often first). A filling is left out when one available length in the place of
+one or two of its members, or in its free room, gives a filling at least as
+full. Further fillings are made only when the search comes back for them. A
+branch is cut when its bins so far plus a waste-aware lower bound on the rest
+reach the best known packing. Best-fit decreasing gives the first best packing,
+and the first dive of the search, which always runs to its end, another; the
+search ends when a packing meets the lower bound of the whole histogram, when
+no branch is left (the packing is optimal then), or after ``max_steps`` steps.
+Every packing it holds is complete, so the step limit bounds optimality, never
+the result.
 
 Defined cases: null text is empty text and has the closing id only; repeated
 rows are packed each; an empty table gives an empty result.
@@ -26,6 +29,7 @@ from __future__ import annotations
 
 import zlib
 from array import array
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -41,9 +45,8 @@ CAPACITY = 1024
 END_ID = 2
 #: Steps after which the search returns the best packing it has.
 MAX_STEPS = 400_000
-#: Exact fillings looked for beside one largest length, and fillings branched on.
-FILLINGS = 8
-BRANCHES = 4
+#: Steps for putting the fullest fillings of few members first; all others follow.
+FEW_FIRST = 2_000
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -153,61 +156,123 @@ class Work:
         self.left = limit
 
 
-def fits_into(parts: list[int], rooms: list[int]) -> bool:
-    """Whether the parts can be dealt into the rooms."""
-    if not parts:
-        return True
-    return any(
-        fits_into(parts[1:], [*rooms[:i], r - parts[0], *rooms[i + 1 :]])
-        for i, r in enumerate(rooms)
-        if r >= parts[0] and r not in rooms[:i]
-    )
-
-
-def fillings(counts, room: int, work: Work, most: int = FILLINGS) -> list[tuple[int, ...]]:
-    """Undominated ways to fill ``room``, least waste first. A single length
-    equal to the room dominates all others; for any members chosen so far,
-    the last member is the longest that fits (a shorter one is dominated)."""
-    if room and counts[room]:
-        return [(room,)]
-    longest = [0] * (room + 1)  # longest available length up to x
-    for x in range(1, room + 1):
-        longest[x] = x if counts[x] else longest[x - 1]
-    if not longest[room]:
-        return [()]
-    found: list[tuple[int, tuple[int, ...]]] = [(room - longest[room], (longest[room],))]
-    exact = 0
-    steps = 0
-    for members in range(2, 6):
-        stack: list[tuple[tuple[int, ...], int, int]] = [((), room, longest[room])]
-        while stack and exact < most and steps < 20_000 and work.left > 0:
-            chosen, rest, s = stack.pop()
-            if not s:
+def dominated(members: tuple[int, ...], counts, waste: int) -> bool:
+    """Whether one more available length fits in, or one in the place of one or
+    two of the members gives a filling at least as full."""
+    used = Counter(members)
+    distinct = list(used)
+    sums = {x + y for i, x in enumerate(distinct) for y in distinct[i + (used[x] < 2) :]}
+    places = [(x + 1, x + waste) for x in (0, *distinct)] + [(x, x + waste) for x in sums]
+    return any(counts[y] > used[y] for a, b in places for y in range(a, min(b + 1, len(counts))))
+
+
+def _few_members(counts, lengths: list[int], target: int, work: Work) -> Iterator[tuple[int, ...]]:
+    """Fillings of ``target`` in order of their number of members, as many as
+    FEW_FIRST steps find. ``sums[k]`` has a bit for each sum of k lengths."""
+    steps = FEW_FIRST
+    mask = (2 << target) - 1
+    sums = [1]
+    for members in range(1, target // lengths[0] + 1):
+        level = 0
+        for x in lengths:
+            level |= sums[-1] << x
+        sums.append(level & mask)
+        steps -= len(lengths) // 16 + 1
+        if steps <= 0 or work.left <= 0:
+            return
+        if not sums[-1] >> target & 1:
+            continue
+        stack: list[tuple[tuple[int, ...], int, int]] = [((), target, len(lengths) - 1)]
+        while stack:
+            chosen, rest, i = stack.pop()
+            left = members - len(chosen)
+            if not left:
+                yield chosen
                 continue
-            steps += 1
+            steps -= 1
             work.left -= 1
-            if counts[s] > chosen.count(s):
-                if len(chosen) == members - 1:
-                    found.append((rest - s, (*chosen, s)))
-                    exact += rest == s
-                    continue  # shorter last members are dominated
-                stack.append((chosen, rest, longest[s - 1]))
-                stack.append(((*chosen, s), rest - s, min(s, longest[rest - s])))
-            else:
-                stack.append((chosen, rest, longest[s - 1]))
-        if exact:
-            break
-    best: list[tuple[int, ...]] = []
-    for _, f in sorted(found, key=lambda x: (x[0], len(x[1]), [-v for v in x[1]])):
-        if len(best) == BRANCHES:
-            break
-        if not any(len(f) <= 6 and fits_into(sorted(f, reverse=True), list(g)) for g in best):
-            best.append(f)
-    return best
-
-
-def pack_histogram(counts: dict[int, int], capacity: int = CAPACITY, max_steps: int = MAX_STEPS) -> Packing:
-    """As few bins as the search finds for ``counts`` (length -> how many)."""
+            if steps <= 0 or work.left <= 0:
+                return
+            i = min(i, bisect_right(lengths, rest) - 1)
+            while i >= 0 and lengths[i] * left >= rest:
+                x = lengths[i]
+                if sums[left - 1] >> (rest - x) & 1 and counts[x] > chosen.count(x):
+                    stack.append((chosen, rest, i - 1))
+                    stack.append(((*chosen, x), rest - x, i))
+                    break
+                i -= 1
+
+
+def _reach(counts, lengths: list[int], room: int) -> Iterator[int]:
+    """For the first 0, 1, 2, ... lengths, the bits of the sums up to ``room``
+    that as many of them as there are can make."""
+    mask = (2 << room) - 1
+    reach = 1
+    yield reach
+    for x in lengths:
+        left, part = min(counts[x], room // x), 1
+        while left:
+            part = min(part, left)
+            reach |= reach << x * part & mask
+            left -= part
+            part *= 2
+        yield reach
+
+
+def fillings(counts, room: int, work: Work) -> Iterator[tuple[int, ...]]:
+    """The undominated ways to fill ``room``, least waste first, made one by one
+    as they are asked for. Of the fullest ones, those of few members come first.
+    When the steps are used up, the next filling is made all the same."""
+    lengths = [x for x in range(1, room + 1) if counts[x]]
+    if not lengths:
+        yield ()
+        return
+    for full in _reach(counts, lengths, room):
+        pass
+    work.left -= len(lengths) // 8
+    target = full.bit_length() - 1
+    given = set()
+    for members in _few_members(counts, lengths, target, work):
+        if not dominated(members, counts, room - target):
+            given.add(members)
+            yield members
+    reach = list(_reach(counts, lengths, room))
+    for total in range(target, -1, -1):
+        if not full >> total & 1:
+            continue
+        stack: list[tuple[tuple[int, ...], int, int]] = [((), total, len(lengths) - 1)]
+        while stack:
+            chosen, rest, i = stack.pop()
+            work.left -= 1
+            if not rest:
+                if chosen not in given and (work.left <= 0 or not dominated(chosen, counts, room - total)):
+                    yield chosen
+                continue
+            i = min(i, bisect_right(lengths, rest) - 1)
+            x = lengths[i]
+            for k in range(min(counts[x], rest // x) + 1):  # the most is taken up first
+                if reach[i] >> (rest - k * x) & 1:
+                    stack.append((chosen + (x,) * k, rest - k * x, i - 1))
+
+
+def _children(left: array, bins: int, steps: tuple | None, capacity: int, work: Work) -> Iterator[tuple]:
+    """(counts, bins, steps so far as a linked list) behind each way to go on."""
+    s = max(x for x, c in enumerate(left) if c)
+    beside = left[:]
+    beside[s] -= 1
+    for rest in fillings(beside, capacity - s, work):
+        runs = Counter((s, *rest))
+        filling = tuple(sorted(runs.items(), reverse=True))
+        for times in range(min(left[x] // k for x, k in filling), 0, -1):
+            new = left[:]
+            for x, k in filling:
+                new[x] -= k * times
+            yield new, bins + times, ((filling, times), steps)
+
+
+def search(counts: dict[int, int], capacity: int, max_steps: int) -> tuple[Packing, int, int]:
+    """(packing, lower bound, steps left): no steps left means that the search
+    was ended by its limit."""
     counts = {s: c for s, c in counts.items() if c}
     best = best_fit_decreasing(counts, capacity)
     best_bins = sum(n for _, n in best)
@@ -216,37 +281,31 @@ def pack_histogram(counts: dict[int, int], capacity: int = CAPACITY, max_steps:
     start = array("q", [0]) * (capacity + 1)
     for s, c in counts.items():
         start[s] = c
-    # (counts, bins so far, steps so far as a linked list, step to apply now)
-    stack: list[tuple] = [(start, 0, None, None)]
-    while stack and best_bins > bound and work.left > 0:
-        left, bins, steps, step = stack.pop()
-        if step:
-            filling, times = step
-            left = left[:]
-            for s, k in filling:
-                left[s] -= k * times
-            bins, steps = bins + times, (step, steps)
-        alive = {s: c for s, c in enumerate(left) if c}
-        if not alive:
-            if bins < best_bins:
-                best_bins, best = bins, []
-                while steps:
-                    best.append(steps[0])
-                    steps = steps[1]
+    stack = [_children(start, 0, None, capacity, work)] if counts else []
+    dived = False  # the first dive has come to its end
+    while stack and best_bins > bound and (work.left > 0 or not dived):
+        child = next(stack[-1], None)
+        if child is None:
+            stack.pop()
             continue
+        left, bins, steps = child
         work.left -= capacity // 8  # a node's own bookkeeping
+        alive = {s: c for s, c in enumerate(left) if c}
         if bins + lower_bound(alive, capacity) >= best_bins:
-            continue
-        s = max(alive)
-        left = left[:]
-        left[s] -= 1
-        options = fillings(left, capacity - s, work)
-        left[s] += 1
-        for rest in reversed(options):
-            runs = Counter((s, *rest))
-            times = min(left[x] // k for x, k in runs.items())
-            stack.append((left, bins, steps, (tuple(sorted(runs.items(), reverse=True)), times)))
-    return best
+            dived = True
+        elif alive:
+            stack.append(_children(left, bins, steps, capacity, work))
+        else:
+            dived, best_bins, best = True, bins, []
+            while steps:
+                best.append(steps[0])
+                steps = steps[1]
+    return best, bound, max(work.left, 0)
+
+
+def pack_histogram(counts: dict[int, int], capacity: int = CAPACITY, max_steps: int = MAX_STEPS) -> Packing:
+    """As few bins as the search finds for ``counts`` (length -> how many)."""
+    return search(counts, capacity, max_steps)[0]
 
 
 # -- placing the pieces -----------------------------------------------------

@@ -43,6 +43,57 @@ def test_search_finds_the_fewest_bins():
         assert packing.lower_bound(Counter(lengths), 30) <= fewest_bins(lengths, 30)
 
 
+def all_fillings(counts, room):
+    """Brute force: every multiset of the lengths that fits into the room."""
+    found = {()}
+    for s in sorted(counts, reverse=True):
+        found |= {(*f, *(s,) * k) for f in found for k in range(1, counts[s] + 1) if sum(f) + s * k <= room}
+    return found
+
+
+def test_fillings_leave_out_only_dominated_ones():
+    rng = random.Random(5)
+    for _ in range(200):
+        counts = Counter(rng.randint(1, 12) for _ in range(rng.randint(1, 11)))
+        room = rng.randint(1, 30)
+        row = [counts[s] for s in range(31)]
+        got = list(packing.fillings(row, room, packing.Work(10**9)))
+        everything = all_fillings(counts, room)
+        assert len(got) == len(set(got)) and set(got) <= everything
+        assert [sum(f) for f in got] == sorted((sum(f) for f in got), reverse=True)
+        for f in everything - set(got):
+            assert packing.dominated(f, row, room - sum(f))
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_bins_of_many_short_pieces_are_filled(seed):
+    # 6 to 17 members to a bin; best-fit decreasing takes more bins
+    rng = random.Random(seed)
+    lengths = Counter(rng.randint(60, 170) for _ in range(3000))
+    packed = packing.pack_histogram(lengths, 1024)
+    bound = packing.lower_bound(lengths, 1024)
+    assert sum(n for _, n in packed) == bound < sum(n for _, n in packing.best_fit_decreasing(lengths, 1024))
+
+
+def test_search_comes_back_for_more_fillings():
+    rng = random.Random(0)
+    lengths = Counter(rng.choice([97, 101, 113, 127, 139, 151]) for _ in range(700))
+    packed = packing.pack_histogram(lengths, 1024)
+    assert sum(n for _, n in packed) == packing.lower_bound(lengths, 1024)
+
+
+def test_result_is_whole_when_the_steps_end():
+    rng = random.Random(2)
+    lengths = Counter(rng.randint(60, 170) for _ in range(3000))
+    packed, bound, left = packing.search(lengths, 1024, 10)
+    used = Counter()
+    for filling, times in packed:
+        assert sum(s * k for s, k in filling) <= 1024
+        used.update({s: k * times for s, k in filling})
+    assert used == lengths and left == 0
+    assert bound <= sum(n for _, n in packed) < sum(n for _, n in packing.best_fit_decreasing(lengths, 1024))
+
+
 def check_pieces(rows, texts, path, capacity=packing.CAPACITY):
     from tokenizers import Tokenizer
 
