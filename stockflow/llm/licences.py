@@ -1,7 +1,10 @@
 """Licence scan: sparse TF-IDF cosine to templates, then inheritance by path.
 
-Every line of a file (headers may stand anywhere) and the file as a whole are
-compared with short licence templates as sparse TF-IDF vectors. Inverse
+Headers may stand anywhere in a file: its lines, and groups of up to ``GROUP``
+adjoining sentences or parts of lines, are compared with short licence templates
+as sparse TF-IDF vectors; of overlapping matches the best is kept. The file as a
+whole is compared with the short templates and with full licence texts. From
+``FULL_THRESHOLD`` on a full text decides over the lines in it. Inverse
 document frequencies of the templates' terms are counted over all files; terms
 that no template has get the highest one, so unrelated words lower a cosine.
 Lines and files that cannot reach the threshold are passed over by a bound: a
@@ -27,6 +30,8 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
+from importlib.resources import files
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -36,6 +41,9 @@ from stockflow.llm.common import materialize
 
 LINE_THRESHOLD = 0.6
 FILE_THRESHOLD = 0.6
+FULL_THRESHOLD = 0.9
+#: Adjoining sentences or parts of lines that are compared as one.
+GROUP = 4
 
 # Short notices by which licences are commonly declared.
 TEMPLATES = {
@@ -61,25 +69,37 @@ _TERM = re.compile(r"[^\W_]+(?:\.\d+)*")
 _LICENCE_NAME = r"(?i)(^|/)(un)?licen[sc]e[^/]*$|(^|/)(copying|notice|copyright)[^/]*$"
 
 
+_SENTENCE = re.compile(r"[.;!?][ \t]+")
+
+
+@cache
+def full_texts() -> dict[str, list[str]]:
+    """The full licence texts that come with the package."""
+    folder = files(__package__) / "licence_texts"
+    return {f.name.removesuffix(".txt"): [f.read_text()] for f in folder.iterdir() if f.name.endswith(".txt")}
+
+
 def terms(text: str) -> list[str]:
     return _TERM.findall(text.lower())
 
 
+def vocabulary(templates: dict[str, list[str]]) -> set[str]:
+    return {t for notices in templates.values() for n in notices for t in terms(n)}
+
+
 class Matcher:
     """Cosines of texts to the templates."""
 
-    def __init__(self, frequencies: dict[str, int], files: int):
-        vocabulary = {t for notices in TEMPLATES.values() for n in notices for t in terms(n)}
+    def __init__(self, frequencies: dict[str, int], files: int, templates: dict[str, list[str]], least: float):
         top = math.log((1 + files) / 1) + 1
-        self.idf = {t: math.log((1 + files) / (1 + frequencies.get(t, 0))) + 1 for t in vocabulary}
+        self.idf = {t: math.log((1 + files) / (1 + frequencies.get(t, 0))) + 1 for t in vocabulary(templates)}
         self.other = top
         self.templates = []
-        for name in sorted(TEMPLATES):
-            for notice in TEMPLATES[name]:
+        for name in sorted(templates):
+            for notice in templates[name]:
                 weights = {t: n * self.idf[t] for t, n in Counter(terms(notice)).items()}
                 norm = math.sqrt(sum(w * w for w in weights.values()))
                 self.templates.append((name, {t: w / norm for t, w in weights.items()}))
-        least = min(LINE_THRESHOLD, FILE_THRESHOLD)
         # a text without these terms stays under the threshold for every template
         self.rare: set[str] = set()
         for _, weights in self.templates:
@@ -99,29 +119,68 @@ class Matcher:
                 found = (name, dot / norm)
         return found
 
-    def scan(self, text: str) -> tuple[list[tuple[str, float, int, int]], tuple[str | None, float]]:
-        """((licence, cosine, start, end) of each matching line, the whole
-        file's best licence and cosine)."""
-        words = terms(text)
-        if self.rare.isdisjoint(words):
-            return [], (None, 0.0)
-        lines, at = [], 0
+    def headers(self, text: str) -> list[tuple[str, float, int, int]]:
+        """(licence, cosine, start, end) of each match in the text."""
+        pieces: list[tuple[list[str], int, int]] = []  # sentences and parts of lines that hold terms
+        groups: list[tuple[list[str], int, int]] = []
+        at = 0
         for line in text.split("\n"):
-            own = terms(line)
-            if not self.rare.isdisjoint(own):
-                name, score = self.best(Counter(own))
-                if score >= LINE_THRESHOLD:
-                    lines.append((name, score, at, at + len(line)))
+            own, start = terms(line), 0
+            cuts = [*_SENTENCE.finditer(line), None]
+            if len(cuts) > GROUP + 1:  # a shorter line is a group of its pieces
+                groups.append((own, at, at + len(line)))
+            for cut in cuts:
+                end = cut.start() + 1 if cut else len(line)
+                if held := terms(line[start:end]):
+                    pieces.append((held, at + start, at + end))
+                start = cut.end() if cut else end
             at += len(line) + 1
-        return lines, self.best(Counter(words))
+        for i in range(len(pieces)):
+            held = []
+            for own, _, end in pieces[i : i + GROUP]:
+                held = held + own
+                groups.append((held, pieces[i][1], end))
+        found = []
+        for held, start, end in groups:
+            if not self.rare.isdisjoint(held):
+                name, score = self.best(Counter(held))
+                if score >= LINE_THRESHOLD:
+                    found.append((name, score, start, end))
+        kept: list[tuple[str, float, int, int]] = []
+        for match in sorted(found, key=lambda m: (-round(m[1], 9), m[3] - m[2], m[2])):
+            if all(match[3] <= k[2] or match[2] >= k[3] for k in kept):
+                kept.append(match)
+        return sorted(kept, key=lambda m: m[2])
+
+
+class Scanner:
+    """Short notices in a text, and what the text is as a whole."""
+
+    def __init__(self, frequencies: dict[str, int], files: int, texts: dict[str, list[str]]):
+        self.notices = Matcher(frequencies, files, TEMPLATES, min(LINE_THRESHOLD, FILE_THRESHOLD))
+        self.full = Matcher(frequencies, files, texts, FULL_THRESHOLD)
+
+    def scan(self, text: str) -> tuple[list[tuple[str, float, int, int]], tuple[str | None, float], bool]:
+        """(headers, the whole file's best licence and cosine, whether that is a
+        full text)."""
+        words = terms(text)
+        whole: tuple[str | None, float] = (None, 0.0)
+        lines = []
+        if not self.notices.rare.isdisjoint(words):
+            lines, whole = self.notices.headers(text), self.notices.best(Counter(words))
+        if not self.full.rare.isdisjoint(words):
+            full = self.full.best(Counter(words))
+            if full[1] >= FULL_THRESHOLD:
+                return lines, full, True
+        return lines, whole, False
 
 
 def term_frequencies(files: DataFrame, text_col: str) -> tuple[dict[str, int], int]:
     """In how many files each template term occurs, and how many there are."""
-    vocabulary = sorted({t for notices in TEMPLATES.values() for n in notices for t in terms(n)})
+    known = sorted(vocabulary(TEMPLATES) | vocabulary(full_texts()))
     word = F.lit(r"[\p{L}\p{N}]+(?:\.[0-9]+)*")
     held = F.array_intersect(
-        F.regexp_extract_all(F.lower(F.col(text_col)), word, F.lit(0)), F.array(*map(F.lit, vocabulary))
+        F.regexp_extract_all(F.lower(F.col(text_col)), word, F.lit(0)), F.lit(known)
     )
     counts = files.select(F.explode(held).alias("term")).groupBy("term").count().collect()
     return {r["term"]: r["count"] for r in counts}, files.count()
@@ -131,31 +190,33 @@ FINDING = "array<struct<licence:string,score:double,start:bigint,end:bigint>>"
 
 
 def scan_files(files: DataFrame, path_col: str = "path", text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, path, lines, licence, score, is_licence_file): matching lines,
-    and the file's own licence, from its best line or the whole."""
+    """(doc_id, path, lines, licence, score, is_licence_file): matching headers,
+    and the file's own licence, from a full text, its best header or the whole."""
     frequencies, total = term_frequencies(files, text_col)
+    texts = full_texts()
     kinds = pa.list_(pa.struct([("licence", pa.string()), ("score", pa.float64()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(frequencies, total)
+        scanner = Scanner(frequencies, total, texts)
         names = ("licence", "score", "start", "end")
         for batch in batches:
-            found = [matcher.scan(t.as_py()) for t in batch["text"]]
-            rows = [[dict(zip(names, line, strict=True)) for line in lines] for lines, _ in found]
+            found = [scanner.scan(t.as_py()) for t in batch["text"]]
+            rows = [[dict(zip(names, line, strict=True)) for line in lines] for lines, _, _ in found]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["path"], pa.array(rows, kinds),
-                 pa.array([w[0] for _, w in found], pa.string()), pa.array([w[1] for _, w in found], pa.float64())],
-                names=["doc_id", "path", "lines", "whole", "whole_score"],
+                 pa.array([w[0] for _, w, _ in found], pa.string()), pa.array([w[1] for _, w, _ in found], pa.float64()),
+                 pa.array([f for _, _, f in found], pa.bool_())],
+                names=["doc_id", "path", "lines", "whole", "whole_score", "full"],
             )
 
     rows = files.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(path_col), F.lit("")).alias("path"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-    ).mapInArrow(run, f"doc_id long, path string, lines {FINDING}, whole string, whole_score double")
+    ).mapInArrow(run, f"doc_id long, path string, lines {FINDING}, whole string, whole_score double, full boolean")
     named = F.col("path").rlike(_LICENCE_NAME)
     all_found = F.concat(
-        F.transform("lines", lambda x: F.struct((-x["score"]).alias("s"), x["licence"].alias("licence"))),
+        F.transform(F.when(F.col("full"), F.slice("lines", 1, 0)).otherwise(F.col("lines")), lambda x: F.struct((-x["score"]).alias("s"), x["licence"].alias("licence"))),
         F.when(F.col("whole_score") >= FILE_THRESHOLD, F.array(F.struct((-F.col("whole_score")).alias("s"), F.col("whole").alias("licence")))).otherwise(
             F.array().cast("array<struct<s:double,licence:string>>")
         ),
