@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from small_data import SF_SMALL
 from oracle_compare import compare, duckdb_for
 from stockflow.plans.oracle import ORACLE_SQL
 from stockflow.plans.registry import QUERIES

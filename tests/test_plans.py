@@ -1,6 +1,6 @@
 """Physical plan checks: the plans we want at scale, not just right answers."""
 
-from conftest import SF_SMALL
+from small_data import SF_SMALL
 from stockflow.operators.ranking import range_blocks
 from stockflow.plans.registry import Layers
 from stockflow.session import scratch_path

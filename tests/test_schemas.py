@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from small_data import SF_SMALL
 from stockflow import schemas
 from stockflow.operators import demand, inventory, production
 from stockflow.plans.registry import ENTRY_AS_OF, Layers
