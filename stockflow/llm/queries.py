@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockflow.llm import (
+    collocations,
     licences,
     neighbours,
+    oracle,
     packing,
     pieces,
     pii,
@@ -104,6 +106,10 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -115,7 +121,8 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_secret_scan": op9_secret_scan,
     "op10_personal_data": op10_personal_data,
+    "op11_collocations": op11_collocations,
 }
 
 # DuckDB SQL per query, where SQL can express it.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op11_collocations": oracle.COLLOCATIONS}
