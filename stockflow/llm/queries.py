@@ -15,9 +15,11 @@ from stockflow.llm import (
     packing,
     pieces,
     pii,
+    quality,
     secrets,
     sharding,
     simhash,
+    spelling,
     spotsigs,
     toxicity,
 )
@@ -110,6 +112,15 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"), with_text=False)
+    return judged.select("doc_id", *quality.Base._fields, "base_failed", "kept")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -122,7 +133,9 @@ QUERIES: dict[str, Query] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_personal_data": op10_personal_data,
     "op11_collocations": op11_collocations,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 # DuckDB SQL per query, where SQL can express it.
-ORACLE_SQL: dict[str, str] = {"op11_collocations": oracle.COLLOCATIONS}
+ORACLE_SQL: dict[str, str] = dict(oracle.ORACLE_SQL)
