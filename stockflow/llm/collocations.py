@@ -15,9 +15,10 @@ found in two kinds of passes:
    reach the threshold, the summary grows instead: the guarantee never depends
    on how even the shares are.) Summaries are sorted arrays and merge by adding
    counts; a mapper's summary is merged into the partition's as it arrives.
-   Words and pairs come first; longer phrases are only looked for where all
-   their pairs survived, told by a Bloom filter of at most ``filter_bits`` bits
-   (beyond its size it lets more through, and nothing is lost).
+   Pairs of words come first; words are then only looked for in surviving pairs
+   and longer phrases where all their pairs survived, told by a Bloom filter of
+   at most ``filter_bits`` bits (beyond its size it lets more through, and
+   nothing is lost).
 2. *Exact pass.* The survivors' occurrences are counted as text, exactly.
 
 A phrase is cut after each of its first words, and the cut with the lowest
@@ -52,11 +53,11 @@ SCALE = 2_000_000
 ABSORB = 80
 NO_LANGUAGE = "und"
 #: Bytes of text that are read at once.
-STRETCH = 1 << 22
+STRETCH = 1 << 21
 #: Hashes that a mapper sums up before it hands them on.
 HELD = 1 << 22
 #: Phrases that a task of the exact pass sums up before it hands them on.
-HELD_PHRASES = 1 << 18
+HELD_PHRASES = 1 << 20
 #: Phrase mass that a hash partition's summary is made for.
 PARTITION_MASS = 1 << 25
 #: Most bits of a Bloom filter (16 MB), bits wanted for each entry, and bits set by each.
@@ -195,6 +196,50 @@ class Summary:
         return self.hashes[self.counts + self.cut >= self.threshold]
 
 
+class Tally:
+    """Counts of phrases, told apart by two hashes; a phrase's text is read once. Should two phrases share the
+    first hash, the later one is listed again and again, and the sum over equal texts puts that right."""
+
+    def __init__(self):
+        self.first = np.empty(0, dtype=np.uint64)
+        self.second = np.empty(0, dtype=np.uint64)
+        self.counts = np.empty(0, dtype=np.int64)
+        self.place = np.empty(0, dtype=np.int64)
+        self.langs: list[str] = []
+        self.sizes: list[int] = []
+        self.texts: list[bytes] = []
+
+    def add(self, words: Words, names: list[str], n: int, at: np.ndarray, first: np.ndarray, second: np.ndarray) -> None:
+        """Count the phrases of ``n`` words that start at the words ``at``."""
+        order = np.lexsort((second, first))
+        at, first, second = at[order], first[order], second[order]
+        new = np.flatnonzero(np.r_[True, (first[1:] != first[:-1]) | (second[1:] != second[:-1])][: len(at)])
+        at, first, second, counts = at[new], first[new], second[new], np.diff(np.r_[new, len(at)])
+        place = np.searchsorted(self.first, first)
+        near = np.minimum(place, len(self.first) - 1)
+        known = (self.first[near] == first) & (self.second[near] == second) if len(self.first) else np.zeros(len(at), dtype=bool)
+        self.counts[place[known]] += counts[known]
+        at, first, second, counts, place = (x[~known] for x in (at, first, second, counts, place))
+        self.first = np.insert(self.first, place, first)
+        self.second = np.insert(self.second, place, second)
+        self.counts = np.insert(self.counts, place, counts)
+        self.place = np.insert(self.place, place, len(self.texts) + np.arange(len(at)))
+        self.langs += [names[k] for k in words.lang[at]]
+        self.sizes += [n] * len(at)
+        self.texts += [words.text(k, n) for k in at.tolist()]
+
+    def out(self) -> Iterator[pa.RecordBatch]:
+        """(lang, words, phrase, f) rows; the tally is empty afterwards."""
+        counts = np.empty(len(self.place), dtype=np.int64)
+        counts[self.place] = self.counts
+        for k in range(0, len(counts), 1 << 16):
+            some = slice(k, k + (1 << 16))
+            phrases = pa.array(self.texts[some], pa.binary()).cast(pa.string())
+            arrays = [pa.array(self.langs[some]), pa.array(self.sizes[some], pa.int32()), phrases, pa.array(counts[some])]
+            yield pa.RecordBatch.from_arrays(arrays, names=["lang", "words", "phrase", "f"])
+        self.__init__()
+
+
 # -- Bloom filter -----------------------------------------------------------
 
 
@@ -316,43 +361,21 @@ def exact_counts(texts: DataFrame, bits: np.ndarray, max_words: int, spark: Spar
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
-        # (both hashes of a phrase): how often, and what it is
-        counts: dict[tuple[int, int], int] = {}
-        known: dict[tuple[int, int], tuple[str, int, bytes]] = {}
+        tally = Tally()
         totals: dict[str, int] = {}
-
-        def out() -> Iterator[pa.RecordBatch]:
-            rows = [(*known[key], c) for key, c in counts.items()] + [(x, 0, b"", c) for x, c in totals.items()]
-            for held in (counts, known, totals):
-                held.clear()
-            if rows:
-                lang, size, phrase, c = zip(*rows, strict=True)
-                phrases = pa.array(phrase, pa.binary()).cast(pa.string())
-                arrays = [pa.array(lang), pa.array(size, pa.int32()), phrases, pa.array(c, pa.int64())]
-                yield pa.RecordBatch.from_arrays(arrays, names=["lang", "words", "phrase", "f"])
-
         for words, seeds, names in _read(batches):
             for k, c in enumerate(np.bincount(words.lang, minlength=len(names)).tolist()):
                 totals[names[k]] = totals.get(names[k], 0) + c
             one, two = words.hashes(seeds), words.hashes(seeds, 1)
             for n in range(1, max_words + 1):
                 at, first = words.phrases(one, n)
-                at, first = at[some := passes(table, first)], first[some]
-                second = words.phrases(two, n, 1)[1][some]
-                order = np.lexsort((second, first))
-                at, first, second = at[order], first[order], second[order]
-                new = np.flatnonzero(np.r_[True, (first[1:] != first[:-1]) | (second[1:] != second[:-1])][: len(at)])
-                sizes = np.diff(np.r_[new, len(at)]).tolist()
-                keys = zip(first[new].tolist(), second[new].tolist(), strict=True)
-                for key, k, c in zip(keys, at[new].tolist(), sizes, strict=True):
-                    if key in counts:
-                        counts[key] += c
-                    else:
-                        counts[key] = c
-                        known[key] = (names[words.lang[k]], n, words.text(k, n))
-            if len(counts) > HELD_PHRASES:
-                yield from out()
-        yield from out()
+                some = passes(table, first)
+                tally.add(words, names, n, at[some], first[some], words.phrases(two, n, 1)[1][some])
+            if len(tally.texts) > HELD_PHRASES:
+                yield from tally.out()
+        yield from tally.out()
+        for lang, c in totals.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([0], pa.int32()), pa.array([""]), pa.array([c])], names=["lang", "words", "phrase", "f"])
 
     counted = texts.mapInArrow(run, "lang string, words int, phrase string, f long")
     return counted.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
@@ -366,37 +389,38 @@ def frequent_phrases(
     lang_col: str = "lang",
     text_col: str = "text",
 ) -> DataFrame:
-    """(lang, words, phrase, f): all phrases of 1 to ``max_words`` words with
-    f >= threshold, exact; and per language one row of 0 words whose f is the
-    number of its words."""
+    """(lang, words, phrase, f): all phrases of 2 to ``max_words`` words with
+    f >= threshold and at least the words in them, f exact; and per language
+    one row of 0 words whose f is the number of its words."""
     if not 2 <= max_words <= MAX_WORDS:
         raise ValueError(f"max_words must be 2 to {MAX_WORDS}")
     spark = docs.sparkSession
     texts = _texts(docs, lang_col, text_col)
-    # a word takes a byte and a separator: words and pairs, or phrases of two further lengths, are no more than the bytes
-    mass = int(texts.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0)
-
-    def short(words: Words, hashes: np.ndarray) -> list[np.ndarray]:
-        return [words.phrases(hashes, n)[1] for n in (1, 2)]
-
-    found = materialize(survivors(phrase_counts(texts, short), mass, threshold))
-    if max_words > 2:
-        pairs = spark.sparkContext.broadcast(bloom_filter(found, filter_bits))
-
-        def long(words: Words, hashes: np.ndarray) -> list[np.ndarray]:
-            at, pair = words.phrases(hashes, 2)
-            known = np.zeros(len(hashes) + max_words, dtype=bool)
-            known[at] = passes(pairs.value, pair)
-            out = []
-            for n in range(3, max_words + 1):
-                at, phrase = words.phrases(hashes, n)
-                stays = np.ones(len(at), dtype=bool)
-                for k in range(n - 1):
-                    stays &= known[at + k]
-                out.append(phrase[stays])
-            return out
-
-        found = materialize(found.unionByName(survivors(phrase_counts(texts, long), mass, threshold)))
+    # a word takes a byte and a separator, so no length has more phrases than half the bytes
+    half = int(texts.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0) // 2 + 1
+
+    def pairs(words: Words, hashes: np.ndarray) -> list[np.ndarray]:
+        return [words.phrases(hashes, 2)[1]]
+
+    found = materialize(survivors(phrase_counts(texts, pairs), half, threshold))
+    shared = spark.sparkContext.broadcast(bloom_filter(found, filter_bits))
+
+    def others(words: Words, hashes: np.ndarray) -> list[np.ndarray]:
+        at, pair = words.phrases(hashes, 2)
+        known = np.zeros(len(hashes) + max_words, dtype=bool)
+        known[at] = passes(shared.value, pair)
+        in_pair = known[: len(hashes)].copy()
+        in_pair[1:] |= known[: len(hashes)][:-1]
+        out = [hashes[in_pair]]
+        for n in range(3, max_words + 1):
+            at, phrase = words.phrases(hashes, n)
+            stays = np.ones(len(at), dtype=bool)
+            for k in range(n - 1):
+                stays &= known[at + k]
+            out.append(phrase[stays])
+        return out
+
+    found = materialize(found.unionByName(survivors(phrase_counts(texts, others), half * (max_words - 1), threshold)))
     counted = exact_counts(texts, bloom_filter(found, filter_bits), max_words, spark)
     return counted.where((F.col("f") >= threshold) | (F.col("words") == 0))
 
