@@ -1,27 +1,26 @@
 """Approximate nearest neighbours by collision counting.
 
 Vectors are dealt into blocks of at most about ``block_rows``, each with an
-index of its own: ``projections`` random directions, and for each of them the
-block's projections in sorted order. A query looks at every sorted array
-through a window centred on its own projection. A vector inside the window
-collides with the query in that projection; vectors with at least
+index of its own, built once: ``projections`` random directions, and for each
+of them the block's projections in sorted order. A query looks at every sorted
+array through a window centred on its own projection. A vector inside the
+window collides with the query in that projection; vectors with at least
 ``threshold`` of all possible collisions are candidates and are verified by
 their exact cosine.
 
-Windows start narrow and widen (virtual rehashing: the sorted arrays serve
-every width, and only what a wider window adds is counted). The projections of
-two unit vectors of cosine s differ by a normal variable of variance 2(1 - s),
-so for any width the chance to collide is known as a function of s. The search
-in a block ends once, at the cosine of the k-th best verified vector, that
-chance exceeds the threshold by ``margin`` standard deviations of the collision
-count: a nearer vector would then almost surely have become a candidate. The
-next width is the one that this needs for the k-th best known so far. There is
-no limit on candidates; with no end in sight the windows cover the block and
-everything is verified.
-
-Each block's k nearest per query are merged by an exact ranking. Queries and
-vectors meet block by block (query block x vector block), so memory is bounded
-by the two block sizes.
+Windows start narrow and widen by ``GROWTH`` (virtual rehashing: the sorted
+arrays serve every width, and only what a wider window adds is counted). Their
+width is a share of the block's places on either side of the query's. The
+search in a block ends when ``effort`` times the square root of the block's
+rows have become candidates, a share that falls as blocks grow. This is no cap:
+all vectors that have enough collisions by then are verified, and where the
+candidates stay fewer, the windows end up covering the block and everything is
+verified. Only vectors that collide too seldom for their nearness are missed;
+the tests hold recall against brute force.
+
+Each block's k nearest per query are merged by an exact ranking. Every query is
+sent to every block, behind the block's vectors, and streamed through its index,
+so memory is bounded by the block, however many queries there are.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
 components take no part; only vectors of one length meet; rows repeated with
@@ -32,7 +31,7 @@ smaller id; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from statistics import NormalDist
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,70 +41,75 @@ from pyspark.sql import functions as F
 from stockflow.llm.common import materialize
 
 PROJECTIONS = 128
-THRESHOLD = 0.72
-MARGIN = 2.0
+THRESHOLD = 0.36
+EFFORT = 9
 BLOCK_ROWS = 16_384
-QUERY_ROWS = 4_096
 SEED = 5
-FIRST_WIDTH = 0.3
-_NORMAL = NormalDist()
+FIRST_WIDTH = 0.1
+GROWTH = 1.12
 
 
 class BlockIndex:
     """Sorted projections of one block of unit vectors."""
 
-    def __init__(self, unit: np.ndarray, ids: np.ndarray, projections: int, seed: int):
-        directions = np.random.default_rng(seed).standard_normal((unit.shape[1], projections))
+    def __init__(self, unit: np.ndarray, ids: np.ndarray, projections: int, seed: int = SEED):
+        self.directions = np.random.default_rng(seed).standard_normal((unit.shape[1], projections))
         self.unit = unit
         self.ids = ids
-        self.directions = directions
-        places = (unit @ directions).T
-        self.order = np.argsort(places, axis=1).astype(np.int32)
-        self.places = np.take_along_axis(places, self.order, axis=1)
-
-    def nearest(self, query: np.ndarray, query_id: int, k: int, threshold: float, margin: float):
-        """(ids, cosines) of the k nearest found, ties to the smaller id."""
-        n, projections = len(self.unit), len(self.places)
+        places = (unit @ self.directions).T
+        # one array a projection: which vectors, and where they lie
+        self.order = list(np.argsort(places, axis=1))
+        self.places = list(np.sort(places, axis=1))
+        #: Vectors verified so far, and windows' places counted, over all queries.
+        self.verified = self.counted = 0
+
+    def nearest(
+        self, queries: np.ndarray, query_ids: np.ndarray, k: int, threshold: float = THRESHOLD, effort: float = EFFORT
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids, cosines) of the k nearest found of every query, ties to the smaller id."""
+        centres = queries @ self.directions
+        at = np.array([np.searchsorted(p, centres[:, j]) for j, p in enumerate(self.places)])
+        for m, query in enumerate(queries):
+            yield self._search(query, query_ids[m], at[:, m], k, threshold, effort)
+
+    def _search(self, query, query_id, at, k, threshold, effort):
+        n, projections = len(self.unit), len(self.order)
         least = int(np.ceil(threshold * projections))
-        wanted = min(0.999999, threshold + margin * (threshold * (1 - threshold) / projections) ** 0.5)
-        reach = _NORMAL.inv_cdf((1 + wanted) / 2)
-        centre = query @ self.directions
-        low = np.array([np.searchsorted(p, c) for p, c in zip(self.places, centre, strict=True)])
-        high = low.copy()
-        hits = np.zeros(n, dtype=np.int16)
+        enough = max(k, effort * n**0.5)
+        hits = np.zeros(n, dtype=np.int64)
         open_ = self.ids != query_id
-        rows = np.empty(0, dtype=np.int64)
-        cosines = np.empty(0)
-        width = FIRST_WIDTH
+        found, candidates = [], 0
+        low, high, width = at.tolist(), at.tolist(), FIRST_WIDTH
         while True:
-            for j in range(projections):
-                p, order = self.places[j], self.order[j]
-                a, b = p.searchsorted(centre[j] - width), p.searchsorted(centre[j] + width, "right")
-                hits[order[a : low[j]]] += 1
-                hits[order[high[j] : b]] += 1
-                low[j], high[j] = min(a, low[j]), max(b, high[j])
-            covered = bool((high - low == n).all())
+            reach = int(np.ceil(width * n))
+            wider_low, wider_high = np.maximum(at - reach, 0).tolist(), np.minimum(at + reach, n).tolist()
+            added = [o[a:b] for o, a, b in zip(self.order, wider_low, low, strict=True)]
+            added += [o[a:b] for o, a, b in zip(self.order, high, wider_high, strict=True)]
+            added = np.concatenate(added)
+            self.counted += len(added)
+            hits += np.bincount(added, minlength=n)
+            low, high = wider_low, wider_high
+            covered = reach >= n
             new = np.flatnonzero(open_ & ((hits >= least) | covered))
             open_[new] = False
-            rows = np.concatenate([rows, new])
-            # row by row, so that equal vectors get equal cosines
-            cosines = np.concatenate([cosines, (self.unit[new] * query).sum(axis=1)])
-            best = np.lexsort((self.ids[rows], -cosines))[:k]
-            rows, cosines = rows[best], cosines[best]
-            if covered:
-                return self.ids[rows], cosines
-            if len(rows) < k:
-                width *= 1.6
-                continue
-            needed = reach * (2 * max(0.0, 1 - cosines.min())) ** 0.5
-            if width >= needed:
-                return self.ids[rows], cosines
-            width = needed if needed < 1.6 * width else 1.6 * width
-
-
-def _matrix(table: pa.Table, column: str) -> np.ndarray:
-    flat = table[column].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(table.num_rows, -1)
+            found.append(new)
+            candidates += len(new)
+            if covered or candidates >= enough:
+                break
+            width *= GROWTH
+        rows = np.concatenate(found)
+        self.verified += len(rows)
+        # row by row, so that equal vectors get equal cosines
+        cosines = (self.unit[rows] * query).sum(axis=1)
+        best = np.lexsort((self.ids[rows], -cosines))[:k]
+        return self.ids[rows[best]], cosines[best]
+
+
+def _unit(vectors: pa.Array) -> np.ndarray:
+    """The rows as unit vectors, scaled by their largest component first, so that no square overflows."""
+    raw = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+    raw = raw / np.abs(raw).max(axis=1, keepdims=True)
+    return raw / np.linalg.norm(raw, axis=1, keepdims=True)
 
 
 def usable(vector: Column) -> Column:
@@ -120,52 +124,61 @@ def nearest_neighbours(
     k: int = 5,
     projections: int = PROJECTIONS,
     threshold: float = THRESHOLD,
-    margin: float = MARGIN,
+    effort: float = EFFORT,
     block_rows: int = BLOCK_ROWS,
-    query_rows: int = QUERY_ROWS,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of ``queries`` its k
     nearest rows of ``vectors`` with another id, by cosine."""
 
-    def clean(df: DataFrame, name: str) -> DataFrame:
+    def clean(df: DataFrame, asked: bool) -> DataFrame:
         vector = F.col(vector_col).cast("array<double>")
-        rows = df.select(F.col(id_col).cast("long").alias(name), vector.alias("v"))
-        return rows.where(F.col(name).isNotNull() & usable(F.col("v"))).distinct().withColumn("dim", F.size("v"))
+        rows = df.select(F.col(id_col).cast("long").alias("id"), vector.alias("v"))
+        rows = rows.where(F.col("id").isNotNull() & usable(F.col("v"))).distinct()
+        return rows.select("id", "v", F.size("v").alias("dim"), F.lit(asked).alias("asked"))
 
-    ours, theirs = materialize(clean(vectors, "id")), materialize(clean(queries, "query_id"))
+    ours = materialize(clean(vectors, False))
     blocks = max(1, -(-ours.count() // block_rows))
-    query_blocks = max(1, -(-theirs.count() // query_rows))
-
-    def dealt(df: DataFrame, name: str, own: str, n: int, other: str, m: int) -> DataFrame:
-        mine = F.pmod(F.xxhash64(name, "v"), F.lit(n)).cast("int")
-        return df.select("*", mine.alias(own), F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(other))
-
-    left = dealt(ours, "id", "block", blocks, "query_block", query_blocks)
-    right = dealt(theirs, "query_id", "query_block", query_blocks, "block", blocks)
+    own = ours.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int"))
+    sent = clean(queries, True).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
-    def search(mine: pa.Table, asked: pa.Table) -> pa.Table:
-        if not mine.num_rows or not asked.num_rows:
-            return schema.empty_table()
-        raw, wanted = _matrix(mine, "v"), _matrix(asked, "v")
-        # scaled by the largest component first, so that no square overflows
-        scale = lambda x: x / np.abs(x).max(axis=1, keepdims=True)
-        unit = lambda x: scale(x) / np.linalg.norm(scale(x), axis=1, keepdims=True)
-        ids = mine["id"].to_numpy()
-        index = BlockIndex(unit(raw), ids, projections, SEED)
-        out: list[tuple[np.ndarray, ...]] = []
-        for query_id, query in zip(asked["query_id"].to_pylist(), unit(wanted), strict=True):
-            found, cosines = index.nearest(query, query_id, k, threshold, margin)
-            out.append((np.full(len(found), query_id), found, cosines))
-        columns = [np.concatenate(c) for c in zip(*out, strict=True)]
-        return pa.table([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
-
-    keys = ["dim", "block", "query_block"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
-        search, "query_id long, vec_id long, score double"
-    )
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at: tuple[int, int] | None = None
+        held: list[pa.RecordBatch] = []
+        index: BlockIndex | None = None
+        for batch in batches:
+            dims, numbers = batch["dim"].to_numpy(), batch["block"].to_numpy()
+            asked = batch["asked"].to_numpy(zero_copy_only=False)
+            new = (dims[1:] != dims[:-1]) | (numbers[1:] != numbers[:-1]) | (asked[1:] != asked[:-1])
+            starts = np.flatnonzero(np.r_[True, new][: len(dims)])
+            for s, e in zip(starts, np.r_[starts[1:], len(dims)], strict=True):
+                part = batch.slice(int(s), int(e - s))
+                if (dims[s], numbers[s]) != at:
+                    at, held, index = (dims[s], numbers[s]), [], None
+                if not asked[s]:
+                    held.append(part)
+                    continue
+                if index is None and held:
+                    block = pa.Table.from_batches(held).combine_chunks()
+                    units = _unit(block["v"].combine_chunks())
+                    index, held = BlockIndex(units, block["id"].to_numpy(), projections), []
+                if index is None:
+                    continue
+                query_ids = part["id"].to_numpy()
+                out = [
+                    (np.full(len(found), query_id), found, cosines)
+                    for query_id, (found, cosines) in zip(
+                        query_ids, index.nearest(_unit(part["v"]), query_ids, k, threshold, effort), strict=True
+                    )
+                ]
+                columns = [np.concatenate(c) for c in zip(*out, strict=True)]
+                arrays = [pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    together = own.unionByName(sent).repartition("dim", "block").sortWithinPartitions("dim", "block", "asked")
+    found = together.mapInArrow(search, "query_id long, vec_id long, score double")
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)

@@ -2,11 +2,17 @@
 
 The words of a corpus are described by how many letters of each of ``GROUPS``
 letter groups they hold (a letter's group is its code point modulo the number
-of groups). The vectors form a trie, one level per group. Two words that differ
-by one inserted, deleted or replaced letter have vectors that differ by at most
-one surplus and one deficit letter, so a depth-first search that may spend one
-of each on its way down meets every near word; the words at the leaves are
-verified letter by letter.
+of groups; counts above ``MOST`` are written as ``MOST``). The vectors form a
+trie, one level per group. Two words that differ by one inserted, deleted or
+replaced letter have vectors that differ by at most one surplus and one deficit
+letter, so a depth-first search that may spend one of each on its way down
+meets every near word; the words at the leaves are verified: by their whole
+vectors, by the halves one of which must be equal, and letter by letter.
+
+A vector is one integer, each count written as so many ones in a field of its
+own, the first level highest: words in the order of these codes lie in the
+order of the trie, a node is a stretch of them, and surplus and deficit are
+counts of bits. The search takes all visitors of a subtree down at once.
 
 The trie's first ``TOP_LEVELS`` levels deal the work: each node there is a
 subtree of its own, held by one task, and a word visits those that its budget
@@ -34,6 +40,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,12 +53,18 @@ RATIO = 5
 #: One run in so many loses a letter (fixed by the query's contract).
 SLIP = 199
 GROUPS = 12
-TOP_LEVELS = 3
+#: The groups in the order of the trie's levels, those of common letters (t, i, e, n, a, o) first.
+LEVELS = (8, 9, 5, 2, 1, 3, 6, 7, 4, 0, 10, 11)
+#: Highest count of a group, and so the bits of its field.
+MOST = 5
+TOP_LEVELS = 4
 #: Words of a subtree's block, and most subtrees that can be dealt into blocks (so that their table can be broadcast).
-SUBTREE_WORDS = 100_000
+SUBTREE_WORDS = 20_000
 SUBTREE_TABLE = 10_000
-#: Words of a leaf before it becomes a node.
-LEAF = 6
+#: Words of a leaf, pairs from which on a node is divided further, and pairs compared at once.
+LEAF = 64
+FEW_PAIRS = 1 << 14
+PAIRS_AT_ONCE = 1 << 18
 #: Words that a task counts before it hands them on.
 HELD_WORDS = 1 << 19
 
@@ -105,12 +118,15 @@ def vocabulary(
 # -- the trie ---------------------------------------------------------------
 
 
-def vector(word: str) -> list[int]:
-    """How many letters of each group the word holds."""
-    out = [0] * GROUPS
+_FIELD = {LEVELS[level]: MOST * (GROUPS - 1 - level) for level in range(GROUPS)}
+
+
+def code(word: str) -> int:
+    """The word's letter-group counts, each as so many ones in its field."""
+    counts = [0] * GROUPS
     for letter in word:
-        out[ord(letter) % GROUPS] += 1
-    return out
+        counts[ord(letter) % GROUPS] += 1
+    return sum(((1 << min(c, MOST)) - 1) << _FIELD[g] for g, c in enumerate(counts) if c)
 
 
 def one_edit(a: str, b: str) -> bool:
@@ -129,89 +145,108 @@ def one_edit(a: str, b: str) -> bool:
     return k < len(a) and a[k + 1 :] == b[k + 1 :]
 
 
-class Trie:
-    """Words by successive letter-group counts from level ``level`` on. A node
-    is a dict from a count to the next node, or a list of words (a leaf)."""
+class Halves:
+    """Hashes of the words' first and last halves, for a partner as long or longer and for one a letter shorter.
+    Of two words one edit apart the first or the last half of the shorter one's length stands in both."""
+
+    def __init__(self, words: list[str]):
+        self.length = np.array([len(w) for w in words], dtype=np.int64)
+        sides = [(hash(w[:h]), hash(w[len(w) - h :])) for w in words for h in (len(w) // 2, (len(w) - 1) // 2)]
+        self.hashes = np.array(sides, dtype=np.int64).reshape(len(words), 2, 2)
+
+    def may_be_near(self, mine: np.ndarray, other: Halves, theirs: np.ndarray) -> np.ndarray:
+        longer = self.length[mine] - other.length[theirs]
+        a = self.hashes[mine, (longer > 0).astype(np.int64)]
+        b = other.hashes[theirs, (longer < 0).astype(np.int64)]
+        return (np.abs(longer) <= 1) & (a == b).any(axis=1)
 
-    def __init__(self, level: int = 0):
+
+class Subtree:
+    """Words in the order of their codes: a trie whose nodes are stretches, from level ``level`` on."""
+
+    def __init__(self, words: list[str], counts: list[int], codes: np.ndarray, level: int = 0):
+        order = np.argsort(codes, kind="stable")
+        self.words = [words[k] for k in order]
+        self.counts = [counts[k] for k in order]
+        self.codes = codes[order]
+        self.halves = Halves(self.words)
         self.level = level
-        self.root: dict | list = []
-
-    def add(self, word: str, n: int) -> None:
-        entry = (word, n, vector(word))
-        node, level, parent = self.root, self.level, None
-        while isinstance(node, dict):
-            parent, key = node, entry[2][level]
-            node = node.setdefault(key, [])
-            level += 1
-        node.append(entry)
-        if len(node) > LEAF and level < GROUPS:
-            inner: dict = {}
-            for other in node:
-                inner.setdefault(other[2][level], []).append(other)
-            if parent is None:
-                self.root = inner
-            else:
-                parent[key] = inner
-
-    def near(self, word: str, surplus: int = 1, deficit: int = 1) -> list[tuple[str, int]]:
-        """(word, count) of the words one edit away, met by a depth-first search that may find ``deficit`` letters
-        of ``word`` missing and ``surplus`` too many."""
-        counts = vector(word)
-        found: list[tuple[str, int]] = []
-        stack = [(self.root, self.level, surplus, deficit)]
+
+    def met(self, codes: np.ndarray, more: np.ndarray, less: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(visitors, words) whose whole vectors differ by at most one surplus and one deficit. ``more`` and ``less``
+        tell which visitors may still meet a surplus or deficit letter on their way."""
+        stack = [(self.level, 0, len(self.codes), np.arange(len(codes)), more, less)]
         while stack:
-            node, level, more, less = stack.pop()
-            if isinstance(node, list):
-                found += [(w, n) for w, n, _ in node if one_edit(word, w)]
+            level, low, high, who, up, down = stack.pop()
+            if level == GROUPS or high - low <= LEAF or (high - low) * len(who) <= FEW_PAIRS:
+                step = max(1, PAIRS_AT_ONCE // (high - low))
+                for k in range(0, len(who), step):
+                    some = who[k : k + step]
+                    mine, theirs = codes[some][:, None], self.codes[low:high][None, :]
+                    near = (np.bitwise_count(theirs & ~mine) <= 1) & (np.bitwise_count(mine & ~theirs) <= 1)
+                    visitor, word = np.nonzero(near)
+                    yield some[visitor], word + low
                 continue
-            c = counts[level]
-            if (child := node.get(c)) is not None:
-                stack.append((child, level + 1, more, less))
-            if more and (child := node.get(c + 1)) is not None:
-                stack.append((child, level + 1, 0, less))
-            if less and (child := node.get(c - 1)) is not None:
-                stack.append((child, level + 1, more, 0))
-        return found
-
-
-def subtrees(counts: list[int]) -> Iterator[tuple[int, int, int]]:
-    """(subtree, surplus left, deficit left) that a word of the given counts
-    visits: its own and the later ones in the order of the trie."""
-
-    def down(level: int, number: int, more: int, less: int, later: bool):
-        if level == len(counts):
-            yield number, more, less
+            shift = np.uint64(MOST * (GROUPS - 1 - level))
+            field = np.bitwise_count((self.codes[low:high] >> shift) & np.uint64((1 << MOST) - 1)).astype(np.int8)
+            asked = np.bitwise_count((codes[who] >> shift) & np.uint64((1 << MOST) - 1)).astype(np.int8)
+            starts = np.flatnonzero(np.r_[True, field[1:] != field[:-1]])
+            for s, e in zip(starts, np.r_[starts[1:], len(field)], strict=True):
+                surplus = field[s] - asked
+                goes = (surplus == 0) | ((surplus == 1) & up) | ((surplus == -1) & down)
+                if goes.any():
+                    left = surplus[goes]
+                    stack.append((level + 1, low + int(s), low + int(e), who[goes], up[goes] & (left != 1), down[goes] & (left != -1)))
+
+    def near(self, words: list[str], codes: np.ndarray, more: np.ndarray, less: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(visitor, word): numbers of the pairs one edit apart."""
+        halves = Halves(words)
+        for visitors, found in self.met(codes, more, less):
+            near = halves.may_be_near(visitors, self.halves, found)
+            visitors, found = visitors[near], found[near]
+            for v, w in zip(visitors.tolist(), found.tolist(), strict=True):
+                if one_edit(words[v], self.words[w]):
+                    yield v, w
+
+
+def subtrees(number: int) -> Iterator[tuple[int, bool, bool]]:
+    """(subtree, may meet a surplus, may meet a deficit) that a word of the
+    code ``number`` visits: its own and the later ones in the order of the trie."""
+    top = number >> MOST * (GROUPS - TOP_LEVELS)
+
+    def down(level: int, node: int, more: bool, less: bool, later: bool):
+        if level == TOP_LEVELS:
+            yield node, more, less
             return
-        c = counts[level]
-        if less and later and c:
-            yield from down(level + 1, number * 4096 + c - 1, more, 0, later)
-        yield from down(level + 1, number * 4096 + c, more, less, later)
-        if more:
-            yield from down(level + 1, number * 4096 + c + 1, 0, less, True)
+        field = (top >> MOST * (TOP_LEVELS - 1 - level)) & ((1 << MOST) - 1)
+        if less and later and field:
+            yield from down(level + 1, node << MOST | field >> 1, more, False, later)
+        yield from down(level + 1, node << MOST | field, more, less, later)
+        if more and field < (1 << MOST) - 1:
+            yield from down(level + 1, node << MOST | field << 1 | 1, False, less, True)
 
-    yield from down(0, 0, 1, 1, False)
+    yield from down(0, 0, True, True, False)
 
 
 def placed(words: DataFrame) -> DataFrame:
-    """(node, visitor, surplus, deficit, word, n): every word in its subtree, and as a visitor in those it reaches.
-    Counts of 4,095 letters of a group or more share the number of the last; the verification tells them apart."""
+    """(node, visitor, more, less, word, n, code): every word in its subtree, and as a visitor in those it reaches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for word, n in zip(batch["word"].to_pylist(), batch["n"].to_pylist(), strict=True):
-                top = [min(c, 4094) for c in vector(word)[:TOP_LEVELS]]
-                for k, (node, more, less) in enumerate(subtrees(top)):
+                number = code(word)
+                for k, (node, more, less) in enumerate(subtrees(number)):
                     if not k:
-                        rows.append((node, False, 0, 0, word, n))
-                    rows.append((node, True, more, less, word, n))
-            types = [pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.string(), pa.int64()]
+                        rows.append((node, False, False, False, word, n, number))
+                    rows.append((node, True, more, less, word, n, number))
+            types = [pa.int64(), pa.bool_(), pa.bool_(), pa.bool_(), pa.string(), pa.int64(), pa.int64()]
             columns = list(zip(*rows, strict=True)) or [()] * len(types)
             arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["node", "visitor", "surplus", "deficit", "word", "n"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["node", "visitor", "more", "less", "word", "n", "code"])
 
-    return words.mapInArrow(run, "node long, visitor boolean, surplus int, deficit int, word string, n long")
+    schema = "node long, visitor boolean, more boolean, less boolean, word string, n long, code long"
+    return words.mapInArrow(run, schema)
 
 
 def near_pairs(words: DataFrame, subtree_words: int = SUBTREE_WORDS) -> DataFrame:
@@ -228,20 +263,37 @@ def near_pairs(words: DataFrame, subtree_words: int = SUBTREE_WORDS) -> DataFram
     dealt = rows.join(full, "node", "left").withColumn("block", F.explode(here)).drop("blocks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, at = Trie(TOP_LEVELS), None
+        at: tuple[int, int] | None = None
+        members: list[pa.RecordBatch] = []
+        subtree: Subtree | None = None
+        numbers = lambda x: x["code"].to_numpy().view(np.uint64)
+        flags = lambda x, c: x[c].to_numpy(zero_copy_only=False)
         for batch in batches:
-            found: list[tuple[str, int, str, int]] = []
-            names = ("node", "block", "visitor", "surplus", "deficit", "word", "n")
-            for node, block, visitor, more, less, word, n in zip(*(batch[c].to_pylist() for c in names), strict=True):
-                if (node, block) != at:
-                    trie, at = Trie(TOP_LEVELS), (node, block)
-                if not visitor:
-                    trie.add(word, n)
+            nodes, blocks, visitor = batch["node"].to_numpy(), batch["block"].to_numpy(), flags(batch, "visitor")
+            new = (nodes[1:] != nodes[:-1]) | (blocks[1:] != blocks[:-1]) | (visitor[1:] != visitor[:-1])
+            starts = np.flatnonzero(np.r_[True, new][: len(nodes)])
+            out: list[tuple[str, int, str, int]] = []
+            for s, e in zip(starts, np.r_[starts[1:], len(nodes)], strict=True):
+                part = batch.slice(int(s), int(e - s))
+                if (nodes[s], blocks[s]) != at:
+                    at, members, subtree = (nodes[s], blocks[s]), [], None
+                if not visitor[s]:
+                    members.append(part)
+                    continue
+                if subtree is None:
+                    held = pa.Table.from_batches(members, part.schema).combine_chunks()
+                    codes = held["code"].to_numpy().view(np.uint64)
+                    subtree = Subtree(held["word"].to_pylist(), held["n"].to_pylist(), codes, TOP_LEVELS)
+                if not subtree.words:
                     continue
-                # nothing is spent in the word's own subtree: there both words visit each other and the smaller names the pair
-                at_home = more and less
-                found += [(word, n, w, m) for w, m in trie.near(word, more, less) if not at_home or word < w]
-            columns = list(zip(*found, strict=True)) or [(), (), (), ()]
+                word, n = part["word"].to_pylist(), part["n"].to_pylist()
+                more, less = flags(part, "more"), flags(part, "less")
+                home = (more & less).tolist()
+                for v, w in subtree.near(word, numbers(part), more, less):
+                    # in their own subtree two words visit each other: the smaller one names the pair
+                    if not home[v] or word[v] < subtree.words[w]:
+                        out.append((word[v], n[v], subtree.words[w], subtree.counts[w]))
+            columns = list(zip(*out, strict=True)) or [(), (), (), ()]
             types = [pa.string(), pa.int64(), pa.string(), pa.int64()]
             arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=["a", "a_n", "b", "b_n"])

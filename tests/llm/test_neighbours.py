@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stockflow.llm.neighbours import nearest_neighbours
+from stockflow.llm.neighbours import EFFORT, PROJECTIONS, BlockIndex, nearest_neighbours
 from stockflow.llm.queries import QUERIES
 
 
@@ -41,13 +41,44 @@ def test_recall_on_the_small_table(spark, sf_small):
 def test_blocks_give_the_same_recall(spark, sf_small):
     vectors = spark.read.parquet(f"{sf_small}/embeddings.parquet")
     queries = vectors.where("vec_id % 20 = 0")
-    got = nearest_neighbours(vectors, queries, block_rows=100, query_rows=10).collect()
+    got = nearest_neighbours(vectors, queries, block_rows=100).collect()
     rows = [(r["vec_id"], r["embedding"]) for r in vectors.collect()]
     want = brute(rows, [r for r in rows if r[0] % 20 == 0], 5)
     hits = sum(r["vec_id"] in {i for i, _ in want[r["query_id"]]} for r in got)
     assert hits >= 0.9 * sum(map(len, want.values()))
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_the_index_finds_nine_tenths_and_verifies_a_falling_share(sf):
+    import pyarrow.parquet as pq
+
+    found = pq.read_table(f"/root/testdata/{sf}/embeddings.parquet")
+    unit = np.array(found["embedding"].to_pylist(), dtype=float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    ids = found["vec_id"].to_numpy()
+    index = BlockIndex(unit, ids, PROJECTIONS)
+    asked = np.flatnonzero(ids % 20 == 0)
+    hits = 0
+    for q, (near, _) in zip(asked, index.nearest(unit[asked], ids[asked], 5), strict=True):
+        cosines = unit @ unit[q]
+        cosines[ids == ids[q]] = -2
+        hits += len(set(near) & set(ids[np.argsort(-cosines, kind="stable")[:5]]))
+    assert hits >= 0.9 * 5 * len(asked)
+    assert index.verified <= 2 * EFFORT * len(ids) ** 0.5 * len(asked)
+
+
+def test_close_vectors_need_few_candidates():
+    pick = np.random.default_rng(3)
+    centres = pick.standard_normal((400, 32))
+    unit = np.repeat(centres, 10, axis=0) + 0.05 * pick.standard_normal((4000, 32))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    index = BlockIndex(unit, np.arange(4000), PROJECTIONS)
+    hits = 0
+    for q, (near, _) in enumerate(index.nearest(unit[:200], np.arange(200), 5)):
+        hits += sum(x // 10 == q // 10 for x in near)
+    assert hits == 5 * 200
+
+
 def test_unusable_vectors_ties_and_short_tables(spark):
     nan, inf = float("nan"), float("inf")
     rows = [

@@ -4,6 +4,7 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from conftest import EDGE_ROWS
@@ -82,14 +83,16 @@ def test_one_edit():
         assert spelling.one_edit(a, b) == (edits(a, b) == 1), (a, b)
 
 
-def test_a_leaf_grows_into_nodes_and_all_words_are_met():
-    trie = spelling.Trie()
-    words = [f"{a}{b}{c}word" for a in "abcdef" for b in "abcdef" for c in "abcdef"]
-    for w in words:
-        trie.add(w, 1)
-    assert isinstance(trie.root, dict)
-    for w in words[::17]:
-        assert {x for x, _ in trie.near(w)} == {x for x in words if edits(w, x) == 1}
+@pytest.mark.parametrize("leaf,few", [(spelling.LEAF, spelling.FEW_PAIRS), (1, 1)])
+def test_the_search_meets_all_near_words(monkeypatch, leaf, few):
+    monkeypatch.setattr(spelling, "LEAF", leaf)
+    monkeypatch.setattr(spelling, "FEW_PAIRS", few)
+    words = [f"{a}{b}{c}word" for a in "abcdef" for b in "abcdéf" for c in "abcdef"] + ["x" * 9, "x" * 10]
+    codes = np.array([spelling.code(w) for w in words], dtype=np.uint64)
+    tree = spelling.Subtree(words, [1] * len(words), codes)
+    yes = np.ones(len(words), dtype=bool)
+    found = Counter((words[v], tree.words[w]) for v, w in tree.near(words, codes, yes, yes))
+    assert found == Counter((a, b) for a in words for b in words if edits(a, b) == 1)
 
 
 def test_query_equals_sql(spark, sf_small):
