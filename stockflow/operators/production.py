@@ -8,9 +8,9 @@ Scale notes
 * The schedule is a running total per facility, and there are only a few
   facilities. A plain window would put each facility in one task. The block
   method cuts each facility's queue into day blocks (busy days into
-  product-id ranges), solves each block locally with windows, then carries
-  totals and the last product category across block edges through a table
-  with one row per block.
+  product-id ranges), solves each block locally with windows, then merges the
+  blocks' carry elements (first and last category, hours) in a tree over
+  months and facilities and hands back what each block takes over.
 * Delay categories need the global min and max delay; they enter the plan as
   one scalar subquery (a one-row aggregate), not as a driver round trip.
 """
@@ -186,101 +186,174 @@ def _schedule_window(df: DataFrame, switch_cost: int) -> DataFrame:
     return df.withColumn("Running_Total", F.sum("TotalProcessingTime").over(w_peer))
 
 
+#: Most facility-days that are cut into ranges (their table is broadcast), and
+#: most blocks whose carry table is broadcast; beyond that it is shuffled.
+BUSY_DAYS = 100_000
+BROADCAST_BLOCKS = 1_000_000
+BLOCK_KEYS = ["FacilityID", "OrderYearMonth", "_sub"]
+
+
 def assign_schedule_blocks(df: DataFrame, rows_per_block: int) -> DataFrame:
     """Adds ``_sub``: the product-id range of the row within its facility-day.
 
-    A facility-day with n jobs is cut into ceil(n / rows_per_block) equal
-    product-id ranges (at least one), read from a table with one row per
-    facility and day (bounded by facilities x calendar days).
+    A facility-day with n jobs, more than a block's, is cut into
+    ceil(n / rows_per_block) equal product-id ranges; all others are one
+    block. The table of busy days is broadcast and has at most ``BUSY_DAYS``
+    rows: on more jobs than BUSY_DAYS x rows_per_block the blocks get larger.
     """
     seg, day = "FacilityID", "OrderYearMonth"
-    day_stats = df.groupBy(seg, day).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min("ProductID").alias("_pmin"),
-        F.max("ProductID").alias("_pmax"),
+    day_stats = checkpoint_once(
+        df.groupBy(seg, day).agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.min("ProductID").alias("_pmin"),
+            F.max("ProductID").alias("_pmax"),
+        )
     )
-    ranges = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_block)))
+    total = day_stats.agg(F.sum("_n")).first()[0] or 0
+    limit = max(rows_per_block, -(-total // BUSY_DAYS))
+    ranges = F.ceil(F.col("_n") / F.lit(limit))
+    busy = F.broadcast(day_stats.where(F.col("_n") > limit).withColumn("_ranges", ranges))
     span = F.col("_pmax").cast("long") - F.col("_pmin") + 1
-    sub = F.coalesce(F.floor((F.col("ProductID") - F.col("_pmin")) * ranges / span), F.lit(0))
-    return join_null_safe(df, day_stats, [seg, day]).withColumn("_sub", sub).drop("_n", "_pmin", "_pmax")
+    sub = F.coalesce(F.floor((F.col("ProductID") - F.col("_pmin")) * F.col("_ranges") / span), F.lit(0))
+    return join_null_safe(df, busy, [seg, day]).withColumn("_sub", sub).drop("_n", "_pmin", "_pmax", "_ranges")
 
 
-def _schedule_blocks(df: DataFrame, switch_cost: int, rows_per_block: int) -> DataFrame:
-    """Same result as ``_schedule_window`` with the work spread over blocks.
+def _entry_cost(previous: Column, first: Column, switch_cost: int) -> Column:
+    """What switching to the first category costs (as ``_switched`` counts it)."""
+    return F.when(F.coalesce(previous, first) == first, F.lit(0)).otherwise(F.lit(switch_cost))
 
-    A block is a slice of one facility's queue: one day, cut into product-id
-    ranges when the day holds more than ``rows_per_block`` jobs (a busy day
-    gets proportionally more ranges). Block ids are a pure function of the
-    row and of a small per-(facility, day) table, so every branch below
-    recomputes them identically; nothing is materialized. The parts of one
-    product and day (a group of window peers) always share a block.
+
+def _plus(a: Column, b: Column) -> Column:
+    """Sum in which a null counts nothing; null if both are."""
+    return F.coalesce(a + b, a, b)
+
+
+def _scan_group(elements: DataFrame, group: list[str], order: list[str], switch_cost: int) -> DataFrame:
+    """Carry elements in order within their group.
+
+    An element stands for a stretch of the queue: its first category, whether
+    its first job has hours (``_has``), its hours without the switch into it,
+    and its last category. Added are ``_start`` (first of its group), ``_prev``
+    (last category before it), ``_entry`` (the switch into it; 0 at the
+    group's start, which is settled one level up), ``_own`` (hours with that)
+    and ``_before`` (hours of the group before it).
+    """
+    w = Window.partitionBy(*group).orderBy(*order)
+    entry = F.when(F.col("_start"), F.lit(0)).otherwise(_entry_cost(F.col("_prev"), F.col("_first_cat"), switch_cost))
+    scanned = (
+        elements.withColumn("_start", F.lag(F.lit(True)).over(w).isNull())
+        .withColumn("_prev", F.lag("_last_cat").over(w))
+        .withColumn("_entry", entry)
+        .withColumn("_own", F.col("_hours") + F.when(F.col("_has"), F.col("_entry")).otherwise(F.lit(0)))
+    )
+    return scanned.withColumn("_before", F.sum("_own").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+
+
+def _merge_group(scanned: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """One element per group: the merge of its elements."""
+    rows = F.struct(*[F.col(c) for c in order], F.col("_last_cat").alias("_value"))
+    return scanned.groupBy(*group).agg(
+        F.max(F.when(F.col("_start"), F.struct("_first_cat", "_has"))).alias("_head"),
+        F.sum("_own").alias("_hours"),
+        F.max(rows).alias("_tail"),
+    ).select(
+        *group, F.col("_head._first_cat").alias("_first_cat"), F.col("_head._has").alias("_has"),
+        "_hours", F.col("_tail._value").alias("_last_cat"),
+    )
+
+
+def merge_carry(blocks: DataFrame, switch_cost: int) -> DataFrame:
+    """What every block of a facility's queue takes over from those before it:
+    ``_prev``, ``_entry`` and ``_before`` (hours; null while there are none).
+
+    Merging carry elements is associative, so it runs as a tree: blocks are
+    scanned within the months of a facility, the months' elements within the
+    facility, and what a month takes over is handed down to its blocks. No
+    task holds more than a facility's months or a month's blocks.
     """
     seg, day = "FacilityID", "OrderYearMonth"
+    blocks = blocks.withColumn("_month", F.trunc(day, "MM"))
+    month = [seg, "_month"]
+    inner = _scan_group(blocks, month, [day, "_sub"], switch_cost)
+    outer = _scan_group(_merge_group(inner, month, [day, "_sub"]), [seg], ["_month"], switch_cost)
+    settled = F.when(F.col("_start"), _entry_cost(F.lit(None).cast("string"), F.col("_first_cat"), switch_cost))
+    outer = outer.withColumn("_entry", settled.otherwise(F.col("_entry")))
+    # the facility's first switch belongs to its first month's first block
+    first = F.sum(F.when(F.col("_start") & F.col("_has"), F.col("_entry"))).over(Window.partitionBy(seg))
+    taken = outer.select(
+        *month,
+        F.col("_prev").alias("_m_prev"),
+        F.col("_entry").alias("_m_entry"),
+        F.when(F.col("_has"), F.col("_entry")).otherwise(F.lit(0)).alias("_m_added"),
+        F.when(F.col("_start"), F.lit(None)).otherwise(F.col("_before") + F.coalesce(first, F.lit(0))).alias("_m_before"),
+    )
+    joined = join_null_safe(inner, taken, month)
+    start = F.col("_start")
+    return joined.select(
+        *BLOCK_KEYS,
+        "_has",
+        F.when(start, F.col("_m_prev")).otherwise(F.col("_prev")).alias("_prev"),
+        F.when(start, F.col("_m_entry")).otherwise(F.col("_entry")).alias("_entry"),
+        _plus(F.col("_m_before"), F.col("_before") + F.col("_m_added")).alias("_before"),
+    )
+
+
+def block_pass(keyed: DataFrame, switch_cost: int) -> DataFrame:
+    """The windows inside blocks: one shuffle and one sort of the jobs.
+
+    Adds ``_first`` (first row of its block), ``_lag``, ``_base`` (hours with
+    the switches inside the block), ``_run`` (their running total) and, on the
+    first row, the block's ``_hours`` and ``_last_cat``.
+    """
     cat = F.col("ProductCategory")
     base = F.col("ProcessingTime") * F.col("Delta_produced")
-
-    keyed = assign_schedule_blocks(df, rows_per_block)
-    block = [seg, day, "_sub"]
-    w_row = Window.partitionBy(*block).orderBy(*ROW_ORDER)
-    w_peer = Window.partitionBy(*block).orderBy(*PEER_ORDER)
+    w_row = Window.partitionBy(*BLOCK_KEYS).orderBy(*ROW_ORDER)
+    w_peer = Window.partitionBy(*BLOCK_KEYS).orderBy(*PEER_ORDER)
     w_all = w_row.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    local = (
-        keyed.withColumn("_first", F.row_number().over(w_row) == 1)
+    inside = F.when(F.col("_first"), base).otherwise(
+        # the first row's switch depends on the previous block: added later
+        _switched(base, F.coalesce(F.col("_lag"), cat), cat, switch_cost)
+    )
+    return (
+        keyed.withColumn("_first", F.lag(F.lit(True)).over(w_row).isNull())
         .withColumn("_lag", F.lag(cat).over(w_row))
-        # the first row's switch depends on the previous block: added below
-        .withColumn(
-            "_base",
-            F.when(F.col("_first"), base).otherwise(
-                _switched(base, F.coalesce(F.col("_lag"), cat), cat, switch_cost)
-            ),
-        )
+        .withColumn("_base", inside)
         .withColumn("_run", F.sum("_base").over(w_peer))
+        .withColumn("_hours", F.when(F.col("_first"), F.sum("_base").over(w_all)))
+        .withColumn("_last_cat", F.when(F.col("_first"), F.last(cat).over(w_all)))
     )
 
-    # one row per block, taken from its first row
-    summary = (
-        local.withColumn("_bsum", F.sum("_base").over(w_all))
-        .withColumn("_last_cat", F.last(cat).over(w_all))
-        .where(F.col("_first"))
-        .select(*block, "_bsum", "_last_cat", cat.alias("_first_cat"), F.col("_base").alias("_first_base"))
-    )
-    w_blk = Window.partitionBy(seg).orderBy(day, "_sub")
-    prev_last = F.lag("_last_cat").over(w_blk)
-    first_cat = F.col("_first_cat")
-    first_cost = F.when(F.coalesce(prev_last, first_cat) == first_cat, F.lit(0)).otherwise(
-        F.lit(switch_cost)
-    )
-    has_base = F.col("_first_base").isNotNull()
-    carried = (
-        summary.withColumn("_prev_last", prev_last)
-        .withColumn("_first_cost", first_cost)
-        .withColumn("_has_base", has_base)
-        .withColumn(
-            "_blk_total",
-            F.col("_bsum") + F.when(has_base, F.col("_first_cost")).otherwise(F.lit(0)),
-        )
-        # hours of all earlier blocks of the facility (null while all null)
-        .withColumn("_offset", F.sum("_blk_total").over(w_blk.rowsBetween(Window.unboundedPreceding, -1)))
-        .select(*block, "_prev_last", "_first_cost", "_has_base", "_offset")
+
+def _schedule_blocks(df: DataFrame, switch_cost: int, rows_per_block: int) -> DataFrame:
+    """Same result as ``_schedule_window`` with the work spread over blocks.
+
+    A block is a slice of one facility's queue: one day, cut into product-id
+    ranges when the day holds more than ``rows_per_block`` jobs (a busy day
+    gets proportionally more ranges). The jobs are shuffled and sorted into
+    blocks once, their windows run once, and the result is checkpointed; the
+    blocks' carry elements (one row per block) are read from it, merged in a
+    tree and handed back to the rows by a join. The parts of one product and
+    day (a group of window peers) always share a block.
+    """
+    cat = F.col("ProductCategory")
+    local = checkpoint_once(block_pass(assign_schedule_blocks(df, rows_per_block), switch_cost))
+    blocks = local.where(F.col("_first")).select(
+        *BLOCK_KEYS, cat.alias("_first_cat"), F.col("_base").isNotNull().alias("_has"), "_hours", "_last_cat"
     )
+    carried = checkpoint_once(merge_carry(blocks, switch_cost))
+    if carried.count() <= BROADCAST_BLOCKS:
+        carried = F.broadcast(carried)
 
-    rows = join_null_safe(local, carried, block)
+    rows = join_null_safe(local.drop("_hours", "_last_cat"), carried, BLOCK_KEYS)
     first = F.col("_first")
-    previous = F.when(first, F.coalesce(F.col("_prev_last"), cat)).otherwise(
-        F.coalesce(F.col("_lag"), cat)
-    )
-    rows = rows.withColumn("PreviousProductCat", previous)
-    total = F.when(first, _switched(base, F.col("PreviousProductCat"), cat, switch_cost)).otherwise(
-        F.col("_base")
-    )
-    run_local = F.col("_run") + F.when(F.col("_has_base"), F.col("_first_cost")).otherwise(F.lit(0))
-    offset = F.col("_offset")
-    running = (
-        F.when(offset.isNull(), run_local)
-        .when(run_local.isNull(), offset)
-        .otherwise(offset + run_local)
+    previous = F.when(first, F.coalesce(F.col("_prev"), cat)).otherwise(F.coalesce(F.col("_lag"), cat))
+    total = F.when(first, F.col("_base") + F.col("_entry")).otherwise(F.col("_base"))
+    run_local = F.col("_run") + F.when(F.col("_has"), F.col("_entry")).otherwise(F.lit(0))
+    return (
+        rows.withColumn("PreviousProductCat", previous)
+        .withColumn("TotalProcessingTime", total)
+        .withColumn("Running_Total", _plus(F.col("_before"), run_local))
     )
-    return rows.withColumn("TotalProcessingTime", total).withColumn("Running_Total", running)
 
 
 def schedule_jobs(

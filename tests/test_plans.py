@@ -19,12 +19,28 @@ def test_no_python_in_plans(spark):
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
-def test_schedule_is_not_single_partition(spark):
+def test_schedule_shuffles_and_sorts_the_jobs_once(spark):
+    from stockflow.operators import production
+
     l = Layers(spark, SF_SMALL)
-    plan = _plan(l.schedule())
+    jobs = production._schedule_base(l.jobs(), 8, "1998-01-01", 3)
+    plan = _plan(production.block_pass(production.assign_schedule_blocks(jobs, 100), 1))
     assert "SinglePartition" not in plan
-    # local windows are cut by facility, day and product range, not by facility alone
+    # one exchange, by facility, day and product range, not by facility alone; the busy days are broadcast
+    assert plan.count("Exchange hashpartitioning(") == 1 and plan.count("+- Sort ") == 1
     assert "hashpartitioning(FacilityID#" in plan and "_sub#" in plan
+    # the carry reaches the rows without another shuffle or sort of them
+    final = _plan(l.schedule())
+    assert "BroadcastHashJoin" in final and "Exchange hashpartitioning" not in final and "Sort " not in final
+
+
+def test_carry_merges_month_by_month(spark):
+    from stockflow.operators import production
+
+    schema = "FacilityID string, OrderYearMonth date, _sub long, _first_cat string, _has boolean, _hours long, _last_cat string"
+    one = spark.createDataFrame([], schema)
+    plan = _plan(production.merge_carry(one, 1))
+    assert "hashpartitioning(FacilityID#" in plan and "_month#" in plan and "SinglePartition" not in plan
 
 
 def test_numbering_is_range_partitioned(spark):
