@@ -68,6 +68,7 @@ def left_join_skew_safe(
     right_keys: Sequence[str],
     output: Sequence[str],
     hot_rows: int = 1_000_000,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """``left`` LEFT OUTER JOIN ``right`` on left_keys[i] = right_keys[i];
     returns the ``output`` columns (unmatched rows get nulls for right columns).
@@ -76,11 +77,13 @@ def left_join_skew_safe(
     A right key with more than ``hot_rows`` rows is cut into pieces, and its
     left rows are repeated once per piece. Such a left row always has matches;
     where one of its pieces holds none, the null row of that piece is dropped.
-    Each side is read once, besides the count of the right keys. Left rows
+    Each side is read once, besides the count of the right keys. ``counted``
+    may name another DataFrame with the right keys, cheaper to read, to count
+    them in: the counts decide how work is split, never what matches. Left rows
     with a null key get a negative piece by row hash: they match nothing and
     lie spread over all partitions.
     """
-    hot = hot_keys(right, right_keys, hot_rows)
+    hot = hot_keys(right if counted is None else counted, right_keys, hot_rows)
     right_pieces = _spread(
         _with_pieces(right.dropna(subset=list(right_keys)), right_keys, hot, right_keys), right.columns
     ).withColumn("_matched", F.lit(True))
@@ -102,6 +105,7 @@ def left_join_hot_left(
     right_keys: Sequence[str],
     output: Sequence[str],
     hot_rows: int = 1_000_000,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """``left`` LEFT OUTER JOIN ``right`` when a key may be hot on the left
     (one customer with a large share of all orders) and each key has few
@@ -111,10 +115,12 @@ def left_join_hot_left(
     rows are spread over the pieces by a row hash, and the right rows of those
     keys are repeated once per piece. Every left row then meets all of its
     right rows exactly once, so a plain left join on (key, piece) is the left
-    outer join. Left rows with a null key get a negative piece by row hash:
-    they match nothing and lie spread over all partitions.
+    outer join. ``counted`` may name another DataFrame with the left keys,
+    cheaper to read than ``left``, to count them in: the counts decide how
+    work is split, never what matches. Left rows with a null key get a negative
+    piece by row hash: they match nothing and lie spread over all partitions.
     """
-    hot = hot_keys(left, left_keys, hot_rows)
+    hot = hot_keys(left if counted is None else counted, left_keys, hot_rows)
     left_hot = _with_pieces(left, left_keys, hot, left_keys)
     row = _row_hash(left.columns)
     mine = F.when(_any_null(left_keys), -1 - F.pmod(row, F.lit(1 << 20))).otherwise(

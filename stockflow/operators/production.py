@@ -140,13 +140,27 @@ JOB_COLUMNS = [
 ]
 
 
-def job_list(deltas: DataFrame, inventory: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
+#: Most producing products whose ids are broadcast to reduce the parts.
+BROADCAST_PRODUCTS = 1_000_000
+
+
+def job_list(
+    deltas: DataFrame, inventory: DataFrame, hot_rows: int = 1_000_000, broadcast_products: int = BROADCAST_PRODUCTS
+) -> DataFrame:
     """One job per production day and process part of the product (a day
     of a product without parts stays, with null part columns).
 
     Written as a skew-safe left join: a product with a very large parts list
-    would otherwise keep all its jobs in one task.
+    would otherwise keep all its jobs in one task. Only parts of products that
+    have production days can match, so the others are dropped where they are
+    read, before the parts are shuffled: the ids of the producing products are
+    broadcast if they are at most ``broadcast_products`` (the production days
+    are checkpointed to count them); with more, all parts are shuffled.
     """
+    deltas = checkpoint_once(deltas)
+    producing = deltas.select(F.col("ProductID").alias("_producing")).where("_producing is not null").distinct()
+    if producing.count() <= broadcast_products:
+        inventory = inventory.join(F.broadcast(producing), F.col("productID") == F.col("_producing"), "left_semi")
     parts = inventory.select(
         "MaterialID",
         "ProcessPartID",

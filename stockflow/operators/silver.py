@@ -79,13 +79,17 @@ def silver_material_master(raw: DataFrame, on_error: str = "fail") -> DataFrame:
     )
 
 
-def demand_domain(orders: DataFrame, customers: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
+def demand_domain(
+    orders: DataFrame, customers: DataFrame, hot_rows: int = 1_000_000, counted: DataFrame | None = None
+) -> DataFrame:
     """Orders with their customer's columns; orders of unknown customers stay
     (customer columns null). The demand category is dropped.
 
     One customer may place a large share of all orders: the join cuts such a
     customer's orders into pieces explicitly (``left_join_hot_left``) rather
-    than relying on AQE's skew handling to notice it.
+    than relying on AQE's skew handling to notice it. Hot customers are counted
+    in ``counted`` (the raw orders, say) if given, so that orders that are still
+    to be cleaned are planned once.
     """
     right = customers.withColumnRenamed("CustomerID", "_customer")
     output = (
@@ -93,7 +97,7 @@ def demand_domain(orders: DataFrame, customers: DataFrame, hot_rows: int = 1_000
         + [c for c in orders.columns if c not in ("CustomerID", "demandCategory")]
         + [c for c in customers.columns if c != "CustomerID"]
     )
-    return left_join_hot_left(orders, right, ["CustomerID"], ["_customer"], output, hot_rows)
+    return left_join_hot_left(orders, right, ["CustomerID"], ["_customer"], output, hot_rows, counted)
 
 
 MANUFACTURING_DOMAIN_COLUMNS = [
@@ -113,7 +117,12 @@ MANUFACTURING_DOMAIN_COLUMNS = [
 
 
 def manufacturing_domain(
-    goods: DataFrame, processes: DataFrame, parts: DataFrame, materials: DataFrame, hot_rows: int = 1_000_000
+    goods: DataFrame,
+    processes: DataFrame,
+    parts: DataFrame,
+    materials: DataFrame,
+    hot_rows: int = 1_000_000,
+    counted_parts: DataFrame | None = None,
 ) -> DataFrame:
     """One row per product and process part, with process and material columns.
 
@@ -122,8 +131,15 @@ def manufacturing_domain(
     Part keys are text while process keys are int: the text is read as int
     with ``try_cast``, so a non-numeric key matches nothing instead of failing.
     Both the parts join (hot process on the right) and the material join (hot
-    material on the left) split hot keys explicitly (``operators.joins``).
+    material on the left) split hot keys explicitly (``operators.joins``). Both
+    count their keys in the parts table, not in the joins' results, so each
+    join is planned once; ``counted_parts`` (the raw parts, say) may stand in
+    for parts that are still to be cleaned.
     """
+    counted = parts if counted_parts is None else counted_parts
+    part_keys = counted.select(
+        F.col("MaterialID").cast("string").alias("MaterialID"), F.col("ProcessID").try_cast("int").alias("_part_process_int")
+    )
     # a product may have very many processes: split it as well
     product_process = left_join_skew_safe(
         goods,
@@ -144,6 +160,7 @@ def manufacturing_domain(
         ["_part_process_int"],
         product_process.columns + ["ProcessPartID", "MaterialID", "Req_Prod_Quant"],
         hot_rows,
+        part_keys,
     )
     # one material may be used by a large share of all parts: split it explicitly
     materials_keyed = materials.withColumnRenamed("MaterialID", "_material")
@@ -154,5 +171,6 @@ def manufacturing_domain(
         ["_material"],
         with_parts.columns + [c for c in materials.columns if c != "MaterialID"],
         hot_rows,
+        part_keys,
     )
     return with_materials.select(*MANUFACTURING_DOMAIN_COLUMNS)

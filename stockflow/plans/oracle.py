@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import re
 
+from stockflow import schemas
+
 NL = "chr(10)"
 
 
@@ -293,6 +295,25 @@ _NULLIF_FAC = (
 )
 _NULLIF_TIME = "CASE WHEN productID % 50 = 0 THEN NULL WHEN productID % 50 = 1 THEN 9 ELSE processing_time END"
 
+def _content_sql() -> str:
+    """Row count, non-null count and order-free checksum of every raw column."""
+    raw = {
+        "customers": "raw_customers", "customer_orders": "raw_orders", "finished_goods": "raw_goods",
+        "manufacturing_processes": "raw_processes", "manufacturing_process_parts": "raw_parts",
+        "material_master": "raw_materials",
+    }
+    selects = []
+    for table, cte in raw.items():
+        for field in schemas.INPUTS[table].split(", "):
+            name = field.strip().split()[0].strip("`")
+            selects.append(
+                f"""SELECT '{table}' AS table_name, '{name}' AS column_name, count(*) AS row_count,
+        count("{name}") AS non_nulls,
+        coalesce(sum(('0x' || substr(md5("{name}"::VARCHAR), 1, 8))::BIGINT), 0)::BIGINT AS checksum FROM {cte}"""
+            )
+    return " UNION ALL ".join(selects)
+
+
 BODIES: dict[str, str] = {
     # cleaning
     "replace_newlines": f"SELECT CustomerID, replace(Address, {NL}, ' ') AS Address, "
@@ -386,12 +407,7 @@ BODIES: dict[str, str] = {
     "job_schedule": "SELECT * FROM schedule",
     "delay_alerts": "SELECT * FROM alerts",
     "catalog_roundtrip": "SELECT * FROM demand_domain",
-    "bronze_ingest": """SELECT 'customers' AS table_name, count(*) AS row_count FROM raw_customers
-        UNION ALL SELECT 'customer_orders', count(*) FROM raw_orders
-        UNION ALL SELECT 'finished_goods', count(*) FROM raw_goods
-        UNION ALL SELECT 'manufacturing_processes', count(*) FROM raw_processes
-        UNION ALL SELECT 'manufacturing_process_parts', count(*) FROM raw_parts
-        UNION ALL SELECT 'material_master', count(*) FROM raw_materials""",
+    "bronze_ingest": _content_sql(),
     "layered_delay_alerts": "SELECT * FROM alerts",
     "delay_summary": """SELECT DelayCategory, count(*) AS AlertCount, min(ExpectedDelay) AS MinExpectedDelay,
         max(ExpectedDelay) AS MaxExpectedDelay FROM alerts GROUP BY DelayCategory""",

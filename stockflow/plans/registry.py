@@ -20,7 +20,7 @@ from stockflow.operators import demand, inventory, production, silver
 from stockflow.plans.layered import Layout, LayeredRun
 from stockflow.session import materialize, scratch_path
 from stockflow.sources import fixtures
-from stockflow.sources.bronze import bronze_ingest
+from stockflow.sources.bronze import bronze_ingest, content
 from stockflow.sources.catalog import ensure_database, read_table, write_table
 
 # Planning date for the schedule queries checked against the oracle: with
@@ -86,12 +86,18 @@ class Layers:
         return self._once(("materials",), lambda: silver.silver_material_master(self.raw("material_master")))
 
     def demand_domain(self) -> DataFrame:
-        return self._stored(("demand_domain",), lambda: silver.demand_domain(self.orders(), self.customers()))
+        return self._stored(("demand_domain",), self._demand_domain)
+
+    def _demand_domain(self) -> DataFrame:
+        return silver.demand_domain(self.orders(), self.customers(), counted=self.raw("customer_orders"))
 
     def manufacturing_domain(self) -> DataFrame:
-        return self._stored(
-            ("manufacturing_domain",),
-            lambda: silver.manufacturing_domain(self.goods(), self.processes(), self.parts(), self.materials()),
+        return self._stored(("manufacturing_domain",), self._manufacturing_domain)
+
+    def _manufacturing_domain(self) -> DataFrame:
+        return silver.manufacturing_domain(
+            self.goods(), self.processes(), self.parts(), self.materials(),
+            counted_parts=self.raw("manufacturing_process_parts"),
         )
 
     def current_demand(self) -> DataFrame:
@@ -228,17 +234,12 @@ def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_ingest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ingest the six raw tables into bronze catalog tables; report the rows
-    of each table as read back (table_name, row_count)."""
+    """Ingest the six raw tables into bronze catalog tables; report the content
+    of every column as read back (table_name, column_name, row_count,
+    non_nulls, checksum)."""
     root = scratch_path(spark, "bronze_ingest")
     written = bronze_ingest(spark, lambda t: fixtures.RAW_TABLES[t](spark, sf_dir), "stockflow_ingest_bronze", root)
-    counts = [
-        read_table(spark, table).agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count"
-        )
-        for name, table in written.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    return reduce(DataFrame.unionByName, [content(read_table(spark, table), name) for name, table in written.items()])
 
 
 def layered_delay_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from stockflow.session import scratch_path
 from stockflow.sources import catalog, jdbc
@@ -17,6 +18,65 @@ def test_catalog_roundtrip(spark):
     assert back.columns == ["x"] and back.collect()[0].x == 3.5
 
 
+def _folders(spark, path):
+    return [x.rsplit("/", 1)[1] for x in catalog._versions(spark, path)]
+
+
+def test_a_failing_write_leaves_the_table_as_it_was(spark):
+    root = scratch_path(spark, "test_versions_fail")
+    db = catalog.ensure_database(spark, "stockflow_test_versions_fail", root)
+    good = spark.range(4).selectExpr("id AS k", "cast(id AS string) AS v")
+    catalog.write_table(good, f"{db}.t", f"{root}/t")
+    # one of four tasks fails while others have written their files
+    bad = spark.range(0, 400, 1, 4).selectExpr("id AS k", "if(id > 390, cast(raise_error('lost') AS string), 'x') AS v")
+    with pytest.raises(Exception, match="lost"):
+        catalog.write_table(bad, f"{db}.t", f"{root}/t")
+    assert sorted(catalog.read_table(spark, f"{db}.t").collect()) == [(k, str(k)) for k in range(4)]
+
+
+def test_a_reader_of_the_version_before_goes_on(spark):
+    root = scratch_path(spark, "test_versions_read")
+    db = catalog.ensure_database(spark, "stockflow_test_versions_read", root)
+    name, path = f"{db}.t", f"{root}/t"
+    catalog.write_table(spark.range(3), name, path)
+    before = catalog.read_table(spark, name)
+    # even a plan that reads the table may replace it
+    catalog.write_table(before.selectExpr("id + 10 AS id"), name, path)
+    assert sorted(r.id for r in before.collect()) == [0, 1, 2]
+    assert sorted(r.id for r in catalog.read_table(spark, name).collect()) == [10, 11, 12]
+    catalog.write_table(spark.range(1), name, path)
+    assert len(_folders(spark, path)) == catalog.KEPT_VERSIONS
+    catalog.write_table(spark.createDataFrame([("a", 1.5)], "s string, x double"), name, path, keep=1)
+    assert catalog.read_table(spark, name).collect() == [("a", 1.5)] and len(_folders(spark, path)) == 1
+
+
+def test_partitioned_and_empty_tables_are_versions_too(spark):
+    root = scratch_path(spark, "test_versions_parts")
+    db = catalog.ensure_database(spark, "stockflow_test_versions_parts", root)
+    for n in (3, 2):
+        rows = spark.range(n).selectExpr("id", "id % 2 AS p")
+        catalog.write_table(rows, f"{db}.t", f"{root}/t", partition_by=["p"])
+        assert sorted(catalog.read_table(spark, f"{db}.t").select("id").collect()) == [(k,) for k in range(n)]
+    catalog.write_table(spark.range(0), f"{db}.e", f"{root}/e")
+    assert catalog.read_table(spark, f"{db}.e").count() == 0
+
+
+def test_ingest_notices_lost_and_changed_values(spark, monkeypatch):
+    from stockflow.sources import bronze
+
+    source = spark.createDataFrame([(1, "a", None), (2, None, "x"), (2, None, "x")], "k bigint, v string, `w v` string")
+    found = {r.column_name: (r.row_count, r.non_nulls) for r in bronze.content(source, "t").collect()}
+    assert found == {"k": (3, 3), "v": (3, 1), "w v": (3, 2)}
+    root = scratch_path(spark, "test_ingest_content")
+    run = lambda: bronze_ingest(spark, lambda t: source, "stockflow_test_content", root, tables=["t"])
+    run()
+    read = catalog.read_table
+    for broken in (lambda df: df.limit(2), lambda df: df.withColumn("v", F.lit("b")), lambda df: df.drop("v")):
+        monkeypatch.setattr(bronze, "read_table", lambda s, n, broken=broken: broken(read(s, n)))
+        with pytest.raises(ValueError, match="does not hold"):
+            run()
+
+
 def test_drop_database_needs_confirmation(spark):
     with pytest.raises(ValueError):
         catalog.drop_database(spark, "stockflow_test_drop")

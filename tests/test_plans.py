@@ -93,3 +93,39 @@ def test_demand_join_splits_hot_customers_by_piece(spark):
     plan = _plan(joined)
     assert "BroadcastExchange" in plan  # the bounded hot-key table
     assert "_piece" in plan  # the join runs on (customer, piece)
+
+
+def test_domains_plan_their_joins_once(spark):
+    from stockflow.operators import silver
+    from stockflow.session import materialize
+
+    l = Layers(spark, SF_SMALL)
+    goods, processes, parts, materials, orders, customers, raw_orders = (
+        materialize(x) for x in (l.goods(), l.processes(), l.parts(), l.materials(), l.orders(), l.customers(), l.raw("customer_orders"))
+    )
+    scans = lambda plan, first: plan.count(f"Scan ExistingRDD[{first}#")
+    plan = _plan(silver.manufacturing_domain(goods, processes, parts, materials))
+    assert scans(plan, goods.columns[0]) == 1 and scans(plan, materials.columns[0]) == 1
+    # each hot-key table stands on both sides of its join (one exchange, reused); it reads the processes, and the parts twice
+    assert plan.count("Scan ExistingRDD[") == 1 + (1 + 2) + (1 + 2 * 2) + 1
+    plan = _plan(silver.demand_domain(orders, customers, counted=raw_orders))
+    assert plan.count("Scan ExistingRDD[") == 1 + 1 + 2
+
+
+def test_parts_of_idle_products_are_dropped_before_the_shuffle(spark):
+    from stockflow.operators import inventory, production
+
+    l = Layers(spark, SF_SMALL)
+    parts = inventory.inventory_table(l.manufacturing_domain())
+    few = l.deltas().where("ProductID % 7 = 0")
+    jobs = production.job_list(few, parts)
+    lines = _plan(jobs).splitlines()
+    semi = next(i for i, x in enumerate(lines) if "LeftSemi" in x)
+    assert "BroadcastHashJoin" in lines[semi]
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    above = [x for x in lines[:semi] if depth(x) < depth(lines[semi])]
+    assert any("Exchange hashpartitioning(" in x for x in above)
+    # the same jobs when the ids are too many to be broadcast
+    plain = production.job_list(few, parts, broadcast_products=0)
+    assert "LeftSemi" not in _plan(plain)
+    assert sorted(jobs.collect(), key=repr) == sorted(plain.collect(), key=repr)
