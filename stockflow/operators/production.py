@@ -350,7 +350,12 @@ def _schedule_blocks(df: DataFrame, switch_cost: int, rows_per_block: int) -> Da
     day (a group of window peers) always share a block.
     """
     cat = F.col("ProductCategory")
-    local = checkpoint_once(block_pass(assign_schedule_blocks(df, rows_per_block), switch_cost))
+    with_category = df.withColumn("ProductCategory", product_category(F.col("ProcessPartID")))
+    local = block_pass(assign_schedule_blocks(with_category, rows_per_block), switch_cost)
+    # what a row's own columns give is computed again rather than stored
+    local = checkpoint_once(local.drop("ProductCategory")).withColumn(
+        "ProductCategory", product_category(F.col("ProcessPartID"))
+    )
     blocks = local.where(F.col("_first")).select(
         *BLOCK_KEYS, cat.alias("_first_cat"), F.col("_base").isNotNull().alias("_has"), "_hours", "_last_cat"
     )
@@ -390,11 +395,11 @@ def schedule_jobs(
     ``method="blocks"`` (default) spreads each facility's queue over blocks of
     about ``rows_per_block`` jobs; ``"window"`` is the single-window form.
     """
-    df = _schedule_base(jobs, max_hours_day, as_of, deadline_months)
+    base = (max_hours_day, as_of, deadline_months)
     if method == "window":
-        out = _schedule_window(df, switch_cost)
+        out = _schedule_window(_schedule_base(jobs, *base), switch_cost)
     elif method == "blocks":
-        out = _schedule_blocks(df, switch_cost, rows_per_block)
+        out = _schedule_base(_schedule_blocks(jobs.select(*JOB_COLUMNS), switch_cost, rows_per_block), *base)
     else:
         raise ValueError(f"unknown schedule method {method!r}")
     return out.select(*SCHEDULE_COLUMNS)
