@@ -42,9 +42,8 @@ from stockflow.llm.common import id_text, materialize
 
 #: Labelled documents that learning reads at most (about).
 MAX_TRAINING = 20_000
-#: Insult words kept at most, and what makes one: groups of toxic documents
-#: that hold it, and its log odds.
-MAX_INSULTS = 2_000
+#: What makes an insult word: groups of toxic documents that hold it, and its
+#: log odds. All are kept; the training rows bound how many there can be.
 LEAST_GROUPS = 4
 LEAST_LOG_ODDS = 2.5
 #: Words for which a target or a negation is remembered.
@@ -211,8 +210,6 @@ def learn_insults(rows: DataFrame) -> dict[str, float]:
         counts.where(F.col("bad") >= LEAST_GROUPS)
         .withColumn("odds", odds)
         .where(F.col("odds") >= LEAST_LOG_ODDS)
-        .orderBy(F.desc("odds"), "word")
-        .limit(MAX_INSULTS)
         .collect()
     )
     return {r["word"]: min(2.0, r["odds"] / 5) for r in kept}

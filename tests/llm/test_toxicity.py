@@ -82,3 +82,15 @@ def test_edges(spark, edge_docs, no_docs):
     assert toxicity.score(no_docs, MODEL).count() == toxicity.drop_toxic(no_docs, MODEL).count() == 0
     bad = spark.createDataFrame([(1, "You are an idiot. Scum!"), (2, "fine")], "doc_id long, text string")
     assert [r["doc_id"] for r in toxicity.drop_toxic(bad, MODEL).collect()] == [2]
+
+
+def test_every_insult_word_is_kept(spark):
+    import random
+
+    pick = random.Random(6)
+    words = [f"{a}{b}{c}w" for a in "bcdfgklmnprst" for b in "aeiouy" for c in "bcdfghjklmnpqrstvwxzaeiouyßäöüéèà"]
+    rows = [(1, " ".join(pick.sample(words, len(words) // 2))) for _ in range(120)]
+    rows += [(0, f"{a}{b}one {b}{a}two") for a in "abcdefghijkl" for b in "mnopqrstuv"]
+    found = toxicity.learn_insults(spark.createDataFrame(rows, "toxic int, text string"))
+    assert len([w for w in found if not w.endswith("*")]) > 0.9 * len(words)
+    assert len(found) > 2000
