@@ -32,7 +32,35 @@ def _rows(cols, rows):
     return [cols[i] for i in order], out
 
 
-def compare(spark_df, sql: str, con) -> tuple[bool, str]:
+# What the sorted queries are sorted by, as DuckDB is to sort them: nulls are
+# the smallest values, as in Spark.
+ORDERED = {
+    "orders_by_demand_category": "count DESC NULLS LAST, demandCategory NULLS FIRST",
+    "orders_by_year_month": "Year NULLS FIRST, Month NULLS FIRST",
+    "open_orders_by_month": "Month NULLS FIRST",
+    "orders_latest_first": "OrderDate DESC NULLS LAST, OrderID NULLS FIRST",
+    "top_processing_time": "TotalProcessingTime DESC NULLS LAST, productID NULLS FIRST",
+    "top_facilities": "AvgProcessingTime DESC NULLS LAST, FacilityID NULLS FIRST",
+    "top_missing_inventory": "productID DESC NULLS LAST, ProductsOrdered NULLS FIRST, Product_Inventory NULLS FIRST",
+    "delay_alerts": "FacilityID NULLS FIRST, OrderYearMonth NULLS FIRST, ProductID NULLS FIRST",
+}
+
+
+def compare_order(columns: list[str], rows: list[tuple], sql: str, order: str, con) -> tuple[bool, str]:
+    """Whether the rows' sort keys come in DuckDB's order of the same rows."""
+    keys = [part.split()[0] for part in order.split(",")]
+    quoted = ", ".join(f'"{k}"' for k in keys)
+    by = ", ".join(f'"{part.split()[0]}" {" ".join(part.split()[1:])}' for part in order.split(","))
+    want = [tuple(map(_norm, r)) for r in con.execute(f"SELECT {quoted} FROM ({sql}) ORDER BY {by}").fetchall()]
+    at = [columns.index(k) for k in keys]
+    got = [tuple(_norm(r[i]) for i in at) for r in rows]
+    first = next((i for i, (a, b) in enumerate(zip(got, want)) if a != b), None)
+    if first is not None:
+        return False, f"order differs at row {first}: spark={got[first]} duckdb={want[first]}"
+    return True, f"{len(got)} rows in order"
+
+
+def compare(spark_df, sql: str, con, order: str | None = None) -> tuple[bool, str]:
     s_cols = spark_df.columns
     s_rows = [tuple(r) for r in spark_df.collect()]
     rel = con.execute(sql)
@@ -47,4 +75,8 @@ def compare(spark_df, sql: str, con) -> tuple[bool, str]:
     if sr != dr:
         diff = [(a, b) for a, b in zip(sr, dr) if a != b][:3]
         return False, f"values differ ({len(sr)} rows), e.g. {diff}"
+    if order:
+        ok, msg = compare_order(s_cols, s_rows, sql, order, con)
+        if not ok:
+            return False, msg
     return True, f"{len(sr)} rows"
