@@ -103,6 +103,27 @@ def test_every_split_of_differing_bits_meets_in_a_variant(spark):
     assert met.count() == len(rows)
 
 
+def test_large_classes_are_joined_in_pieces(spark):
+    """A class of exact copies, one of near copies and single texts: the same
+    result with every key whole and with keys of more than ten rows cut."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    same, near = " ".join(word() for _ in range(60)), [word() for _ in range(900)]
+    texts = [same] * 400 + [" ".join([*near[:i], word(), *near[i + 1 :]]) for i in range(0, 900, 5)]
+    texts += [" ".join(word() for _ in range(60)) for _ in range(100)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole = {tuple(r) for r in simhash.near_duplicates(docs, hot_rows=10**9).select("doc_id", "fp", "component_id").collect()}
+    cut = simhash.near_duplicates(docs, hot_rows=10)
+    rows = [tuple(r) for r in cut.select("doc_id", "fp", "component_id").collect()]
+    assert len(rows) == len(texts) and set(rows) == whole
+    fps = {simhash.simhash(t or "") for t in texts}
+    classes = slow_classes(fps, 4)
+    first = {}
+    for i, t in enumerate(texts):
+        first.setdefault(classes[simhash.simhash(t or "")], i)
+    assert {i: c for i, _, c in rows} == {i: first[classes[simhash.simhash(t or "")]] for i, t in enumerate(texts)}
+
+
 def test_edges_and_keeping_one(spark, edge_docs, no_docs):
     got = {(r["doc_id"], r["fp"]): r["component_id"] for r in simhash.near_duplicates(edge_docs).collect()}
     by_id = {i: c for (i, _), c in got.items()}
