@@ -3,7 +3,8 @@
 Every text is scanned for three kinds of secrets. Then a worklist unwraps what
 is encoded in it: percent escapes, \\u and \\x escapes (each decoded over the
 whole text, so that a key and its value are found together when only one of
-them is escaped), base64, and compressed data (gzip, zlib, bzip2, xz) inside
+them is escaped; an escaped escape sign is followed to its end at once),
+base64, and compressed data (gzip, zlib, bzip2, xz) inside
 base64. Each decoded layer is scanned
 again and searched for further encodings, until nothing new turns up. A layer
 whose content was seen before in the document is not entered again, so chains
@@ -69,8 +70,15 @@ _BASE64 = re.compile(
 )
 _MAGIC = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
 _MAGIC_MOST = 5  # letters of a magic number that the end of a piece can hold
-_PERCENT_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
+# An escape of the escape sign itself (%25, \\u005c) is followed to the end of
+# its chain at once, in place: %252541 is A, and not first %2541 and then %41,
+# each a layer as long as the text.
+_PERCENT = re.compile(r"%(?:25)*([0-9A-Fa-f]{2})")
+_PERCENT_RUN = re.compile(r"(?:%(?:25)*[0-9A-Fa-f]{2})+")
+_ESCAPE = re.compile(
+    r"\\(?:u\{0{0,4}5[Cc]\}|u005[Cc]|x5[Cc])*"
+    r"(?:u\{([0-9A-Fa-f]{1,6})\}|u([0-9A-Fa-f]{4})|x([0-9A-Fa-f]{2}))"
+)
 _URLSAFE = str.maketrans("-_", "+/")
 
 Span = tuple[str, int, int]
@@ -162,12 +170,14 @@ def _substitute(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
 
 def _percent_letters(m: re.Match) -> list[tuple[str, int, int]]:
     """A run of percent escapes as UTF-8; each letter from its own escapes."""
-    raw = bytes.fromhex(m[0].replace("%", ""))
-    out, at = [], m.start()
+    escapes = [*_PERCENT.finditer(m.string, *m.span())]
+    raw = bytes.fromhex("".join([e[1] for e in escapes]))
+    out, at = [], 0
     for letter in raw.decode("utf-8", "surrogateescape"):
         n = len(letter.encode("utf-8", "surrogateescape"))
-        out.append(("\ufffd" if "\ud800" <= letter <= "\udfff" else letter, at, at + 3 * n))
-        at += 3 * n
+        shown = "\ufffd" if "\ud800" <= letter <= "\udfff" else letter
+        out.append((shown, escapes[at].start(), escapes[at + n - 1].end()))
+        at += n
     return out
 
 

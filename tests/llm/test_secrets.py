@@ -139,6 +139,37 @@ def test_data_longer_than_windows(monkeypatch, pack):
     assert [s for s in secrets.scan_text(inside)[1] if s[0] == "assign"]
 
 
+@pytest.mark.parametrize(
+    "chained",
+    [
+        lambda n, c: "%" + "25" * n + f"{ord(c):02x}",
+        lambda n, c: "\\" + "u005c" * n + f"u{ord(c):04x}",
+        lambda n, c: "\\" + "x5C" * n + f"x{ord(c):02x}",
+        lambda n, c: "\\" + "u{5c}" * n + f"u{{{ord(c):x}}}",
+    ],
+)
+def test_nested_escapes_are_followed_in_place(monkeypatch, chained):
+    read = []
+    scan = secrets.scan_layer
+    monkeypatch.setattr(secrets, "scan_layer", lambda text, every=False: read.append(len(text)) or scan(text, every))
+    letters = {}
+    for n in (0, 1, 2, 50, 100, 200):
+        hidden = "".join(chained(n if i % 3 else 1, c) for i, c in enumerate("password=")) + VALUE
+        read.clear()
+        base, spans = secrets.scan_text(f"é {hidden} x")
+        assert ("assign", 2, 2 + len(hidden)) in spans and not [s for s in base if s[0] == "assign"]
+        letters[n] = sum(read)
+    # the letters read grow with the text, not with its square
+    assert letters[200] < 2.5 * letters[100] < 6.5 * letters[50]
+
+
+def test_mixed_depths_of_utf8_escapes():
+    text = "%25E2%2582%AC token%25253D" + VALUE
+    assert [s for s in secrets.scan_text(text)[1] if s[0] == "assign"] == [("assign", 14, len(text))]
+    layers = [layer.text for layer in secrets._decoded(secrets.Layer(text, lambda s, e: (s, e)))]
+    assert layers[0] == "\u20ac token=" + VALUE
+
+
 def test_edge_rows_and_masking(spark, edge_docs, no_docs):
     assert secrets.find_secrets(edge_docs).count() == edge_docs.count()
     assert secrets.find_secrets(no_docs).count() == 0
