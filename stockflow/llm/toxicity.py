@@ -118,18 +118,34 @@ def grammar() -> Transducer:
     )
 
 
+def outputs(machine: Transducer, kinds: list[int]) -> list[float]:
+    """What the machine puts out at each word of one walk."""
+    state, out = 0, []
+    for kind in kinds:
+        state, value = machine.step[state][kind]
+        out.append(value)
+    return out
+
+
+_NEAR_TARGET = memory(TARGET, WINDOW, TARGETED)
+
+
 def clause_score(words: list[str], classes: dict[str, int], weights: dict[str, float], table: Transducer) -> float:
-    """One walk over the clause. A threat without a target in its clause is
-    no match; a target right after a match counts as one before it."""
+    """A walk over the clause from each end, whatever its length: the composed
+    table reads it forwards, the memory of targets backwards too, so that a
+    target right after a match counts as one before it. A threat without a
+    target in its clause is no match."""
     kinds = [classes.get(w) or classes.get(w[:STEM] + "*", OTHER) for w in words]
-    targets = [i for i, k in enumerate(kinds) if k == TARGET]
-    state, total = 0, 0.0
-    for i, (word, kind) in enumerate(zip(words, kinds, strict=True)):
-        state, out = table.step[state][kind]
-        if not out or (kind == THREAT and not targets):
+    if INSULT not in kinds and THREAT not in kinds:
+        return 0.0
+    targeted = TARGET in kinds
+    before = outputs(_NEAR_TARGET, kinds)
+    after = reversed(outputs(_NEAR_TARGET, kinds[::-1]))
+    total = 0.0
+    for word, kind, out, b, a in zip(words, kinds, outputs(table, kinds), before, after, strict=True):
+        if not out or (kind == THREAT and not targeted):
             continue
-        after = any(i < t <= i + WINDOW for t in targets) and not any(i - WINDOW <= t < i for t in targets)
-        total += out * (weights.get(word) or weights.get(word[:STEM] + "*", 1.0)) * (TARGETED if after else 1.0)
+        total += out * (weights.get(word) or weights.get(word[:STEM] + "*", 1.0)) * (a if b == 1.0 else 1.0)
     return total
 
 

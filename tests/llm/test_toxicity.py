@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import pytest
@@ -31,6 +32,58 @@ def test_threats_need_a_target_and_stems_count():
     assert clause("a worthless thing") == 1.0
 
 
+def slow_clause(words, classes, weights):
+    """The rules, looked up word by word around each match."""
+    kind = lambda w: classes.get(w) or classes.get(w[: toxicity.STEM] + "*", toxicity.OTHER)
+    near = lambda part, k: any(kind(w) == k for w in part)
+    total = 0.0
+    for i, word in enumerate(words):
+        score = {toxicity.INSULT: 1.0, toxicity.THREAT: toxicity.THREAT_WEIGHT}.get(kind(word), 0.0)
+        if kind(word) == toxicity.THREAT and not near(words, toxicity.TARGET):
+            score = 0.0
+        score *= weights.get(word) or weights.get(word[: toxicity.STEM] + "*", 1.0)
+        if near(words[max(0, i - toxicity.WINDOW) : i] + words[i + 1 : i + 1 + toxicity.WINDOW], toxicity.TARGET):
+            score *= toxicity.TARGETED
+        # a negation is remembered for as many words as a target, a report to the clause's end
+        if near(words[max(0, i - toxicity.WINDOW) : i], toxicity.NEGATION):
+            score *= toxicity.NEGATED
+        if near(words[:i], toxicity.REPORT):
+            score *= toxicity.REPORTED
+        total += score
+    return total
+
+
+def test_scores_equal_the_rules_looked_up():
+    model = toxicity.ToxicityModel(insults={"idiot": 1.3, "scum": 0.7, "worth*": 1.1})
+    rng = random.Random(2)
+    words = "idiot scum worthless kill hurt you your not never said wrote a b c d e f g".split()
+    matched = 0
+    for _ in range(3000):
+        held = rng.choices(words, k=rng.randint(0, 14))
+        want = slow_clause(held, model.classes(), model.insults)
+        assert clause(" ".join(held), model) == pytest.approx(want, rel=1e-12), held
+        matched += want > 0
+    assert matched > 1000
+
+
+def test_a_clause_of_any_length_is_walked_a_fixed_number_of_times():
+    steps = []
+
+    class Counted(tuple):
+        def __getitem__(self, i):
+            steps.append(i)
+            return super().__getitem__(i)
+
+    table = toxicity.Transducer(Counted(toxicity.grammar().step))
+    counts = []
+    for n in (1000, 2000):
+        steps.clear()
+        words = "you idiot".split() * n
+        toxicity.clause_score(words, MODEL.classes(), MODEL.insults, table)
+        counts.append(len(steps))
+    assert counts == [2000, 4000]
+
+
 def test_composition_is_the_product_of_its_parts():
     parts = [toxicity.core(), toxicity.memory(toxicity.TARGET, 2, 3.0), toxicity.latch(toxicity.REPORT, 0.5)]
     table = toxicity.compose(*parts)
