@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
@@ -87,6 +88,18 @@ def vocabulary(templates: dict[str, list[str]]) -> set[str]:
     return {t for notices in templates.values() for n in notices for t in terms(n)}
 
 
+def without_overlap(matches: list[tuple[str, float, int, int]]) -> list[tuple[str, float, int, int]]:
+    """The matches that overlap none kept before them, by place. The kept ones
+    lie in order, so a match is only held against its two neighbours."""
+    kept: list[tuple[str, float, int, int]] = []
+    for match in matches:
+        _, _, start, end = match
+        at = bisect_left(kept, start, key=lambda k: k[2])
+        if (at == len(kept) or kept[at][2] >= end) and (at == 0 or kept[at - 1][3] <= start):
+            kept.insert(at, match)
+    return kept
+
+
 class Matcher:
     """Cosines of texts to the templates."""
 
@@ -146,11 +159,7 @@ class Matcher:
                 name, score = self.best(Counter(held))
                 if score >= LINE_THRESHOLD:
                     found.append((name, score, start, end))
-        kept: list[tuple[str, float, int, int]] = []
-        for match in sorted(found, key=lambda m: (-round(m[1], 9), m[3] - m[2], m[2])):
-            if all(match[3] <= k[2] or match[2] >= k[3] for k in kept):
-                kept.append(match)
-        return sorted(kept, key=lambda m: m[2])
+        return without_overlap(sorted(found, key=lambda m: (-round(m[1], 9), m[3] - m[2], m[2])))
 
 
 class Scanner:
