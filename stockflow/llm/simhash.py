@@ -55,7 +55,7 @@ CROWDED = 4096
 CROWDED_TABLE = 50_000
 #: Share of fingerprints (one in so many) that the crowding estimate reads.
 ESTIMATE = 16
-#: Rows of a class, hub or fingerprint from which its joins are cut into pieces.
+#: Rows of a class or fingerprint from which its joins are cut into pieces.
 HOT_ROWS = 1_000
 #: Longest variant that is compared in all pairs, and rows compared at once.
 SHORT_RUN = 32
@@ -229,13 +229,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, crowded: int = CROWDED) -> D
 # -- classes ----------------------------------------------------------------
 
 
-def with_lowest(edges: DataFrame, low: DataFrame, hot_rows: int) -> DataFrame:
-    """The edges (u, v) with ``m``, which ``low`` (u, m) has for every u. A hub
-    with more than ``hot_rows`` edges is cut into pieces."""
-    return left_join_hot_left(edges, low.withColumnRenamed("u", "low_u"), ["u"], ["low_u"], ["u", "v", "m"], hot_rows)
-
-
-def star_contraction(edges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def star_contraction(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that each node of the edges (a, b)
     reaches. Alternates large-star and small-star until nothing changes."""
 
@@ -247,11 +241,9 @@ def star_contraction(edges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-        wide = with_lowest(both, low, hot_rows)
-        large = wide.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        wide = with_lowest(large, low, hot_rows)
-        moved = wide.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        moved = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = materialize(moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         now = mark(e)
         if now == seen:
@@ -268,11 +260,11 @@ def near_duplicates(
     text_col: str = "text",
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """(doc_id, fp, component_id), one row per row of ``docs``. Classes, hubs
-    and fingerprints with more than ``hot_rows`` rows are joined in pieces."""
+    """(doc_id, fp, component_id), one row per row of ``docs``. Classes and
+    fingerprints with more than ``hot_rows`` rows are joined in pieces."""
     marked = materialize(fingerprints(docs, words, id_col, text_col))
     fps = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = star_contraction(links(fps.select("fp"), max_bits, crowded), hot_rows)
+    roots = star_contraction(links(fps.select("fp"), max_bits, crowded))
     rooted = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
