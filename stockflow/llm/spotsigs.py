@@ -7,10 +7,11 @@ signatures, written as the base64 of the sorted 32-bit hashes. Two
 fingerprints are compared by the Jaccard likeness of their sets.
 
 Anchors are the corpus's own most frequent short words by document frequency,
-counted over all documents for each language that holds a hundredth of them,
-so a rare language brings its own. Lists and headings may hold few common
-words; therefore words whose hash is divisible by ``RARE_ANCHORS`` are anchors
-as well, in every text.
+counted over all documents for each language with ``LEAST_DOCUMENTS`` or more
+of them, so a rare language brings its own; a language's words are anchors in
+every text. Lists, headings and languages with fewer documents may hold few
+common words; therefore words whose hash is divisible by ``RARE_ANCHORS`` are
+anchors as well, in every text.
 
 Finding all similar pairs (``similar_classes``) uses that sets whose sizes
 differ too much cannot be similar: sets are partitioned by length so that a
@@ -42,6 +43,8 @@ from stockflow.llm.common import id_text, materialize
 
 ANCHORS = 48
 RARE_ANCHORS = 16
+#: Documents that a language needs before its common words can be told.
+LEAST_DOCUMENTS = 30
 #: Letters of an anchor at most.
 ANCHOR_LETTERS = 6
 CHAIN = 2
@@ -59,22 +62,20 @@ def common_words(
     letters: int = ANCHOR_LETTERS,
     text_col: str = "text",
     lang_col: str | None = "lang",
+    least_documents: int = LEAST_DOCUMENTS,
 ) -> list[str]:
     """The ``n`` words of at most ``letters`` letters that most documents of a
-    language hold, for all languages with a hundredth of the documents (at
-    most 100 of them); ties go to the smaller word. Counted over all
-    documents."""
+    language hold, for all languages with ``least_documents`` documents; ties go
+    to the smaller word. Counted over all documents; the driver gets ``n`` short
+    words a language. A null language is one of its own."""
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("")) if lang_col else F.lit("")
     word = F.lit(rf"(?<!\p{{L}})\p{{L}}{{1,{letters}}}(?!\p{{L}})")
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), word, F.lit(0)))
-    sizes = docs.groupBy(lang.alias("lang")).count().orderBy(F.desc("count")).limit(100).collect()
-    large = [r["lang"] for r in sizes if r["count"] * 100 >= sum(x["count"] for x in sizes)]
-    if not large:
-        return []
-    counts = docs.select(lang.alias("lang"), F.explode(words).alias("word")).where(F.col("lang").isin(large))
+    large = docs.groupBy(lang.alias("lang")).count().where(F.col("count") >= least_documents).select("lang")
+    counts = docs.select(lang.alias("lang"), F.explode(words).alias("word")).groupBy("lang", "word").count()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))
-    best = counts.groupBy("lang", "word").count().withColumn("rank", rank).where(F.col("rank") <= n)
-    return sorted({r["word"] for r in best.collect()})
+    best = counts.withColumn("rank", rank).where(F.col("rank") <= n).join(large, "lang", "left_semi")
+    return sorted({r["word"] for r in best.select("word").distinct().collect()})
 
 
 class Signer:

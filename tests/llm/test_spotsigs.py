@@ -28,6 +28,18 @@ def test_small_table_against_brute_force(spark, sf_small):
     assert sum(r["near_edited"] > r["near_next"] for r in got.values()) > 0.95 * len(got)
 
 
+def test_every_language_brings_its_common_words(spark):
+    """More languages than a hundred, one of them with a thousandth of the documents."""
+    rows = [("big", "alpha beta gamma")] * 29_000 + [(None, "nolang nolang")] * 30 + [("few", "seldom")] * 29
+    rows += [(f"l{k}", f"w{chr(97 + k // 26)}{chr(97 + k % 26)} x{chr(97 + k // 26)}{chr(97 + k % 26)}") for k in range(150) for _ in range(30)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    got = spotsigs.common_words(docs, n=1)
+    want = {"alpha", "nolang"} | {f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(150)}
+    assert got == sorted(want)
+    assert "seldom" in spotsigs.common_words(docs, n=1, least_documents=29)
+    assert spotsigs.common_words(docs, n=2, lang_col=None) == ["alpha", "beta"]
+
+
 def test_bucket_count_changes_nothing(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     before = spark.conf.get("spark.sql.shuffle.partitions")
