@@ -10,8 +10,9 @@ and in reported speech, a threat only with a target. Target words may also
 follow their match. What is scored is the clause, not the word.
 
 The insult words are learned: words far more frequent in toxic than in other
-training documents, counted once per group of near copies (documents with the
-same smallest word hash); a word's first ``STEM`` letters are learned in the
+training documents, counted once per group of documents with the same smallest
+word hash (near copies mostly share it, and so do other texts with that word: a
+coarse group, which asks more of a word than four copies of one text); a word's first ``STEM`` letters are learned in the
 same way, so inflected forms that were not seen count too. The threat, target, negation and reported-speech
 words are short fixed lists in four languages. A logistic curve over the
 document's clause scores gives the probability. Learning reads at most
