@@ -6,6 +6,8 @@ Each stage reads what its predecessor kept, written as Parquet and read again.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from stockflow.llm import packing, secrets, simhash, toxicity
@@ -41,16 +43,18 @@ STAGES = [
     ("best_fit_packing", pack),
 ]
 
-# Learned scores, fingerprints and token ids are beyond SQL; the tests hold
-# run() against a brute-force version instead.
+# Learned scores, fingerprints and token ids are beyond SQL; the tests hold each
+# stage's decisions and run()'s pieces against a brute-force version instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to the whole ``documents`` table."""
+    """Apply the stages to the whole ``documents`` table. Every call writes into
+    a folder of its own, so an earlier call's result can still be read."""
     docs = table(spark, sf_dir, "documents")
+    folder = f"corpus_pipeline/{uuid.uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES):
-        path = scratch_path(spark, f"corpus_pipeline/{k}_{name}")
+        path = scratch_path(spark, f"{folder}/{k}_{name}")
         stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
         docs = spark.read.parquet(path)
     return docs
