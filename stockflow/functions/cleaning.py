@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockflow.session import tasks_for
+
 WIDE_INTEGRAL = (T.LongType, T.ByteType, T.ShortType)
 WIDE_FRACTIONAL = (T.DecimalType, T.DoubleType)
 CHAR_TYPES = (T.CharType, T.VarcharType)
@@ -24,8 +26,17 @@ def replace_newlines(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.regexp_replace(F.col(c), "\n", " ") for c in columns})
 
 
-def remove_duplicate_rows(df: DataFrame) -> DataFrame:
-    """Distinct over all columns (a two-phase hash aggregate, map-side combined)."""
+def remove_duplicate_rows(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Distinct over all columns (a two-phase hash aggregate).
+
+    With ``rows``, about how many rows there are, the rows are dealt by a hash
+    of all columns to tasks of a bounded number of rows before they are
+    aggregated. Without it they are combined map-side first: most rows being
+    distinct, a task then holds nearly all rows of its split, and a split grows
+    with the input.
+    """
+    if rows is not None:
+        df = df.repartition(tasks_for(df.sparkSession, rows), *df.columns)
     return df.dropDuplicates()
 
 

@@ -22,6 +22,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockflow.session import tasks_for
+
 PIECE = "_piece"
 PIECES = "_pieces"
 #: Most rows of a broadcast hot-key table.
@@ -106,6 +108,7 @@ def left_join_hot_left(
     output: Sequence[str],
     hot_rows: int = 1_000_000,
     counted: DataFrame | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """``left`` LEFT OUTER JOIN ``right`` when a key may be hot on the left
     (one customer with a large share of all orders) and each key has few
@@ -119,6 +122,8 @@ def left_join_hot_left(
     cheaper to read than ``left``, to count them in: the counts decide how
     work is split, never what matches. Left rows with a null key get a negative
     piece by row hash: they match nothing and lie spread over all partitions.
+    With ``rows``, about how many rows ``left`` has, they are dealt to tasks of
+    a bounded number of rows.
     """
     hot = hot_keys(left if counted is None else counted, left_keys, hot_rows)
     left_hot = _with_pieces(left, left_keys, hot, left_keys)
@@ -127,6 +132,8 @@ def left_join_hot_left(
         F.pmod(row, F.coalesce(F.col(PIECES), F.lit(1)))
     )
     left_pieces = left_hot.withColumn("_left_piece", mine.cast("int")).drop(PIECES)
+    if rows is not None:
+        left_pieces = left_pieces.repartition(tasks_for(left.sparkSession, rows), *left_keys, "_left_piece")
     right_pieces = (
         _with_pieces(right, right_keys, hot, left_keys)
         .withColumn(PIECE, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(PIECES), F.lit(1)) - 1)))

@@ -3,7 +3,8 @@
 The cleaning steps run in a fixed order per table. Order matters:
 duplicates go before timestamps are cut to dates (rows that become equal
 later stay), newline replacement goes before dedupe, and narrowing goes
-before filling (bigint is not filled).
+before filling (bigint is not filled). ``rows``, about how many rows the raw
+table has, bounds the rows of a dedupe task (``remove_duplicate_rows``).
 """
 
 from __future__ import annotations
@@ -31,56 +32,60 @@ PLANT_MAPPING = {
 }
 
 
-def _standard(df: DataFrame, on_error: str = "fail") -> DataFrame:
-    return fill_empty_fields(convert_column_types(remove_duplicate_rows(df), on_error))
+def _standard(df: DataFrame, on_error: str = "fail", rows: int | None = None) -> DataFrame:
+    return fill_empty_fields(convert_column_types(remove_duplicate_rows(df, rows), on_error))
 
 
-def silver_customers(raw: DataFrame, on_error: str = "fail") -> DataFrame:
+def silver_customers(raw: DataFrame, on_error: str = "fail", rows: int | None = None) -> DataFrame:
     """CustomerID, CompanyName, Street, ZipCode, City."""
     df = replace_newlines(raw, "Address", "CompanyName")
-    return split_address_column(_standard(df, on_error), "Address")
+    return split_address_column(_standard(df, on_error, rows), "Address")
 
 
-def silver_customer_orders(raw: DataFrame, on_error: str = "fail") -> DataFrame:
+def silver_customer_orders(raw: DataFrame, on_error: str = "fail", rows: int | None = None) -> DataFrame:
     """OrderID, CustomerID, productID, demandCategory, OrderDate (date), status,
     max_delivery_date (date)."""
-    df = convert_column_types(remove_duplicate_rows(raw), on_error)
+    df = convert_column_types(remove_duplicate_rows(raw, rows), on_error)
     text = F.col("max_delivery_date")
     as_date = F.try_to_date(text) if on_error == "null" else F.to_date(text)
     df = df.withColumn("max_delivery_date", as_date).drop("Date")
     return fill_empty_fields(convert_date_format(df))
 
 
-def silver_finished_goods(raw: DataFrame, on_error: str = "fail") -> DataFrame:
+def silver_finished_goods(raw: DataFrame, on_error: str = "fail", rows: int | None = None) -> DataFrame:
     """productID, productSKU, Product_Inventory, Demand."""
-    df = _standard(replace_newlines(raw, "demandCategory"), on_error)
+    df = _standard(replace_newlines(raw, "demandCategory"), on_error, rows)
     return df.withColumnsRenamed({"demandCategory": "Demand", "inventory": "Product_Inventory"})
 
 
-def silver_manufacturing_processes(raw: DataFrame, on_error: str = "fail") -> DataFrame:
+def silver_manufacturing_processes(raw: DataFrame, on_error: str = "fail", rows: int | None = None) -> DataFrame:
     """ProcessID, productID, FacilityID, ProcessingTime, Plant."""
-    df = _standard(raw, on_error).withColumnRenamed("processing_time", "ProcessingTime")
+    df = _standard(raw, on_error, rows).withColumnRenamed("processing_time", "ProcessingTime")
     return map_column_values(df, "FacilityID", PLANT_MAPPING, "Plant")
 
 
-def silver_manufacturing_process_parts(raw: DataFrame, on_error: str = "fail") -> DataFrame:
+def silver_manufacturing_process_parts(raw: DataFrame, on_error: str = "fail", rows: int | None = None) -> DataFrame:
     """ProcessID (string), ProcessPartID, MaterialID (string), Req_Prod_Quant."""
-    df = _standard(raw, on_error).withColumnRenamed("Quantity", "Req_Prod_Quant")
+    df = _standard(raw, on_error, rows).withColumnRenamed("Quantity", "Req_Prod_Quant")
     return df.withColumns(
         {"MaterialID": F.col("MaterialID").cast("string"), "ProcessID": F.col("ProcessID").cast("string")}
     )
 
 
-def silver_material_master(raw: DataFrame, on_error: str = "fail") -> DataFrame:
+def silver_material_master(raw: DataFrame, on_error: str = "fail", rows: int | None = None) -> DataFrame:
     """MaterialID (string), Mat_SKU, Mat_Inv."""
-    df = _standard(raw, on_error).withColumnRenamed("MaterialInventory", "Mat_Inv")
+    df = _standard(raw, on_error, rows).withColumnRenamed("MaterialInventory", "Mat_Inv")
     return df.withColumn("MaterialID", F.col("MaterialID").cast("string")).withColumnRenamed(
         "SKU", "Mat_SKU"
     )
 
 
 def demand_domain(
-    orders: DataFrame, customers: DataFrame, hot_rows: int = 1_000_000, counted: DataFrame | None = None
+    orders: DataFrame,
+    customers: DataFrame,
+    hot_rows: int = 1_000_000,
+    counted: DataFrame | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Orders with their customer's columns; orders of unknown customers stay
     (customer columns null). The demand category is dropped.
@@ -89,7 +94,8 @@ def demand_domain(
     customer's orders into pieces explicitly (``left_join_hot_left``) rather
     than relying on AQE's skew handling to notice it. Hot customers are counted
     in ``counted`` (the raw orders, say) if given, so that orders that are still
-    to be cleaned are planned once.
+    to be cleaned are planned once. ``rows``, about how many orders there are,
+    bounds the orders of a join task.
     """
     right = customers.withColumnRenamed("CustomerID", "_customer")
     output = (
@@ -97,7 +103,7 @@ def demand_domain(
         + [c for c in orders.columns if c not in ("CustomerID", "demandCategory")]
         + [c for c in customers.columns if c != "CustomerID"]
     )
-    return left_join_hot_left(orders, right, ["CustomerID"], ["_customer"], output, hot_rows, counted)
+    return left_join_hot_left(orders, right, ["CustomerID"], ["_customer"], output, hot_rows, counted, rows)
 
 
 MANUFACTURING_DOMAIN_COLUMNS = [

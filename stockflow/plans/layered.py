@@ -85,10 +85,11 @@ class LayeredRun:
     def silver(self) -> dict[str, str]:
         out = {}
         for name, clean in SILVER_CLEANERS.items():
-            out[name] = self.save(clean(self.table("bronze", name)), "silver", name)
+            raw = self.table("bronze", name)
+            out[name] = self.save(clean(raw, rows=raw.count()), "silver", name)
         t = lambda n: self.table("silver", n)
         out["demand_domain"] = self.save(
-            silver.demand_domain(t("customer_orders"), t("customers")), "silver", "demand_domain"
+            silver.demand_domain(t("customer_orders"), t("customers"), rows=t("customer_orders").count()), "silver", "demand_domain"
         )
         out["manufacturing_domain"] = self.save(
             silver.manufacturing_domain(

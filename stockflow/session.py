@@ -96,6 +96,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "stockflow-scratch", name)
 
 
+#: Rows that one task of an explicitly dealt shuffle gets, about.
+TASK_ROWS = 500_000
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """How many partitions a shuffle of ``rows`` rows is dealt to: about
+    ``TASK_ROWS`` rows each, so that a task's memory does not grow with the
+    input, and no fewer than ``spark.sql.shuffle.partitions``."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Checkpoint ``df`` into the session's shared checkpoint folder (eager):
     the lineage is cut, later readers share one computed copy, and a lost

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockflow.operators.ranking import sequence_number
+from stockflow.session import tasks_for
 
 # Fixed values of the derivation rule (FIXTURES.md section 2).
 # demandCategory by p_size % 5; the newline in "Very\nHigh" is deliberate, it
@@ -93,6 +94,8 @@ def raw_customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linestatus")
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    # the lines of a join task are bounded (line.count() reads the Parquet footers only)
+    line = line.repartition(tasks_for(spark, line.count()), "l_orderkey")
     joined = line.join(orders, line.l_orderkey == orders.o_orderkey).join(
         part, line.l_partkey == part.p_partkey, "left"
     )
