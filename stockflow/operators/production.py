@@ -18,6 +18,7 @@ Scale notes
 from __future__ import annotations
 
 import datetime as dt
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -144,6 +145,21 @@ JOB_COLUMNS = [
 BROADCAST_PRODUCTS = 1_000_000
 
 
+class JobParts(NamedTuple):
+    """A job list that is still to be listed: the production days (one row per
+    product and day) and the parts, as ``job_list`` takes them."""
+
+    deltas: DataFrame
+    inventory: DataFrame
+
+
+def _parts_of_producing(deltas: DataFrame, inventory: DataFrame, broadcast_products: int) -> DataFrame:
+    producing = deltas.select(F.col("ProductID").alias("_producing")).where("_producing is not null").distinct()
+    if producing.count() <= broadcast_products:
+        return inventory.join(F.broadcast(producing), F.col("productID") == F.col("_producing"), "left_semi")
+    return inventory
+
+
 def job_list(
     deltas: DataFrame, inventory: DataFrame, hot_rows: int = 1_000_000, broadcast_products: int = BROADCAST_PRODUCTS
 ) -> DataFrame:
@@ -158,10 +174,7 @@ def job_list(
     are checkpointed to count them); with more, all parts are shuffled.
     """
     deltas = checkpoint_once(deltas)
-    producing = deltas.select(F.col("ProductID").alias("_producing")).where("_producing is not null").distinct()
-    if producing.count() <= broadcast_products:
-        inventory = inventory.join(F.broadcast(producing), F.col("productID") == F.col("_producing"), "left_semi")
-    parts = inventory.select(
+    parts = _parts_of_producing(deltas, inventory, broadcast_products).select(
         "MaterialID",
         "ProcessPartID",
         "Req_Prod_Quant",
@@ -204,6 +217,8 @@ def _schedule_window(df: DataFrame, switch_cost: int) -> DataFrame:
 #: most blocks whose carry table is broadcast; beyond that it is shuffled.
 BUSY_DAYS = 100_000
 BROADCAST_BLOCKS = 1_000_000
+#: Most parts that are broadcast to the scheduled days.
+BROADCAST_PARTS = 100_000
 BLOCK_KEYS = ["FacilityID", "OrderYearMonth", "_sub"]
 
 
@@ -359,11 +374,7 @@ def _schedule_blocks(df: DataFrame, switch_cost: int, rows_per_block: int) -> Da
     blocks = local.where(F.col("_first")).select(
         *BLOCK_KEYS, cat.alias("_first_cat"), F.col("_base").isNotNull().alias("_has"), "_hours", "_last_cat"
     )
-    carried = checkpoint_once(merge_carry(blocks, switch_cost))
-    if carried.count() <= BROADCAST_BLOCKS:
-        carried = F.broadcast(carried)
-
-    rows = join_null_safe(local.drop("_hours", "_last_cat"), carried, BLOCK_KEYS)
+    rows = join_null_safe(local.drop("_hours", "_last_cat"), _carried(blocks, switch_cost), BLOCK_KEYS)
     first = F.col("_first")
     previous = F.when(first, F.coalesce(F.col("_prev"), cat)).otherwise(F.coalesce(F.col("_lag"), cat))
     total = F.when(first, F.col("_base") + F.col("_entry")).otherwise(F.col("_base"))
@@ -375,8 +386,108 @@ def _schedule_blocks(df: DataFrame, switch_cost: int, rows_per_block: int) -> Da
     )
 
 
+def _carried(blocks: DataFrame, switch_cost: int) -> DataFrame:
+    """``merge_carry``, broadcast up to ``BROADCAST_BLOCKS`` blocks."""
+    carried = checkpoint_once(merge_carry(blocks, switch_cost))
+    return F.broadcast(carried) if carried.count() <= BROADCAST_BLOCKS else carried
+
+
+def _queued_parts(parts: DataFrame, switch_cost: int) -> DataFrame:
+    """The parts of each product and facility in queue order: ``_head`` and
+    ``_tail`` (first and last), ``_lag`` (category before) and ``_switch``
+    (hours for switching into the part; 0 for the first)."""
+    w = Window.partitionBy("productID", "FacilityID").orderBy("ProcessPartID", "MaterialID")
+    cat = F.col("_cat")
+    switch = _switched(F.lit(0), F.coalesce(F.col("_lag"), cat), cat, switch_cost)
+    return (
+        parts.select("productID", "MaterialID", "ProcessPartID", "Req_Prod_Quant", "FacilityID", "ProcessingTime")
+        .withColumn("_cat", product_category(F.col("ProcessPartID")))
+        .withColumn("_head", F.lag(F.lit(True)).over(w).isNull())
+        .withColumn("_tail", F.lead(F.lit(True)).over(w).isNull())
+        .withColumn("_lag", F.lag("_cat").over(w))
+        .withColumn("_switch", F.when(F.col("_head"), F.lit(0)).otherwise(switch))
+    )
+
+
+def _product_days(deltas: DataFrame, queued: DataFrame) -> DataFrame:
+    """A carry element (see ``_scan_group``) per production day and facility of
+    its product: the day's jobs are the product's parts there, so their hours
+    are the units times the parts' hours plus the switches among the parts."""
+    timed = F.col("ProcessingTime").isNotNull()
+    lists = queued.groupBy(F.col("productID").alias("_list_product"), "FacilityID").agg(
+        F.sum("ProcessingTime").alias("_unit"),
+        F.sum(F.when(timed, F.col("_switch"))).alias("_switches"),
+        F.max(F.when(F.col("_head"), F.struct("_cat", timed.alias("_has")))).alias("_h"),
+        F.max(F.when(F.col("_tail"), F.struct("_cat"))).alias("_t"),
+    )
+    return deltas.join(lists, F.col("ProductID") == F.col("_list_product"), "left").select(
+        *deltas.columns,
+        "FacilityID",
+        F.col("_h._cat").alias("_first_cat"),
+        F.coalesce(F.col("_h._has"), F.lit(False)).alias("_has"),
+        (F.col("_unit") * F.col("Delta_produced") + F.coalesce(F.col("_switches"), F.lit(0))).alias("_hours"),
+        F.col("_t._cat").alias("_last_cat"),
+    )
+
+
+def _schedule_parts(jobs: JobParts, switch_cost: int, rows_per_block: int, hot_rows: int = 1_000_000) -> DataFrame:
+    """Same result as ``_schedule_blocks(job_list(*jobs))`` without a shuffle or
+    sort of the jobs, of which there are far more than days and parts.
+
+    The parts of a product follow each other in the same order on each of its
+    days, so the order, the switches and the hours among them are found once
+    per parts list; the blocks hold product days and are scanned as such. The
+    jobs are listed last, as in ``job_list``, from the days that have their
+    running totals: a short parts list is broadcast, a long one joined with hot
+    products cut. They are neither shuffled nor stored.
+    """
+    deltas = checkpoint_once(jobs.deltas.select("ProductID", "OrderYearMonth", "Delta_produced"))
+    parts = _parts_of_producing(deltas, jobs.inventory, BROADCAST_PRODUCTS)
+    queued = checkpoint_once(_queued_parts(parts, switch_cost))
+    # a block's scan order is the product: one element per product, day and facility
+    keyed = assign_schedule_blocks(checkpoint_once(_product_days(deltas, queued)), rows_per_block)
+    days = checkpoint_once(_scan_group(keyed, BLOCK_KEYS, ["ProductID"], switch_cost))
+    blocks = _merge_group(days, BLOCK_KEYS, ["ProductID"])
+
+    first = F.col("_start")
+    carried = _carried(blocks, switch_cost).withColumnsRenamed({c: f"_c{c}" for c in ("_has", "_prev", "_entry", "_before")})
+    run_local = _plus(F.col("_before"), F.col("_own")) + F.when(F.col("_c_has"), F.col("_c_entry")).otherwise(F.lit(0))
+    # a product without a process has no facility: matched as a value, like any other
+    facility = F.coalesce(F.concat(F.lit("="), F.col("FacilityID")), F.lit(""))
+    left = join_null_safe(days, carried, BLOCK_KEYS).select(
+        "ProductID", "OrderYearMonth", "Delta_produced", "FacilityID", facility.alias("_facility"),
+        F.when(first, F.col("_c_prev")).otherwise(F.col("_prev")).alias("_day_prev"),
+        F.when(first, F.col("_c_entry")).otherwise(F.col("_entry")).alias("_day_entry"),
+        _plus(F.col("_c_before"), run_local).alias("Running_Total"),
+    )
+    right = queued.select(
+        F.col("productID").alias("_part_product"), facility.alias("_part_facility"),
+        "MaterialID", "ProcessPartID", "Req_Prod_Quant", "ProcessingTime", "_head", "_lag", "_switch",
+    )
+    keys, part_keys = ["ProductID", "_facility"], ["_part_product", "_part_facility"]
+    output = [*JOB_COLUMNS, "_day_prev", "_day_entry", "Running_Total", "_head", "_lag", "_switch"]
+    if queued.count() <= BROADCAST_PARTS:
+        on = [left[a] == right[b] for a, b in zip(keys, part_keys, strict=True)]
+        listed = left.join(F.broadcast(right), on, "left").select(*output)
+    else:
+        listed = left_join_skew_safe(left, right, keys, part_keys, output, hot_rows)
+    head = F.coalesce(F.col("_head"), F.lit(True))
+    cat = F.col("ProductCategory")
+    return listed.select(
+        *JOB_COLUMNS,
+        product_category(F.col("ProcessPartID")).alias("ProductCategory"),
+        F.when(head, F.col("_day_prev")).otherwise(F.col("_lag")).alias("_lag"),
+        F.when(head, F.col("_day_entry")).otherwise(F.col("_switch")).alias("_added"),
+        "Running_Total",
+    ).select(
+        "*",
+        F.coalesce(F.col("_lag"), cat).alias("PreviousProductCat"),
+        (F.col("ProcessingTime") * F.col("Delta_produced") + F.col("_added")).alias("TotalProcessingTime"),
+    )
+
+
 def schedule_jobs(
-    jobs: DataFrame,
+    jobs: DataFrame | JobParts,
     max_hours_day: int = 8,
     as_of: dt.date | str | Column | None = None,
     switch_cost: int = 1,
@@ -394,8 +505,16 @@ def schedule_jobs(
 
     ``method="blocks"`` (default) spreads each facility's queue over blocks of
     about ``rows_per_block`` jobs; ``"window"`` is the single-window form.
+    ``jobs`` may be given as the ``JobParts`` they are listed from: the blocks
+    then hold product days, and the jobs are listed with their hours, without
+    being shuffled and sorted.
     """
     base = (max_hours_day, as_of, deadline_months)
+    if isinstance(jobs, JobParts) and method == "blocks":
+        out = _schedule_base(_schedule_parts(jobs, switch_cost, rows_per_block), *base)
+        return out.select(*SCHEDULE_COLUMNS)
+    if isinstance(jobs, JobParts):
+        jobs = job_list(*jobs)
     if method == "window":
         out = _schedule_window(_schedule_base(jobs, *base), switch_cost)
     elif method == "blocks":

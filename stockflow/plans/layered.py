@@ -126,7 +126,8 @@ class LayeredRun:
         out["manufacturing_job_list"] = self.save(
             production.job_list(deltas, g("inventory_table")), "gold", "manufacturing_job_list"
         )
-        schedule = production.schedule_jobs(g("manufacturing_job_list"), max_hours_day, as_of=as_of)
+        # the jobs of the list just written, scheduled from the days and parts it lists
+        schedule = production.schedule_jobs(production.JobParts(deltas, g("inventory_table")), max_hours_day, as_of=as_of)
         out["manufacturing_delay_alerts"] = self.save(
             production.delay_alerts(schedule), "gold", "manufacturing_delay_alerts"
         )
