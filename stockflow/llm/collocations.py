@@ -19,7 +19,12 @@ found in two kinds of passes:
    and longer phrases where all their pairs survived, told by a Bloom filter of
    at most ``filter_bits`` bits (beyond its size it lets more through, and
    nothing is lost).
-2. *Exact pass.* The survivors' occurrences are counted as text, exactly.
+2. *Exact pass.* The survivors' occurrences are counted as text, exactly. A
+   task keeps its more common phrases and hands the rarer half on when its
+   tally is full.
+
+Every task hands on a row for each phrase that it has met, so small splits are
+read together, in tasks of about ``TASK_TEXT`` bytes.
 
 A phrase is cut after each of its first words, and the cut with the lowest
 score floor(scale * a / (l + r)) counts, ties to the shortest first part (a, l, r: how often the
@@ -54,10 +59,15 @@ ABSORB = 80
 NO_LANGUAGE = "und"
 #: Bytes of text that are read at once.
 STRETCH = 1 << 21
-#: Hashes that a mapper sums up before it hands them on.
-HELD = 1 << 22
-#: Phrases that a task of the exact pass sums up before it hands them on.
-HELD_PHRASES = 1 << 20
+#: Bytes of text that one task reads, about; smaller splits are read together, as counts summed over more text are fewer.
+TASK_TEXT = 1 << 28
+#: Hashes that a mapper sums up to a run, and hashes in runs that it holds before it hands on their sums.
+HELD = 1 << 21
+HELD_SUMS = 1 << 23
+#: Ranges of hashes, by their highest bits, in which runs are summed up.
+RANGE_BITS = 7
+#: Phrases that a task of the exact pass sums up before it hands the rarer half on.
+HELD_PHRASES = 1 << 21
 #: Phrase mass that a hash partition's summary is made for.
 PARTITION_MASS = 1 << 25
 #: Most bits of a Bloom filter (16 MB), bits wanted for each entry, and bits set by each.
@@ -168,6 +178,15 @@ def summed(hashes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.nda
     return hashes[starts], np.add.reduceat(counts, starts) if len(starts) else counts
 
 
+def summed_runs(runs: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The sums of runs of distinct hashes in order, one range of hashes after another."""
+    edges = np.arange(1, 1 << RANGE_BITS, dtype=np.uint64) << np.uint64(64 - RANGE_BITS)
+    cuts = [np.r_[0, np.searchsorted(hashes, edges), len(hashes)] for hashes, _ in runs]
+    for k in range(1 << RANGE_BITS):
+        parts = [(hashes[cut[k] : cut[k + 1]], counts[cut[k] : cut[k + 1]]) for (hashes, counts), cut in zip(runs, cuts, strict=True)]
+        yield summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+
+
 class Summary:
     """Misra-Gries summary of hashes with a cut that stays below ``threshold``."""
 
@@ -205,9 +224,11 @@ class Tally:
         self.second = np.empty(0, dtype=np.uint64)
         self.counts = np.empty(0, dtype=np.int64)
         self.place = np.empty(0, dtype=np.int64)
-        self.langs: list[str] = []
-        self.sizes: list[int] = []
-        self.texts: list[bytes] = []
+        #: (lang, words, phrase) of the phrases, in the order of their places.
+        self.listed: list[pa.RecordBatch] = []
+
+    def __len__(self) -> int:
+        return len(self.place)
 
     def add(self, words: Words, names: list[str], n: int, at: np.ndarray, first: np.ndarray, second: np.ndarray) -> None:
         """Count the phrases of ``n`` words that start at the words ``at``."""
@@ -220,24 +241,36 @@ class Tally:
         known = (self.first[near] == first) & (self.second[near] == second) if len(self.first) else np.zeros(len(at), dtype=bool)
         self.counts[place[known]] += counts[known]
         at, first, second, counts, place = (x[~known] for x in (at, first, second, counts, place))
+        held = len(self)
         self.first = np.insert(self.first, place, first)
         self.second = np.insert(self.second, place, second)
         self.counts = np.insert(self.counts, place, counts)
-        self.place = np.insert(self.place, place, len(self.texts) + np.arange(len(at)))
-        self.langs += [names[k] for k in words.lang[at]]
-        self.sizes += [n] * len(at)
-        self.texts += [words.text(k, n) for k in at.tolist()]
-
-    def out(self) -> Iterator[pa.RecordBatch]:
-        """(lang, words, phrase, f) rows; the tally is empty afterwards."""
-        counts = np.empty(len(self.place), dtype=np.int64)
+        self.place = np.insert(self.place, place, held + np.arange(len(at)))
+        for k in range(0, len(at), 1 << 16):
+            some = at[k : k + (1 << 16)]
+            phrases = pa.array([words.text(i, n) for i in some.tolist()], pa.binary()).cast(pa.string())
+            arrays = [pa.array([names[i] for i in words.lang[some]]), pa.array([n] * len(some), pa.int32()), phrases]
+            self.listed.append(pa.RecordBatch.from_arrays(arrays, names=["lang", "words", "phrase"]))
+
+    def out(self, rare: bool = False) -> Iterator[pa.RecordBatch]:
+        """(lang, words, phrase, f) rows of all phrases, or of the ``rare`` ones alone: those that occur no
+        more often than the median, half of them at least. The tally no longer holds them afterwards."""
+        counts = np.empty(len(self), dtype=np.int64)
         counts[self.place] = self.counts
-        for k in range(0, len(counts), 1 << 16):
-            some = slice(k, k + (1 << 16))
-            phrases = pa.array(self.texts[some], pa.binary()).cast(pa.string())
-            arrays = [pa.array(self.langs[some]), pa.array(self.sizes[some], pa.int32()), phrases, pa.array(counts[some])]
-            yield pa.RecordBatch.from_arrays(arrays, names=["lang", "words", "phrase", "f"])
-        self.__init__()
+        stays = counts > np.median(counts) if rare and len(counts) else np.zeros(len(counts), dtype=bool)
+        listed, self.listed = self.listed, []
+        start = 0
+        for batch in listed:
+            some = slice(start, start + batch.num_rows)
+            start = some.stop
+            goes = batch.filter(pa.array(~stays[some]))
+            if goes.num_rows:
+                yield goes.append_column("f", pa.array(counts[some][~stays[some]]))
+            if goes.num_rows < batch.num_rows:
+                self.listed.append(batch.filter(pa.array(stays[some])))
+        kept = stays[self.place]
+        self.first, self.second, self.counts = self.first[kept], self.second[kept], self.counts[kept]
+        self.place = (np.cumsum(stays) - 1)[self.place[kept]]
 
 
 # -- Bloom filter -----------------------------------------------------------
@@ -289,6 +322,13 @@ def _texts(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     return docs.select(lang.alias("lang"), F.col(text_col).alias("text")).where("text is not null and text <> ''")
 
 
+def larger_tasks(texts: DataFrame, size: int) -> DataFrame:
+    """``texts``, ``size`` bytes in all, in tasks of about ``TASK_TEXT`` bytes, as many as keep all cores
+    busy; larger splits stay as they are."""
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    return texts.coalesce(max(1, -(-size // (TASK_TEXT * cores))) * cores)
+
+
 def _language_hash(lang: str) -> int:
     text = np.frombuffer(lang.encode(), np.uint8)
     return int((_RANDOM[0, text] * _RANDOM[0, 256 + np.arange(len(text)) % _PLACES]).sum(dtype=np.uint64))
@@ -300,29 +340,38 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, np.ndarray
         langs = batch["lang"].dictionary_encode()
         names = langs.dictionary.to_pylist()
         seeds = np.array([_language_hash(name) for name in names], dtype=np.uint64)
-        texts = batch["text"].cast(pa.large_binary()).to_pylist()
-        for some, numbers in stretches(texts, langs.indices.to_pylist()):
-            yield Words(some, numbers), seeds, names
+        # a few stretches' texts at a time, not a copy of the whole batch
+        rows = max(1, batch.num_rows * 4 * STRETCH // max(1, batch["text"].nbytes))
+        for k in range(0, batch.num_rows, rows):
+            texts = batch["text"].slice(k, rows).cast(pa.large_binary()).to_pylist()
+            for some, numbers in stretches(texts, langs.indices.slice(k, rows).to_pylist()):
+                yield Words(some, numbers), seeds, names
 
 
 def phrase_counts(texts: DataFrame, found: Callable[[Words, np.ndarray], list[np.ndarray]]) -> DataFrame:
-    """(h, c): hashes that ``found`` names for the stretches, summed up in each task over ``HELD`` of them."""
+    """(h, c): hashes that ``found`` names for the stretches, summed up in each task until ``HELD_SUMS`` sums are held."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
+        runs: list[tuple[np.ndarray, np.ndarray]] = []
 
         def out() -> Iterator[pa.RecordBatch]:
-            hashes, counts = summed(np.concatenate(held))
-            held.clear()
-            for k in range(0, len(hashes), 1 << 16):
-                arrays = [pa.array(hashes[k : k + (1 << 16)].view(np.int64)), pa.array(counts[k : k + (1 << 16)])]
-                yield pa.RecordBatch.from_arrays(arrays, names=["h", "c"])
+            for hashes, counts in summed_runs(runs):
+                for k in range(0, len(hashes), 1 << 16):
+                    arrays = [pa.array(hashes[k : k + (1 << 16)].view(np.int64)), pa.array(counts[k : k + (1 << 16)])]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["h", "c"])
+            runs.clear()
 
         for words, seeds, _ in _read(batches):
             held += found(words, words.hashes(seeds))
             if sum(map(len, held)) >= HELD:
-                yield from out()
+                runs.append(summed(np.concatenate(held)))
+                held.clear()
+                if sum(len(hashes) for hashes, _ in runs) >= HELD_SUMS:
+                    yield from out()
         if held:
+            runs.append(summed(np.concatenate(held)))
+        if runs:
             yield from out()
 
     return texts.mapInArrow(run, "h long, c long")
@@ -371,8 +420,8 @@ def exact_counts(texts: DataFrame, bits: np.ndarray, max_words: int, spark: Spar
                 at, first = words.phrases(one, n)
                 some = passes(table, first)
                 tally.add(words, names, n, at[some], first[some], words.phrases(two, n, 1)[1][some])
-            if len(tally.texts) > HELD_PHRASES:
-                yield from tally.out()
+            if len(tally) > HELD_PHRASES:
+                yield from tally.out(rare=True)
         yield from tally.out()
         for lang, c in totals.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([0], pa.int32()), pa.array([""]), pa.array([c])], names=["lang", "words", "phrase", "f"])
@@ -397,7 +446,9 @@ def frequent_phrases(
     spark = docs.sparkSession
     texts = _texts(docs, lang_col, text_col)
     # a word takes a byte and a separator, so no length has more phrases than half the bytes
-    half = int(texts.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0) // 2 + 1
+    size = int(texts.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0)
+    half = size // 2 + 1
+    texts = larger_tasks(texts, size)
 
     def pairs(words: Words, hashes: np.ndarray) -> list[np.ndarray]:
         return [words.phrases(hashes, 2)[1]]

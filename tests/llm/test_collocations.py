@@ -118,3 +118,81 @@ def test_a_heavier_partition_grows_instead_of_losing():
     for part in np.array_split(hashes, 7):
         summary.merge(*col.summed(part))
     assert set(summary.survivors().tolist()) == set(range(100))
+
+
+def test_small_splits_are_read_together(spark, monkeypatch):
+    rows = corpus(300)
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4 * cores)
+    read = []
+
+    def noted(made):
+        return lambda texts, *rest: (read.append(texts.rdd.getNumPartitions()), made(texts, *rest))[1]
+
+    for name in ("phrase_counts", "exact_counts"):
+        monkeypatch.setattr(col, name, noted(getattr(col, name)))
+    assert rows_of(col.collocations(df, threshold=5)) == brute(rows, 5, 2000)
+    assert read == [cores] * 3  # one row per task and phrase: four times as many tasks would hand on four times as many
+    size = sum(len((text or "").encode()) + 1 for _, text, _ in rows if text)
+    for tasks in (2, 4, 9):  # more text means more tasks, and no split is cut
+        monkeypatch.setattr(col, "TASK_TEXT", size // (tasks * cores) + 1)
+        read.clear()
+        assert rows_of(col.collocations(df, threshold=5)) == brute(rows, 5, 2000)
+        assert read == [min(tasks, 4) * cores] * 3
+
+
+def test_a_task_hands_on_each_hash_once(spark, monkeypatch):
+    monkeypatch.setattr(col, "HELD", 64)
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, 20)
+    try:
+        texts = col._texts(spark.createDataFrame(corpus(300), SCHEMA).coalesce(1), "lang", "text")
+        pairs = lambda words, hashes: [words.phrases(hashes, 2)[1]]
+        handed = [tuple(r) for r in col.phrase_counts(texts, pairs).collect()]
+        assert len(handed) == len({h for h, _ in handed})
+        monkeypatch.setattr(col, "HELD_SUMS", 300)
+        often = [tuple(r) for r in col.phrase_counts(texts, pairs).collect()]
+    finally:
+        spark.conf.set(batch, before)
+    assert len(often) > len(handed)
+    total = Counter()
+    for h, c in often:
+        total[h] += c
+    assert total == dict(handed)
+
+
+def test_sums_of_runs_equal_the_sums_of_all():
+    pick = np.random.default_rng(5)
+    parts = [pick.integers(0, 1 << 63, 3000, dtype=np.uint64)[pick.integers(0, 3000, n)] * np.uint64(2) for n in (0, 1, 5000, 9000)]
+    parts += [parts[2], np.array([0, (1 << 64) - 1], dtype=np.uint64)]
+    hashes, counts = (np.concatenate(x) for x in zip(*col.summed_runs([col.summed(p) for p in parts]), strict=True))
+    whole = col.summed(np.concatenate(parts))
+    assert (hashes == whole[0]).all() and (counts == whole[1]).all() and len(hashes) == len(whole[0])
+
+
+def test_a_full_tally_hands_on_rare_phrases_and_keeps_the_others():
+    seeds = np.arange(1, 3, dtype=np.uint64)
+    tally, handed, expected = col.Tally(), [], Counter()
+    for k in range(20):
+        rare = " ".join(f"rare{k}x{j}" for j in range(60))
+        words = col.Words([f"new york. {rare}, new york".encode(), b"new york"], [0, 1])
+        for n in (1, 2):
+            at, first = words.phrases(words.hashes(seeds), n)
+            tally.add(words, ["en", "fr"], n, at, first, words.phrases(words.hashes(seeds, 1), n, 1)[1])
+            expected.update((("en", "fr")[words.lang[i]], n, words.text(i, n).decode()) for i in at)
+        if len(tally) > 300:
+            before = len(tally)
+            for batch in tally.out(rare=True):
+                handed += batch.to_pylist()
+            assert len(tally) <= before // 2
+    assert handed
+    for batch in tally.out():
+        handed += batch.to_pylist()
+    assert len(tally) == 0 and not list(tally.out())
+    total = Counter()
+    for row in handed:
+        total[row["lang"], row["words"], row["phrase"]] += row["f"]
+    assert total == expected
+    # frequent phrases are handed on once, not every time the tally is full
+    assert sorted((r["lang"], r["f"]) for r in handed if r["phrase"] == "new york") == [("en", 40), ("fr", 20)]
