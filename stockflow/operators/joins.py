@@ -22,18 +22,22 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.session import tasks_for
+from stockflow.session import deal, tasks_for
 
 PIECE = "_piece"
 PIECES = "_pieces"
+#: Column of a counted DataFrame: how many rows one of its rows stands for.
+ROWS = "_rows"
 #: Most rows of a broadcast hot-key table.
 HOT_KEYS = 10_000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     """(keys, pieces): the ``HOT_KEYS`` most common of the non-null keys with
-    more than ``hot_rows`` rows, and into how many pieces each is cut."""
-    counts = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    more than ``hot_rows`` rows, and into how many pieces each is cut. A row of
+    ``df`` counts as many as its ``_rows`` column says, if there is one."""
+    rows = F.sum(ROWS) if ROWS in df.columns else F.count(F.lit(1))
+    counts = df.dropna(subset=list(keys)).groupBy(*keys).agg(rows.alias("_rows"))
     common = counts.where(F.col("_rows") > hot_rows).orderBy(F.desc("_rows"), *keys).limit(HOT_KEYS)
     return F.broadcast(common.select(*keys, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias(PIECES)))
 
@@ -71,6 +75,7 @@ def left_join_skew_safe(
     output: Sequence[str],
     hot_rows: int = 1_000_000,
     counted: DataFrame | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """``left`` LEFT OUTER JOIN ``right`` on left_keys[i] = right_keys[i];
     returns the ``output`` columns (unmatched rows get nulls for right columns).
@@ -83,12 +88,15 @@ def left_join_skew_safe(
     may name another DataFrame with the right keys, cheaper to read, to count
     them in: the counts decide how work is split, never what matches. Left rows
     with a null key get a negative piece by row hash: they match nothing and
-    lie spread over all partitions.
+    lie spread over all partitions. With ``rows``, about how many rows ``right``
+    has, they are dealt to tasks of a bounded number of rows.
     """
     hot = hot_keys(right if counted is None else counted, right_keys, hot_rows)
     right_pieces = _spread(
         _with_pieces(right.dropna(subset=list(right_keys)), right_keys, hot, right_keys), right.columns
     ).withColumn("_matched", F.lit(True))
+    if rows is not None:
+        right_pieces = deal(right_pieces, rows, *right_keys, PIECE)
 
     left_hot = _with_pieces(left, left_keys, hot, right_keys)
     here = F.when(_any_null(left_keys), F.array(-1 - F.pmod(_row_hash(left.columns), F.lit(1 << 20)).cast("int"))).otherwise(

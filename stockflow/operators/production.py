@@ -141,6 +141,9 @@ JOB_COLUMNS = [
 ]
 
 
+#: What the jobs take from the inventory table.
+PART_COLUMNS = ["productID", "MaterialID", "ProcessPartID", "Req_Prod_Quant", "FacilityID", "ProcessingTime"]
+
 #: Most producing products whose ids are broadcast to reduce the parts.
 BROADCAST_PRODUCTS = 1_000_000
 

@@ -79,18 +79,25 @@ def sequence_number(
     segment: Sequence[str] = (),
     name: str = "row_number",
     partitions: int | None = None,
+    drop_shuffles: bool = False,
 ) -> DataFrame:
     """``row_number()`` over (PARTITION BY segment ORDER BY order_cols), as long,
     without funnelling a segment (or the whole table) through one task.
 
     Rows that tie on ``order_cols`` have no defined order under row_number; a
     hash of the whole row orders them, so a very common order value is also
-    spread over several blocks (only identical rows stay together).
+    spread over several blocks (only identical rows stay together). If segment
+    and order hold every column, rows that tie are identical, and the hash is
+    left out: it would tell them apart no better.
+    ``drop_shuffles``: see ``materialize``.
     """
-    order = [*_cols(order_cols), F.xxhash64(*[F.col(c) for c in df.columns])]
+    order = _cols(order_cols)
+    named = {c for c in [*segment, *order_cols] if isinstance(c, str)}
+    if not named.issuperset(df.columns):
+        order.append(F.xxhash64(*[F.col(c) for c in df.columns]))
     blocked = range_blocks(df, [*segment, *order], partitions)
     w_local = Window.partitionBy(BLOCK, *segment).orderBy(*order)
-    local = materialize(blocked.withColumn("_local", F.row_number().over(w_local)))
+    local = materialize(blocked.withColumn("_local", F.row_number().over(w_local)), drop_shuffles)
     counts = local.groupBy(BLOCK, *segment).agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*segment).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     # Rows are range-partitioned on (segment, order), so only the first

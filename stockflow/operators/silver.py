@@ -129,6 +129,7 @@ def manufacturing_domain(
     materials: DataFrame,
     hot_rows: int = 1_000_000,
     counted_parts: DataFrame | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """One row per product and process part, with process and material columns.
 
@@ -140,7 +141,8 @@ def manufacturing_domain(
     material on the left) split hot keys explicitly (``operators.joins``). Both
     count their keys in the parts table, not in the joins' results, so each
     join is planned once; ``counted_parts`` (the raw parts, say) may stand in
-    for parts that are still to be cleaned.
+    for parts that are still to be cleaned. ``rows``, about how many parts there
+    are, bounds the parts of a task of the parts join.
     """
     counted = parts if counted_parts is None else counted_parts
     part_keys = counted.select(
@@ -167,6 +169,7 @@ def manufacturing_domain(
         product_process.columns + ["ProcessPartID", "MaterialID", "Req_Prod_Quant"],
         hot_rows,
         part_keys,
+        rows,
     )
     # one material may be used by a large share of all parts: split it explicitly
     materials_keyed = materials.withColumnRenamed("MaterialID", "_material")

@@ -107,9 +107,37 @@ def tasks_for(spark: SparkSession, rows: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def deal(df: DataFrame, rows: int, *columns: str) -> DataFrame:
+    """``df``, of about ``rows`` rows, dealt by a hash of ``columns`` to tasks of
+    a bounded number of rows, if the session's shuffle partitions are too few
+    for that; else as it is, and a join or an aggregate deals it."""
+    tasks = tasks_for(df.sparkSession, rows)
+    if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df.repartition(tasks, *columns)
+    return df
+
+
+#: Removes the shuffle files of an execution when it ends.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, drop_shuffles: bool = False) -> DataFrame:
     """Checkpoint ``df`` into the session's shared checkpoint folder (eager):
     the lineage is cut, later readers share one computed copy, and a lost
-    executor re-reads it instead of recomputing the upstream plan."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    executor re-reads it instead of recomputing the upstream plan.
+
+    With ``drop_shuffles`` the shuffle files written on the way are removed as
+    soon as the checkpoint stands, rather than when the driver next collects
+    its garbage, so they don't add up over the steps of a query. They belong to
+    this execution alone: ``df`` itself can still be read."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    if not drop_shuffles:
+        return df.checkpoint(eager=True)
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        # an execution takes the setting over when its DataFrame is made
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockflow.functions.cleaning import remove_duplicate_rows
 from stockflow.operators.ranking import sequence_number
 from stockflow.session import tasks_for
 
@@ -94,11 +95,11 @@ def raw_customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linestatus")
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    # the part first: a line is at its narrowest before it has its order's columns
+    sized = line.join(part, line.l_partkey == part.p_partkey, "left")
     # the lines of a join task are bounded (line.count() reads the Parquet footers only)
-    line = line.repartition(tasks_for(spark, line.count()), "l_orderkey")
-    joined = line.join(orders, line.l_orderkey == orders.o_orderkey).join(
-        part, line.l_partkey == part.p_partkey, "left"
-    )
+    sized = sized.repartition(tasks_for(spark, line.count()), "l_orderkey")
+    joined = sized.join(orders, sized.l_orderkey == orders.o_orderkey)
     order_day = F.to_date("o_orderdate")
     return joined.select(
         F.col("l_orderkey").alias("OrderID"),
@@ -113,6 +114,15 @@ def raw_customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CustomerID, _rows: each order's customer and how many raw orders (lines)
+    it has. Counts a customer's raw orders without building them."""
+    line = _table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_rows"))
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    joined = line.join(orders, line.l_orderkey == orders.o_orderkey)
+    return joined.select(F.col("o_custkey").cast("string").alias("CustomerID"), "_rows")
+
+
 def raw_manufacturing_processes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ProcessID int, productID bigint, FacilityID, processing_time int."""
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_size")
@@ -144,8 +154,17 @@ def raw_manufacturing_process_parts(spark: SparkSession, sf_dir: str) -> DataFra
     Each part's suppliers become its materials: every distinct supplier key,
     numbered from 1 in key order.
     """
-    pairs = _table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey").distinct()
-    numbered = sequence_number(pairs, ["l_suppkey"], segment=["l_partkey"], name="n")
+    line = _table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey")
+    rows = line.count()
+    # at most one part per line: the pairs of a task are bounded, before and after they are numbered
+    numbered = sequence_number(
+        remove_duplicate_rows(line, rows),
+        ["l_suppkey"],
+        segment=["l_partkey"],
+        name="n",
+        partitions=tasks_for(spark, rows),
+        drop_shuffles=True,
+    )
     process = F.col("l_partkey") + 1
     return numbered.select(
         process.cast("bigint").alias("ProcessID"),
