@@ -164,7 +164,11 @@ def _parts_of_producing(deltas: DataFrame, inventory: DataFrame, broadcast_produ
 
 
 def job_list(
-    deltas: DataFrame, inventory: DataFrame, hot_rows: int = 1_000_000, broadcast_products: int = BROADCAST_PRODUCTS
+    deltas: DataFrame,
+    inventory: DataFrame,
+    hot_rows: int = 1_000_000,
+    broadcast_products: int = BROADCAST_PRODUCTS,
+    rows: int | None = None,
 ) -> DataFrame:
     """One job per production day and process part of the product (a day
     of a product without parts stays, with null part columns).
@@ -174,9 +178,11 @@ def job_list(
     have production days can match, so the others are dropped where they are
     read, before the parts are shuffled: the ids of the producing products are
     broadcast if they are at most ``broadcast_products`` (the production days
-    are checkpointed to count them); with more, all parts are shuffled.
+    are checkpointed to count them); with more, all parts are shuffled. With
+    ``rows``, about how many parts there are, the shuffled ones are dealt to
+    tasks of a bounded number of rows.
     """
-    deltas = checkpoint_once(deltas)
+    deltas = checkpoint_once(deltas, drop_shuffles=True)
     parts = _parts_of_producing(deltas, inventory, broadcast_products).select(
         "MaterialID",
         "ProcessPartID",
@@ -185,7 +191,7 @@ def job_list(
         "FacilityID",
         "ProcessingTime",
     )
-    return left_join_skew_safe(deltas, parts, ["ProductID"], ["_part_product"], JOB_COLUMNS, hot_rows)
+    return left_join_skew_safe(deltas, parts, ["ProductID"], ["_part_product"], JOB_COLUMNS, hot_rows, rows=rows)
 
 
 def _switched(total: Column, previous: Column, current: Column, switch_cost: int) -> Column:
@@ -444,7 +450,7 @@ def _schedule_parts(jobs: JobParts, switch_cost: int, rows_per_block: int, hot_r
     running totals: a short parts list is broadcast, a long one joined with hot
     products cut. They are neither shuffled nor stored.
     """
-    deltas = checkpoint_once(jobs.deltas.select("ProductID", "OrderYearMonth", "Delta_produced"))
+    deltas = checkpoint_once(jobs.deltas.select("ProductID", "OrderYearMonth", "Delta_produced"), drop_shuffles=True)
     parts = _parts_of_producing(deltas, jobs.inventory, BROADCAST_PRODUCTS)
     queued = checkpoint_once(_queued_parts(parts, switch_cost))
     # a block's scan order is the product: one element per product, day and facility

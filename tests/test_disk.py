@@ -122,3 +122,22 @@ def test_right_rows_of_a_skew_safe_join_task_are_bounded(spark, few_rows):
         assert _rows(bounded) == _rows(joins.left_join_skew_safe(left, right, *args))
     # few rows are left to the planner
     assert "REPARTITION_BY_NUM" not in _plan(joins.left_join_skew_safe(left, right, *args, rows=800))
+
+
+def test_job_list_stores_no_jobs(spark, stored):
+    jobs = registry.QUERIES["job_list"](spark, SF_SMALL)
+    # the parts (1905) with what the jobs take from them, the open orders (2979) and the stock of 200 products
+    assert stored == [
+        ([*production.PART_COLUMNS, "Product_Inventory"], 1905), (["productID", "OrderDate", "status"], 2979),
+        (["productID", "Product_Inventory"], 200),
+    ]
+    l = Layers(spark, SF_SMALL)
+    whole = production.job_list(l.deltas(), inventory.inventory_table(session.materialize(l.manufacturing_domain())))
+    assert jobs.columns == production.JOB_COLUMNS and jobs.count() == 12555
+    assert _rows(jobs) == _rows(whole) == _rows(l.jobs())
+
+
+def test_parts_of_a_job_list_task_are_bounded(spark, few_rows):
+    l = Layers(spark, SF_SMALL)
+    n = session.tasks_for(spark, l.order_lines())
+    assert f", {n}), REPARTITION_BY_NUM" in _plan(l.job_list())
